@@ -20,6 +20,12 @@ def shape_profile(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def null_keys(trips: DataFrame) -> DataFrame:
+    """One row: trips that windows or lookups leave out, by missing column."""
+    columns = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "pickup_zip", "dropoff_zip")
+    return trips.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])
+
+
 def describe_features(df: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of each column.
 

@@ -9,7 +9,8 @@ table's format has ``MERGE INTO``, merging uses that.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -119,14 +120,29 @@ def _checked(
     return clean, WriteReport(summary["rows"], summary["nulls"], tuple(sorted(summary["m"])))
 
 
+@contextmanager
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Set what an overwrite replaces: the partitions it writes, or the table.
+
+    For catalog tables Spark reads this from the session only.
+    """
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _replace(df: DataFrame, table: str, partition: str | None, mode: str) -> None:
     if partition:
         # Files of about the advisory size: large months are split over many
         # tasks and small ones share a task.
         df = df.hint("rebalance", partition)
-    columns = df.sparkSession.table(table).columns
-    writer = df.select(*columns).write.option("partitionOverwriteMode", mode)
-    writer.insertInto(table, overwrite=True)
+    spark = df.sparkSession
+    with _overwriting(spark, mode):
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 def create_feature_table(

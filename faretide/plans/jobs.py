@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from faretide.operators.lookups import (
     DROPOFF_TABLE,
@@ -187,9 +186,3 @@ def score_job(
     if output is not None:
         write_predictions(predictions, output, run_id)
     return predictions
-
-
-def null_keys(trips: DataFrame) -> DataFrame:
-    """One row: trips that no window or lookup can take, by missing column."""
-    columns = ("tpep_pickup_datetime", "tpep_dropoff_datetime", "pickup_zip", "dropoff_zip")
-    return trips.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in columns])

@@ -5,24 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-TRIPS = T.StructType.fromDDL(
+_TYPES = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def schema_of(columns: str) -> T.StructType:
+    """``"name type, ..."`` as a schema; unlike Spark's parser, without a session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+TRIPS = schema_of(
     "tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, "
     "trip_distance double, fare_amount double, pickup_zip int, dropoff_zip int"
 )
-PICKUP_FEATURES = T.StructType.fromDDL(
+PICKUP_FEATURES = schema_of(
     "zip int, ts int, yyyy_mm string, "
     "mean_fare_window_1h_pickup_zip float, count_trips_window_1h_pickup_zip int"
 )
-DROPOFF_FEATURES = T.StructType.fromDDL(
+DROPOFF_FEATURES = schema_of(
     "zip int, ts int, yyyy_mm string, "
     "count_trips_window_30m_dropoff_zip int, dropoff_is_weekend int"
 )
-TRAINING = T.StructType.fromDDL(
+TRAINING = schema_of(
     "trip_distance double, pickup_zip int, dropoff_zip int, "
     "mean_fare_window_1h_pickup_zip double, count_trips_window_1h_pickup_zip int, "
     "count_trips_window_30m_dropoff_zip int, dropoff_is_weekend int, fare_amount double"
 )
-LOGS = T.StructType.fromDDL(
+LOGS = schema_of(
     "event_id bigint, ts timestamp_ntz, operation_id bigint, kind string, role string, "
     "experiment_id string, run_id bigint, duration double"
 )

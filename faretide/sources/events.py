@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from faretide.schemas import LOGS, TRIPS, validate
+from faretide.schemas import LOGS, TRIPS, schema_of, validate
 
-EVENTS = T.StructType.fromDDL(
+EVENTS = schema_of(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string"
 )
