@@ -96,23 +96,27 @@ def _check_schema(df: DataFrame, table: str) -> None:
 
 
 def _checked(
-    df: DataFrame, keys: Sequence[str], partition: str | None, check_unique: bool
+    df: DataFrame,
+    keys: Sequence[str],
+    partition: str | None,
+    check_unique: bool,
+    staged: bool,
 ) -> tuple[DataFrame, WriteReport]:
-    """Stage new rows, count what matters about them and drop NULL keys.
+    """Stage new rows unless they are, count them and drop NULL keys.
 
     Counting the staged files is exact even when tasks were retried, which
     metrics observed during the write are not. The months of a table are few
     by nature, so collecting their names is safe.
     """
-    staged = stage(df, "features")
+    stored = df if staged else stage(df, "features")
     has_keys = F.lit(True)
     for key in keys:
         has_keys = has_keys & F.col(key).isNotNull()
     months = F.collect_set(F.when(has_keys, F.col(partition))) if partition else F.array()
-    summary = staged.agg(
+    summary = stored.agg(
         F.count_if(has_keys).alias("rows"), F.count_if(~has_keys).alias("nulls"), months.alias("m")
     ).first()
-    clean = staged.filter(has_keys)
+    clean = stored.filter(has_keys)
     if check_unique:
         twice = clean.groupBy(*keys).count().filter("count > 1").limit(1).collect()
         if twice:
@@ -154,11 +158,13 @@ def create_feature_table(
     fmt: str = "parquet",
     location: str | None = None,
     check_unique: bool = True,
+    staged: bool = False,
 ) -> WriteReport | None:
     """Create the table and fill it; do nothing when it exists and has rows.
 
     An existing table must have the same columns. One that was created but
-    never filled, because its job was lost, is filled now.
+    never filled, because its job was lost, is filled now. ``staged`` says
+    that ``df`` only reads stored files, so that they are not copied.
     """
     spark = df.sparkSession
     if "." in table:
@@ -178,12 +184,14 @@ def create_feature_table(
             + f" COMMENT {_text(description)}"
             + f" TBLPROPERTIES ('primary_keys' = {_text(json.dumps(list(primary_keys)))})"
         )
-    clean, report = _checked(df, primary_keys, partition_column, check_unique)
+    clean, report = _checked(df, primary_keys, partition_column, check_unique, staged)
     _replace(clean, table, partition_column, "dynamic")
     return report
 
 
-def merge_features(df: DataFrame, table: str, check_unique: bool = True) -> WriteReport:
+def merge_features(
+    df: DataFrame, table: str, check_unique: bool = True, staged: bool = False
+) -> WriteReport:
     """Insert new keys and replace the rows of known ones.
 
     Only the months of the new rows are read and rewritten; a row's month
@@ -193,17 +201,17 @@ def merge_features(df: DataFrame, table: str, check_unique: bool = True) -> Writ
     keys = primary_keys(spark, table)
     partition = _partition_column(spark, table)
     _check_schema(df, table)
-    clean, report = _checked(df, keys, partition, check_unique)
+    clean, report = _checked(df, keys, partition, check_unique, staged)
     if not report.rows:
         return report
     provider = spark.sql(f"DESCRIBE EXTENDED {_quoted(table)}")
     provider = provider.filter("col_name = 'Provider'").first()["data_type"].lower()
     if provider in _MERGING_FORMATS:
-        clean.createOrReplaceTempView("_faretide_merge")
         same = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
         spark.sql(
-            f"MERGE INTO {_quoted(table)} t USING _faretide_merge s ON {same} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+            f"MERGE INTO {_quoted(table)} t USING {{new}} s ON {same} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+            new=clean,
         )
         return report
     current = spark.table(table)
@@ -228,7 +236,8 @@ def overwrite_features(df: DataFrame, table: str, check_unique: bool = True) ->
     spark = df.sparkSession
     partition = _partition_column(spark, table)
     _check_schema(df, table)
-    clean, report = _checked(df, primary_keys(spark, table), partition, check_unique)
+    keys = primary_keys(spark, table)
+    clean, report = _checked(df, keys, partition, check_unique, staged=False)
     _replace(clean, table, partition, "static")
     return report
 

@@ -91,10 +91,10 @@ def store_features(
     )
     for features, table, description in tables:
         created = create_feature_table(
-            features, table, description=description, check_unique=False
+            features, table, description=description, check_unique=False, staged=True
         )
         if created is None:
-            merge_features(features, table, check_unique=False)
+            merge_features(features, table, check_unique=False, staged=True)
 
 
 @dataclass
