@@ -62,6 +62,16 @@ def _partition_column(spark: SparkSession, table: str) -> str | None:
     return columns[0] if columns else None
 
 
+def _current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now, also when another session has written to it.
+
+    Streams write from a session of their own, and the list of files that
+    this session keeps would still name the ones they replaced.
+    """
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def read_features(
     spark: SparkSession,
     table: str,
@@ -72,7 +82,7 @@ def read_features(
 
     A bound prunes the months read as well as filtering on ``ts``.
     """
-    df = spark.table(table)
+    df = _current(spark, table)
     for bound, is_start in ((start, True), (end, False)):
         if not bound:
             continue
@@ -171,7 +181,7 @@ def create_feature_table(
         create_database(spark, table.rsplit(".", 1)[0])
     if spark.catalog.tableExists(table):
         _check_schema(df, table)
-        if not spark.table(table).isEmpty():
+        if not _current(spark, table).isEmpty():
             return None
     else:
         columns = [f for f in df.schema if f.name != partition_column]
@@ -214,7 +224,7 @@ def merge_features(
             new=clean,
         )
         return report
-    current = spark.table(table)
+    current = _current(spark, table)
     if partition:
         current = current.filter(F.col(partition).isin(*report.months))
     kept = current.join(clean.select(*keys), list(keys), "left_anti").select(*clean.columns)
