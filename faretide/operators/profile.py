@@ -59,14 +59,15 @@ def describe_features(df: DataFrame) -> DataFrame:
 def _frequencies(df: DataFrame, group: str, measures: Sequence[str]) -> DataFrame:
     """How often each value occurs, per measure and group, in value order.
 
+    Measures are numbered from 1, which shuffles less than their names.
     ``slice`` numbers the range partitions. Sampling for the ranges sees
     (measure, group, value) rows, so a group with many values is spread over
     many slices, while a value that occurs often is a single row.
     """
     pairs = F.array(
         *[
-            F.struct(F.lit(name).alias("measure"), F.col(name).cast("double").alias("value"))
-            for name in measures
+            F.struct(F.lit(number).alias("measure"), F.col(name).cast("double").alias("value"))
+            for number, name in enumerate(measures, start=1)
         ]
     )
     counted = (
@@ -146,12 +147,14 @@ def boxplot_stats(df: DataFrame, group: str, measures: Sequence[str]) -> DataFra
     boxed = values.select(*keys, "value", "n").join(_quartiles(values), keys)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    return boxed.groupBy(*keys, "q1", "median", "q3").agg(
+    boxes = boxed.groupBy(*keys, "q1", "median", "q3").agg(
         F.sum("n").alias("row_count"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
     )
+    names = F.array(*[F.lit(name) for name in measures])
+    return boxes.withColumn("measure", F.element_at(names, F.col("measure")))
 
 
 def boxplot_pickup(features: DataFrame) -> DataFrame:

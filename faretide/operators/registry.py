@@ -1,12 +1,14 @@
 """Published models: numbered Spark ML pipelines with their lookups.
 
 A version counts once its row is in the ``versions`` table, which is written
-after the model itself, so a lost publish leaves nothing that loads.
+after the model itself, so a lost publish leaves nothing that loads. Models
+of one name are to be published one at a time.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
@@ -17,7 +19,9 @@ from pyspark.sql import functions as F
 
 from faretide.operators.lookups import FeatureLookup, TrainingSet
 
-_VERSIONS = "model string, version int, lookups string, label string, published_at timestamp"
+_VERSIONS = (
+    "model string, version int, path string, lookups string, label string, published_at timestamp"
+)
 
 
 @dataclass(frozen=True)
@@ -39,10 +43,6 @@ def _versions(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], _VERSIONS)
 
 
-def _model_path(root: str, name: str, version: int) -> str:
-    return f"{root}/models/{name}/version={version}"
-
-
 def latest_version(spark: SparkSession, root: str, name: str) -> int:
     """The highest version number; 1 when there is none."""
     newest = F.coalesce(F.max("version"), F.lit(1)).alias("newest")
@@ -58,13 +58,12 @@ def publish_model(
     spark = training_set.trips.sparkSession
     known = _versions(spark, root).filter(F.col("model") == name)
     version = (known.agg(F.max("version").alias("newest")).first()["newest"] or 0) + 1
-    # Not an overwrite for a version that counts: those are never written
-    # again. What may be there is the rest of a publish that was lost.
-    model.write().overwrite().save(_model_path(root, name, version))
+    path = f"{root}/models/{name}/version={version}/{uuid.uuid4().hex}"
+    model.write().save(path)
     lookups = json.dumps([asdict(lookup) for lookup in training_set.lookups])
     row = spark.createDataFrame(
-        [(name, version, lookups, training_set.label)],
-        "model string, version int, lookups string, label string",
+        [(name, version, path, lookups, training_set.label)],
+        "model string, version int, path string, lookups string, label string",
     ).withColumn("published_at", F.current_timestamp())
     row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return version
@@ -83,7 +82,7 @@ def load_model(
     return PublishedModel(
         name,
         number,
-        PipelineModel.load(_model_path(root, name, number)),
+        PipelineModel.load(row["path"]),
         tuple(FeatureLookup(**lookup) for lookup in lookups),
         row["label"],
     )

@@ -33,16 +33,22 @@ def shape_predictions(df: DataFrame, prediction: str | Column = "prediction") ->
     )
 
 
-def score_batch(
-    trips: DataFrame, root: str, name: str = "taxi_fares", version: int | str | None = None
+def predict_batch(
+    df: DataFrame, root: str, name: str = "taxi_fares", version: int | str | None = None
 ) -> DataFrame:
-    """Predict the fares of rounded trips with a published model.
+    """``df`` with a published model's features and its ``prediction``.
 
     Features come from the tables that the model was published with.
     """
-    published = load_model(trips.sparkSession, root, name, version)
-    looked_up = apply_lookups(trips.select(*SCORE_INPUT), published.lookups)
-    return shape_predictions(predict(published.model, looked_up))
+    published = load_model(df.sparkSession, root, name, version)
+    return predict(published.model, apply_lookups(df, published.lookups))
+
+
+def score_batch(
+    trips: DataFrame, root: str, name: str = "taxi_fares", version: int | str | None = None
+) -> DataFrame:
+    """The predicted fares of rounded trips, in the published columns."""
+    return shape_predictions(predict_batch(trips.select(*SCORE_INPUT), root, name, version))
 
 
 def write_predictions(

@@ -20,7 +20,7 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     trips = events.select(
         "event_id",
         F.col("ts").alias("tpep_pickup_datetime"),
-        F.expr("ts + make_dt_interval(0, 0, 5 + cast(event_id % 40 AS int))").alias(
+        F.expr("ts + (5 + cast(event_id % 40 AS int)) * INTERVAL '1' MINUTE").alias(
             "tpep_dropoff_datetime"
         ),
         F.expr("value / 4 + event_id % 7").alias("trip_distance"),

@@ -4,6 +4,8 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from faretide.client import FeatureClient
+from faretide.operators.lookups import fare_lookups
 from faretide.operators.models import (
     missing_sentinel,
     predict,
@@ -19,6 +21,7 @@ from faretide.operators.scoring import (
     score_batch,
     write_predictions,
 )
+from faretide.operators.windows import dropoff_features
 from faretide.plans.jobs import feature_job, score_job, store_features, train_job
 from faretide.schemas import TRAINING
 from faretide.session import fresh_path
@@ -159,6 +162,34 @@ def test_versions(spark, trained, larger):
             publish_model(*bad, registry)
 
 
+def test_client(spark, trained, sample, table):
+    run, registry, pickup, dropoff = trained
+    client = FeatureClient(spark, registry)
+    features, name = dropoff_features(sample), table()
+    for _ in range(2):
+        client.create_table(
+            name=name, primary_keys=["zip", "ts"], df=features, partition_columns="yyyy_mm",
+            description="Taxi Fares. Dropoff Features",
+        )
+    client.write_table(name=name, df=features, mode="merge")
+    assert client.read_table(name).count() == features.count()
+    described = client.create_training_set(
+        rounded_trips(sample),
+        feature_lookups=fare_lookups(pickup, name),
+        label="fare_amount",
+        exclude_columns=["rounded_pickup_datetime", "rounded_dropoff_datetime"],
+    )
+    assert described.load_df().count() == sample.count()
+    version = client.log_model(run.model, described, registered_model_name="by_client")
+    assert client.latest_version("by_client") == version == 1
+    for address in ("models:/by_client", "models:/by_client/1"):
+        scored = client.score_batch(address, rounded_trips(sample))
+        assert scored.columns[-1] == "prediction" and "event_id" in scored.columns
+        assert scored.count() == sample.count()
+    with pytest.raises(ValueError, match="not a model address"):
+        client.score_batch("runs:/x", sample)
+
+
 def test_run_metrics(spark, trained):
     _, registry, _, _ = trained
     log_run_metrics(spark, f"{registry}/run_metrics", "r2", {"x": 1})
