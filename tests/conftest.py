@@ -23,6 +23,7 @@ def spark():
     session = build_session(
         "tests",
         spark__master="local[8]",
+        spark__driver__memory="8g",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
