@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretide.operators.rows import hash_percent
+from faretide.session import shared_folder
 
 LABEL = "fare_amount"
 DEFAULT_PARAMS = {"num_leaves": 32, "objective": "regression", "metric": "rmse"}
@@ -68,6 +69,10 @@ def train_fare_model(
     leaves. Rows without a label are left out. Every round scans ``train``
     several times: pass a stored table, not a long plan.
     """
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        # Boosting cuts its lineage every ten rounds, if it has a folder for it.
+        context.setCheckpointDir(shared_folder(train.sparkSession))
     params = DEFAULT_PARAMS | dict(params or {})
     if params["objective"] != "regression":
         raise ValueError(f"unknown objective: {params['objective']}")

@@ -174,7 +174,7 @@ def create_feature_table(
 
     An existing table must have the same columns. One that was created but
     never filled, because its job was lost, is filled now. ``staged`` says
-    that ``df`` only reads stored files, so that they are not copied.
+    that ``df`` is stored and can be read several times, so it is not copied.
     """
     spark = df.sparkSession
     if "." in table:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from typing import Literal
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -57,7 +58,12 @@ def merge_stream(
     checkpoint = checkpoint or fresh_path(features.sparkSession, "stream")
 
     def merge(batch: DataFrame, _: int) -> None:
-        merge_features(batch, table, check_unique=False)
+        # Read several times, so kept on disk for the length of the batch.
+        batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            merge_features(batch, table, check_unique=False, staged=True)
+        finally:
+            batch.unpersist()
 
     writer = features.writeStream.outputMode("update").foreachBatch(merge)
     writer = writer.option("checkpointLocation", checkpoint)
