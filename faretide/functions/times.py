@@ -12,7 +12,7 @@ features in any session. NULL times give NULL.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,18 @@ def as_time(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def time_literal(df: DataFrame, name: str, value: datetime | str | Column) -> Column:
+def moment_of(value: datetime | date | str) -> datetime:
+    """The value as a naive UTC datetime."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    elif not isinstance(value, datetime):
+        value = datetime(value.year, value.month, value.day)
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
+    return value
+
+
+def time_literal(df: DataFrame, name: str, value: datetime | date | str | Column) -> Column:
     """``value`` as a literal of the column's own type.
 
     Comparing a raw column with a literal of its type is what lets the
@@ -45,11 +56,7 @@ def time_literal(df: DataFrame, name: str, value: datetime | str | Column) -> Co
     """
     if isinstance(value, Column):
         return value
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-    if value.tzinfo is not None:
-        value = value.astimezone(timezone.utc).replace(tzinfo=None)
-    text = value.isoformat(sep=" ")
+    text = moment_of(value).isoformat(sep=" ")
     if is_instant(df, name):
         return F.lit(f"{text}Z").cast("timestamp")
     return F.lit(text).cast("timestamp_ntz")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from faretide.functions.times import as_time, epoch_seconds, month_of_epoch, time_literal
+from faretide.operators.rows import Bound, given
 from faretide.operators.store import primary_keys, read_features
 
 # Most bytes a feature table may take, as counted rows of known width, to be
@@ -34,6 +34,7 @@ class FeatureLookup:
         object.__setattr__(self, "lookup_key", tuple(self.lookup_key))
 
 
+# The names the fare model's tables and columns are known by.
 PICKUP_TABLE = "feature_store_taxi_example.trip_pickup_features"
 DROPOFF_TABLE = "feature_store_taxi_example.trip_dropoff_features"
 PICKUP_NAMES = ("mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip")
@@ -166,8 +167,8 @@ def training_set(
 def exclude_self(
     df: DataFrame,
     ts_column: str = "tpep_pickup_datetime",
-    start: datetime | str | None = None,
-    end: datetime | str | None = None,
+    start: Bound = None,
+    end: Bound = None,
 ) -> DataFrame:
     """Take each trip's own fare out of its looked-up mean fare.
 
@@ -180,9 +181,9 @@ def exclude_self(
     # A trip on the quarter hour looks up the window that ends before it.
     inside = F.col("rounded_pickup_datetime") > epoch_seconds(df, ts_column)
     at = as_time(df, ts_column)
-    if start:
+    if given(start):
         inside = inside & (at >= time_literal(df, ts_column, start))
-    if end:
+    if given(end):
         inside = inside & (at < time_literal(df, ts_column, end))
     mean, trips = "mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"
     others = (F.col("sum_fare_window_1h_pickup_zip") - F.col("fare_amount")) / (F.col(trips) - 1)

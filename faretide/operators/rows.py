@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faretide.functions.times import as_time, ceil_minutes, time_literal
 
-Bound = datetime | str | Column | None
+Bound = datetime | date | str | Column | None
+
+
+def given(bound: Bound) -> bool:
+    """Whether a bound was given: a column has no truth value to ask for."""
+    return isinstance(bound, Column) or bool(bound)
 
 
 def filter_by_time(
@@ -19,9 +24,9 @@ def filter_by_time(
     """Rows with ``start <= ts_column < end``; an empty argument drops its bound."""
     if not ts_column:
         return df
-    if start is not None and not (isinstance(start, str) and not start):
+    if given(start):
         df = df.filter(as_time(df, ts_column) >= time_literal(df, ts_column, start))
-    if end is not None and not (isinstance(end, str) and not end):
+    if given(end):
         df = df.filter(as_time(df, ts_column) < time_literal(df, ts_column, end))
     return df
 

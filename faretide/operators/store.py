@@ -17,6 +17,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from faretide.functions.times import moment_of
 from faretide.session import stage
 
 _MERGING_FORMATS = ("delta", "iceberg")
@@ -86,10 +87,7 @@ def read_features(
     for bound, is_start in ((start, True), (end, False)):
         if not bound:
             continue
-        moment = datetime.fromisoformat(bound) if isinstance(bound, str) else bound
-        if moment.tzinfo is None:
-            moment = moment.replace(tzinfo=timezone.utc)
-        moment = moment.astimezone(timezone.utc)
+        moment = moment_of(bound).replace(tzinfo=timezone.utc)
         seconds, month = moment.timestamp(), moment.strftime("%Y-%m")
         if is_start:
             df = df.filter((F.col("yyyy_mm") >= month) & (F.col("ts") >= seconds))
@@ -149,11 +147,17 @@ def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def _replace(df: DataFrame, table: str, partition: str | None, mode: str) -> None:
+def _replace(
+    df: DataFrame, table: str, keys: Sequence[str], partition: str | None, mode: str
+) -> None:
     if partition:
         # Files of about the advisory size: large months are split over many
         # tasks and small ones share a task.
         df = df.hint("rebalance", partition)
+    # A partitioned write sorts by partition anyway. With the last key, the
+    # time, next, reads of a time range can skip parts of files.
+    order = [*([partition] if partition else []), *reversed(keys)]
+    df = df.sortWithinPartitions(*order)
     spark = df.sparkSession
     with _overwriting(spark, mode):
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
@@ -195,7 +199,7 @@ def create_feature_table(
             + f" TBLPROPERTIES ('primary_keys' = {_text(json.dumps(list(primary_keys)))})"
         )
     clean, report = _checked(df, primary_keys, partition_column, check_unique, staged)
-    _replace(clean, table, partition_column, "dynamic")
+    _replace(clean, table, primary_keys, partition_column, "dynamic")
     return report
 
 
@@ -229,11 +233,11 @@ def merge_features(
         current = current.filter(F.col(partition).isin(*report.months))
     kept = current.join(clean.select(*keys), list(keys), "left_anti").select(*clean.columns)
     if partition:
-        _replace(kept.unionByName(clean), table, partition, "dynamic")
+        _replace(kept.unionByName(clean), table, keys, partition, "dynamic")
     else:
         # Without partitions the whole table is replaced, so what is kept
         # must not be read from the files that the write removes.
-        _replace(stage(kept.unionByName(clean), "merged"), table, None, "static")
+        _replace(stage(kept.unionByName(clean), "merged"), table, keys, None, "static")
     return report
 
 
@@ -248,7 +252,7 @@ def overwrite_features(df: DataFrame, table: str, check_unique: bool = True) ->
     _check_schema(df, table)
     keys = primary_keys(spark, table)
     clean, report = _checked(df, keys, partition, check_unique, staged=False)
-    _replace(clean, table, partition, "static")
+    _replace(clean, table, keys, partition, "static")
     return report
 
 

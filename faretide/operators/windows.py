@@ -5,21 +5,22 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faretide.functions.times import (
     NEW_YORK,
     as_time,
     epoch_seconds,
+    moment_of,
     month_id,
     time_literal,
     weekend_flag,
 )
-from faretide.operators.rows import Bound, filter_by_time
+from faretide.operators.rows import Bound, filter_by_time, given
 
 PICKUP_WINDOW, PICKUP_SLIDE = "1 hour", "15 minutes"
 DROPOFF_WINDOW = "30 minutes"
@@ -33,35 +34,29 @@ _LENGTHS = {PICKUP_WINDOW: timedelta(hours=1), DROPOFF_WINDOW: timedelta(minutes
 Edges = Literal["partial", "whole", "owned"]
 
 
-def _moment(value: datetime | str) -> datetime:
-    return datetime.fromisoformat(value) if isinstance(value, str) else value
-
-
 def _input_rows(
     df: DataFrame, ts_column: str, start: Bound, end: Bound, edges: Edges, length: str
 ) -> DataFrame:
-    if edges == "owned" and start:
-        start = _moment(start) - _LENGTHS[length]
+    if edges == "owned" and given(start):
+        length = _LENGTHS[length]
+        start = start - F.lit(length) if isinstance(start, Column) else moment_of(start) - length
     return filter_by_time(df, ts_column, start, end)
 
 
 def _output_windows(windows: DataFrame, start: Bound, end: Bound, edges: Edges) -> DataFrame:
-    if edges == "whole":
-        if start:
-            low = time_literal(windows, "window.start", start)
-            windows = windows.filter(F.col("window.start") >= low)
-        if end:
-            high = time_literal(windows, "window.end", end)
-            windows = windows.filter(F.col("window.end") <= high)
-    elif edges == "owned":
-        if start:
-            low = time_literal(windows, "window.end", start)
-            windows = windows.filter(F.col("window.end") > low)
-        if end:
-            high = time_literal(windows, "window.end", end)
-            windows = windows.filter(F.col("window.end") <= high)
-    elif edges != "partial":
+    if edges not in ("partial", "whole", "owned"):
         raise ValueError(f"unknown edges: {edges}")
+    if edges == "partial":
+        return windows
+    if given(start) and edges == "whole":
+        low = time_literal(windows, "window.start", start)
+        windows = windows.filter(F.col("window.start") >= low)
+    elif given(start):
+        low = time_literal(windows, "window.end", start)
+        windows = windows.filter(F.col("window.end") > low)
+    if given(end):
+        high = time_literal(windows, "window.end", end)
+        windows = windows.filter(F.col("window.end") <= high)
     return windows
 
 

@@ -155,6 +155,16 @@ def test_read_prunes_months(spark, table, features):
     assert "PartitionFilters: [isnotnull(yyyy_mm" in plan
 
 
+def test_files_are_in_time_order(spark, table, features):
+    name = table()
+    create_feature_table(features(*[(z, JANUARY + 900 * t, 1) for t in range(9) for z in (2, 1)])
+                         .fillna("2024-01", ["yyyy_mm"]), name)
+    merge_features(features((3, JANUARY, 1)), name)
+    for path in spark.table(name).inputFiles():
+        rows = spark.read.parquet(path).select("ts", "zip").collect()
+        assert rows == sorted(rows)
+
+
 def test_the_session_setting_is_restored(spark, table, features):
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)

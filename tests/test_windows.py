@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -87,6 +87,17 @@ def test_owned_windows_of_adjacent_ranges_make_up_the_whole(sample):
     assert_same(parts[0] | parts[1], expected)
 
 
+def test_bounds_may_be_columns_or_dates(sample):
+    as_column = F.expr("timestamp_ntz'2024-01-05'"), F.expr("timestamp_ntz'2024-01-06'")
+    for edges in ("partial", "whole", "owned"):
+        expected = as_dict(pickup_features(sample, start="2024-01-05", end="2024-01-06", edges=edges))
+        for start, end in (as_column, (date(2024, 1, 5), date(2024, 1, 6))):
+            got = pickup_features(sample, start=start, end=end, edges=edges)
+            assert as_dict(got) == expected
+    with pytest.raises(ValueError, match="unknown edges"):
+        pickup_features(sample, edges="none")
+
+
 def test_dropoff_counts_and_weekend(make_trips):
     def ending(*times):
         return [("2024-01-01 00:00:00", t, 1.0, 1.0, 1, 9) for t in times]
