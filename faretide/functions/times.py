@@ -26,13 +26,21 @@ _YEAR_ONE = "timestamp_ntz'0001-01-01 00:00:00'"
 _YEAR_ONE_TO_EPOCH = 62_135_596_800
 
 
+def _type_of(df: DataFrame, name: str) -> T.DataType:
+    """The type of a column or, as in ``window.end``, of a field of one."""
+    kind: T.DataType = df.schema
+    for part in name.split("."):
+        kind = kind[part].dataType
+    return kind
+
+
 def is_instant(df: DataFrame, name: str) -> bool:
-    return isinstance(df.select(name).schema[0].dataType, T.TimestampType)
+    return isinstance(_type_of(df, name), T.TimestampType)
 
 
 def as_time(df: DataFrame, name: str) -> Column:
     """The column itself, or its parsed value when it is text."""
-    if isinstance(df.select(name).schema[0].dataType, T.StringType):
+    if isinstance(_type_of(df, name), T.StringType):
         return F.col(name).cast("timestamp_ntz")
     return F.col(name)
 
