@@ -272,9 +272,9 @@ def q_exclude_self(spark, folder):
 # --- profiles --------------------------------------------------------------------------
 
 
-def _rounded_numbers(df: DataFrame, *names: str) -> DataFrame:
+def _rounded_numbers(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     """Doubles as they agree between engines that add up in another order."""
-    return df.withColumns({name: F.round(name, 6) for name in names})
+    return df.withColumns({name: F.round(name, digits) for name in names})
 
 
 def q_rides_by_weekend(spark, folder):
@@ -291,12 +291,12 @@ def q_null_keys(spark, folder):
 
 def q_describe_pickup(spark, folder):
     described = describe_features(pickup_features(_trips(spark, folder)))
-    return _rounded_numbers(described, "mean", "stddev", "min_value", "max_value")
+    return _rounded_numbers(described, "mean", "stddev", "min_value", "max_value", digits=3)
 
 
 def q_describe_dropoff(spark, folder):
     described = describe_features(dropoff_features(_trips(spark, folder)))
-    return _rounded_numbers(described, "mean", "stddev", "min_value", "max_value")
+    return _rounded_numbers(described, "mean", "stddev", "min_value", "max_value", digits=3)
 
 
 def q_boxplot_pickup(spark, folder):
@@ -546,8 +546,8 @@ _RANGED = (_TRIPS, _ROUNDED, _pickup("pickup", START, END), _dropoff("dropoff",
 def _describe(table: str, numbers: list[str]) -> str:
     rows = [
         f"""SELECT '{c}' AS column_name, count({c}) AS value_count,
-       round(avg({c}::DOUBLE), 6) AS mean, round(stddev_samp({c}::DOUBLE), 6) AS stddev,
-       round(min({c})::DOUBLE, 6) AS min_value, round(max({c})::DOUBLE, 6) AS max_value,
+       round(avg({c}::DOUBLE), 3) AS mean, round(stddev_samp({c}::DOUBLE), 3) AS stddev,
+       round(min({c})::DOUBLE, 3) AS min_value, round(max({c})::DOUBLE, 3) AS max_value,
        NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM {table}"""
         for c in numbers
     ]
