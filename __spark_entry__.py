@@ -232,16 +232,26 @@ def q_stream_dropoff(spark, folder):
 # --- lookups ---------------------------------------------------------------------------
 
 
+def _nullable(df: DataFrame) -> DataFrame:
+    """Looked-up ints as doubles: pandas has no plain int column with NULLs."""
+    counts = (PICKUP_NAMES[1], *DROPOFF_NAMES)
+    return df.withColumns({c: F.col(c).cast("double") for c in counts if c in df.columns})
+
+
 def q_pickup_lookup(spark, folder):
     trips = _trips(spark, folder)
     features = pickup_features(trips, start=START, end=END)
-    return lookup_features(rounded_trips(trips), features, PICKUP_KEY, PICKUP_NAMES)
+    return _nullable(
+        lookup_features(rounded_trips(trips), features, PICKUP_KEY, PICKUP_NAMES)
+    )
 
 
 def q_dropoff_lookup(spark, folder):
     trips = _trips(spark, folder)
     features = dropoff_features(trips, start=START, end=END)
-    return lookup_features(rounded_trips(trips), features, DROPOFF_KEY, DROPOFF_NAMES)
+    return _nullable(
+        lookup_features(rounded_trips(trips), features, DROPOFF_KEY, DROPOFF_NAMES)
+    )
 
 
 def _training(spark, folder) -> DataFrame:
@@ -250,13 +260,13 @@ def _training(spark, folder) -> DataFrame:
 
 
 def q_training_set(spark, folder):
-    return _training(spark, folder)
+    return _nullable(_training(spark, folder))
 
 
 def q_training_csv(spark, folder):
     training, path = _training(spark, folder), fresh_path(spark, "csv")
     training.write.option("header", True).csv(path)
-    return read_training_csv(spark, path, training.schema)
+    return _nullable(read_training_csv(spark, path, training.schema))
 
 
 def q_exclude_self(spark, folder):
@@ -266,7 +276,8 @@ def q_exclude_self(spark, folder):
     at = "tpep_pickup_datetime"
     timed = trips.withColumn("rounded_pickup_datetime", ceil_minutes(trips, at, 15))
     joined = lookup_features(timed, features, PICKUP_KEY, names)
-    return exclude_self(joined, at, START, END).select("event_id", "fare_amount", *PICKUP_NAMES)
+    others = exclude_self(joined, at, START, END)
+    return _nullable(others.select("event_id", "fare_amount", *PICKUP_NAMES))
 
 
 # --- profiles --------------------------------------------------------------------------
@@ -403,10 +414,13 @@ def q_regression_metrics(spark, folder):
 
 def _looked_up(spark, folder) -> DataFrame:
     trips = _trips(spark, folder)
-    with_pickup = q_pickup_lookup(spark, folder)
-    return lookup_features(
-        with_pickup, dropoff_features(trips, start=START, end=END), DROPOFF_KEY, DROPOFF_NAMES
-    )
+    looked_up = rounded_trips(trips)
+    for features, key, names in (
+        (pickup_features(trips, start=START, end=END), PICKUP_KEY, PICKUP_NAMES),
+        (dropoff_features(trips, start=START, end=END), DROPOFF_KEY, DROPOFF_NAMES),
+    ):
+        looked_up = lookup_features(looked_up, features, key, names)
+    return looked_up
 
 
 def _mean_as_prediction():
@@ -414,14 +428,16 @@ def _mean_as_prediction():
 
 
 def q_prediction_shape(spark, folder):
-    return shape_predictions(_looked_up(spark, folder), _mean_as_prediction())
+    return _nullable(shape_predictions(_looked_up(spark, folder), _mean_as_prediction()))
 
 
 def q_write_predictions(spark, folder):
-    predictions, path = q_prediction_shape(spark, folder), fresh_path(spark, "predictions")
+    path = fresh_path(spark, "predictions")
+    predictions = shape_predictions(_looked_up(spark, folder), _mean_as_prediction())
     for _ in range(2):
         write_predictions(predictions, path, run_id="run-1")
-    return spark.read.schema(predictions.schema).csv(f"{path}/run_id=run-1", header=True)
+    written = spark.read.schema(predictions.schema).csv(f"{path}/run_id=run-1", header=True)
+    return _nullable(written)
 
 
 def q_run_metrics(spark, folder):
@@ -537,8 +553,10 @@ _PICKUP_JOIN = """LEFT JOIN pickup p
   ON r.pickup_zip = p.zip AND r.rounded_pickup_datetime = p.ts"""
 _DROPOFF_JOIN = """LEFT JOIN dropoff d
   ON r.dropoff_zip = d.zip AND r.rounded_dropoff_datetime = d.ts"""
-_P = "p.mean_fare_window_1h_pickup_zip, p.count_trips_window_1h_pickup_zip"
-_D = "d.count_trips_window_30m_dropoff_zip, d.dropoff_is_weekend"
+_P = """p.mean_fare_window_1h_pickup_zip,
+       p.count_trips_window_1h_pickup_zip::DOUBLE AS count_trips_window_1h_pickup_zip"""
+_D = """d.count_trips_window_30m_dropoff_zip::DOUBLE AS count_trips_window_30m_dropoff_zip,
+       d.dropoff_is_weekend::DOUBLE AS dropoff_is_weekend"""
 
 _RANGED = (_TRIPS, _ROUNDED, _pickup("pickup", START, END), _dropoff("dropoff", START, END))
 
@@ -702,7 +720,7 @@ SELECT * FROM old WHERE NOT EXISTS
                       THEN ((p.fares - r.fare_amount)
                             / (p.count_trips_window_1h_pickup_zip - 1))::FLOAT END
             ELSE p.mean_fare_window_1h_pickup_zip END AS mean_fare_window_1h_pickup_zip,
-       p.count_trips_window_1h_pickup_zip
+       p.count_trips_window_1h_pickup_zip::DOUBLE AS count_trips_window_1h_pickup_zip
 FROM rounded r JOIN trips t USING (event_id) {_PICKUP_JOIN}""",
         "rides_by_weekend": _with(_TRIPS, _dropoff("dropoff"))
         + """SELECT sum(count_trips_window_30m_dropoff_zip)::BIGINT AS num_rides,
