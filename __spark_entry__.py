@@ -35,7 +35,6 @@ from faretide.operators.profile import (
     describe_features,
     null_keys,
     rides_by_weekend,
-    shape_profile,
 )
 from faretide.operators.registry import publish_model
 from faretide.operators.rows import filter_by_time, prepare_trips, rounded_trips, subsample
@@ -135,8 +134,8 @@ def q_parse_dates(spark, folder):
 
 
 def q_rounded_trips(spark, folder):
-    rounded_trips(_trips(spark, folder), view="taxi_data")
-    return spark.table("taxi_data")
+    rounded_trips(_trips(spark, folder), view="rounded_trips")
+    return spark.table("rounded_trips")
 
 
 def q_prepare_trips(spark, folder):
@@ -184,7 +183,7 @@ def q_create_feature_table(spark, folder):
     table = _new_table(spark, "created")
     features = stage(dropoff_features(_trips(spark, folder), start=START, end=END))
     for _ in range(2):
-        create_feature_table(features, table, description="Taxi Fares. Dropoff Features")
+        create_feature_table(features, table, description="Dropoff features")
     return read_features(spark, table)
 
 

@@ -34,9 +34,9 @@ class FeatureLookup:
         object.__setattr__(self, "lookup_key", tuple(self.lookup_key))
 
 
-# The names the fare model's tables and columns are known by.
-PICKUP_TABLE = "feature_store_taxi_example.trip_pickup_features"
-DROPOFF_TABLE = "feature_store_taxi_example.trip_dropoff_features"
+PICKUP_TABLE = "fares.pickup_features"
+DROPOFF_TABLE = "fares.dropoff_features"
+# The column names that stored features and models go by.
 PICKUP_NAMES = ("mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip")
 DROPOFF_NAMES = ("count_trips_window_30m_dropoff_zip", "dropoff_is_weekend")
 PICKUP_KEY = ("pickup_zip", "rounded_pickup_datetime")
@@ -63,7 +63,8 @@ def fits_broadcast(features: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) ->
     fixed_width = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
     if not all(isinstance(field.dataType, fixed_width) for field in features.schema):
         return False
-    row_bytes = 16 + 8 * len(features.columns)
+    # Twice the values' own width, for the row header and the hash table.
+    row_bytes = 16 * (1 + len(features.columns))
     return features.count() * row_bytes <= max_bytes
 
 

@@ -50,7 +50,7 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int:
 
 
 def publish_model(
-    model: PipelineModel, training_set: TrainingSet, root: str, name: str = "taxi_fares"
+    model: PipelineModel, training_set: TrainingSet, root: str, name: str = "fares"
 ) -> int:
     """Store a model with its training set's lookups as the next version."""
     if model is None or training_set is None or not name:

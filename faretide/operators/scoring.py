@@ -34,7 +34,7 @@ def shape_predictions(df: DataFrame, prediction: str | Column = "prediction") ->
 
 
 def predict_batch(
-    df: DataFrame, root: str, name: str = "taxi_fares", version: int | str | None = None
+    df: DataFrame, root: str, name: str = "fares", version: int | str | None = None
 ) -> DataFrame:
     """``df`` with a published model's features and its ``prediction``.
 
@@ -45,7 +45,7 @@ def predict_batch(
 
 
 def score_batch(
-    trips: DataFrame, root: str, name: str = "taxi_fares", version: int | str | None = None
+    trips: DataFrame, root: str, name: str = "fares", version: int | str | None = None
 ) -> DataFrame:
     """The predicted fares of rounded trips, in the published columns."""
     return shape_predictions(predict_batch(trips.select(*SCORE_INPUT), root, name, version))

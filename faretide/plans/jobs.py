@@ -86,8 +86,8 @@ def store_features(
     Rows that were just used to fill a new table need no merge.
     """
     tables = (
-        (run.pickup, pickup_table, "Taxi Fares. Pickup Features"),
-        (run.dropoff, dropoff_table, "Taxi Fares. Dropoff Features"),
+        (run.pickup, pickup_table, "Pickup features"),
+        (run.dropoff, dropoff_table, "Dropoff features"),
     )
     for features, table, description in tables:
         created = create_feature_table(
@@ -137,7 +137,7 @@ def train_job(
     start: datetime | str | None,
     end: datetime | str | None,
     registry: str,
-    name: str = "taxi_fares",
+    name: str = "fares",
     params: Mapping[str, object] | None = None,
     num_rounds: int = DEFAULT_ROUNDS,
     key_columns: Sequence[str] | None = None,
@@ -168,7 +168,7 @@ def score_job(
     end: datetime | str | None,
     registry: str,
     output: str | None = None,
-    name: str = "taxi_fares",
+    name: str = "fares",
     version: int | str | None = None,
     pickup_table: str = PICKUP_TABLE,
     dropoff_table: str = DROPOFF_TABLE,

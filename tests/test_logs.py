@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from faretide.functions.dimensions import dimension, dimension_map, merge_dimensions
 from faretide.operators.logs import (
+    KINDS,
     combine_logs,
     correlate_logs,
     correlated_rows,
@@ -100,7 +101,7 @@ def test_correlation_of_a_hot_operation_stays_one_row(log):
 
 
 def test_three_tables_correlate_like_one(few):
-    parts = [few.filter(F.col("kind") == k).drop("kind") for k in ("trace", "exception", "dependency")]
+    parts = [few.filter(F.col("kind") == kind).drop("kind") for kind in KINDS]
     assert rows_of(correlate_logs(combine_logs(*parts))) == rows_of(correlate_logs(few))
 
 

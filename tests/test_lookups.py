@@ -60,7 +60,7 @@ def test_all_ways_to_join_agree(sample, tables):
 
 def test_broadcast_only_below_the_limit(spark, tables):
     features = spark.table(tables[0]).select("zip", "ts", *PICKUP_NAMES)
-    size = features.count() * (16 + 8 * 4)
+    size = features.count() * 16 * 5
     assert fits_broadcast(features, size) and not fits_broadcast(features, size - 1)
     # Text has no bounded width.
     assert not fits_broadcast(spark.table(tables[0]), size * 100)

@@ -65,7 +65,8 @@ def test_split_is_disjoint_complete_and_stable(larger):
 
 
 def test_metrics(spark):
-    df = spark.createDataFrame([(1.0, 3.0), (2.0, 2.0), (None, 1.0)], "prediction double, fare_amount double")
+    rows = [(1.0, 3.0), (2.0, 2.0), (None, 1.0)]
+    df = spark.createDataFrame(rows, "prediction double, fare_amount double")
     assert tuple(regression_metrics(df).first()) == (2.0, 2.0**0.5, 2)
 
 
@@ -139,10 +140,10 @@ def test_scores(spark, trained, larger):
 def test_versions(spark, trained, larger):
     run, registry, _, _ = trained
     assert run.version == 1
-    assert latest_version(spark, registry, "taxi_fares") == 1
-    assert latest_version(spark, fresh_path(spark, "none"), "taxi_fares") == 1
+    assert latest_version(spark, registry, "fares") == 1
+    assert latest_version(spark, fresh_path(spark, "none"), "fares") == 1
     with pytest.raises(LookupError):
-        load_model(spark, fresh_path(spark, "none"), "taxi_fares")
+        load_model(spark, fresh_path(spark, "none"), "fares")
     for expected in (1, 2):
         assert publish_model(run.model, run.training_set, registry, "other") == expected
     assert load_model(spark, registry, "other").version == 2
@@ -169,7 +170,7 @@ def test_client(spark, trained, sample, table):
     for _ in range(2):
         client.create_table(
             name=name, primary_keys=["zip", "ts"], df=features, partition_columns="yyyy_mm",
-            description="Taxi Fares. Dropoff Features",
+            description="Dropoff features",
         )
     client.write_table(name=name, df=features, mode="merge")
     assert client.read_table(name).count() == features.count()

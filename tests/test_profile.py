@@ -50,7 +50,8 @@ def test_boxplot_equals_brute_force_with_hot_group_and_value(spark):
     rows += [(2, float(i), float(i % 3)) for i in range(7)] + [(3, -1.5, 0.0)]
     rows += [(4, None, 1.0), (None, 3.0, 1.0)]
     df = spark.createDataFrame(rows, "g int, a double, b double").repartition(7)
-    got = {(r["measure"], r["group_value"]): r for r in boxplot_stats(df, "g", ["a", "b"]).collect()}
+    boxes = boxplot_stats(df, "g", ["a", "b"]).collect()
+    got = {(r["measure"], r["group_value"]): r for r in boxes}
     expected = {}
     for index, measure in ((1, "a"), (2, "b")):
         for group in range(5):
@@ -77,7 +78,8 @@ def test_a_group_over_many_slices(spark):
 
 
 def test_dropoff_boxes_have_both_flags(sample):
-    groups = {(r["measure"], r["group_value"]) for r in boxplot_dropoff(dropoff_features(sample)).collect()}
+    boxes = boxplot_dropoff(dropoff_features(sample)).collect()
+    groups = {(r["measure"], r["group_value"]) for r in boxes}
     names = ("count_trips_window_30m_dropoff_zip", "dropoff_is_weekend")
     assert groups == {(name, flag) for name in names for flag in (0.0, 1.0)}
 

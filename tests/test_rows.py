@@ -60,13 +60,13 @@ def test_rounded_trips(spark, make_trips):
             (None, "2024-01-01 23:59:00", 1.0, 7.0, 1, 2),
         ]
     )
-    rounded = rounded_trips(trips, view="taxi_data_test")
+    rounded = rounded_trips(trips, view="rounded_test")
     assert rounded.columns == [
         "trip_distance", "fare_amount", "pickup_zip", "dropoff_zip",
         "rounded_pickup_datetime", "rounded_dropoff_datetime",
     ]
     base = 1704067200
-    got = {row[1]: (row[4], row[5]) for row in spark.table("taxi_data_test").collect()}
+    got = {row[1]: (row[4], row[5]) for row in spark.table("rounded_test").collect()}
     assert got == {
         5.0: (base + 10 * 3600 + 900, base + 10 * 3600 + 1800),
         6.0: (base + 10 * 3600 + 1800, base + 11 * 3600),
@@ -89,7 +89,8 @@ def test_hash_percent_takes_nulls(spark):
 
 
 def test_prepare_trips(golden):
-    out = prepare_trips(golden, {"fare_amount": "fare", "pickup_zip": "zip"}, keep=["trip_distance"])
+    names = {"fare_amount": "fare", "pickup_zip": "zip"}
+    out = prepare_trips(golden, names, keep=["trip_distance"])
     assert out.columns == ["fare", "zip", "trip_distance"]
 
 

@@ -90,7 +90,8 @@ def test_owned_windows_of_adjacent_ranges_make_up_the_whole(sample):
 def test_bounds_may_be_columns_or_dates(sample):
     as_column = F.expr("timestamp_ntz'2024-01-05'"), F.expr("timestamp_ntz'2024-01-06'")
     for edges in ("partial", "whole", "owned"):
-        expected = as_dict(pickup_features(sample, start="2024-01-05", end="2024-01-06", edges=edges))
+        bounds = {"start": "2024-01-05", "end": "2024-01-06"}
+        expected = as_dict(pickup_features(sample, **bounds, edges=edges))
         for start, end in (as_column, (date(2024, 1, 5), date(2024, 1, 6))):
             got = pickup_features(sample, start=start, end=end, edges=edges)
             assert as_dict(got) == expected
