@@ -120,11 +120,15 @@ def correlate_logs(logs: DataFrame) -> DataFrame:
     return totals.filter("traces > 0 AND exceptions > 0 AND dependencies > 0")
 
 
-def correlated_rows(logs: DataFrame) -> DataFrame:
+def correlated_rows(logs: DataFrame, salts: int = 8) -> DataFrame:
     """The log rows of the operations that ``correlate_logs`` reports.
 
-    A semi join: rows are kept or not, never paired. Operations are unique
-    on its right side, and hot ones on the left are split when it runs.
+    A semi join: rows are kept or not, never paired. A hot operation's rows
+    are spread by a salt, and its one row on the right is repeated for each.
+    The salt also makes the join shuffle its right side anew; on the
+    aggregate's own partitioning, skewed partitions could not be split.
     """
-    operations = correlate_logs(logs).select("operation_id")
-    return logs.join(operations, "operation_id", "left_semi").select(*logs.columns)
+    repeated = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    operations = correlate_logs(logs).select("operation_id", repeated.alias("_salt"))
+    salted = logs.withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int"))
+    return salted.join(operations, ["operation_id", "_salt"], "left_semi").select(*logs.columns)

@@ -82,7 +82,8 @@ def lookup_features(
     The features' keys are unique, so every row of ``df`` comes out once.
     Unless ``broadcast`` is asked for, Spark chooses the join when it runs
     and splits the tasks of hot keys (the ``df`` side of a left join can be
-    split), NULL keys among them.
+    split), NULL keys among them. For that, ``features`` must not come from
+    an aggregate by the lookup's own keys; stored tables never do.
 
     ``month_column`` names the features' partition column, to be joined on
     as well: then a filter on ``df`` also prunes the months read. It costs

@@ -82,20 +82,17 @@ def _frequencies(df: DataFrame, group: str, measures: Sequence[str]) -> DataFram
     return stage(counted, "frequencies")
 
 
-def _quartiles(values: DataFrame) -> DataFrame:
+def _quartiles(values: DataFrame, held: DataFrame) -> DataFrame:
     """Exact interpolated quartiles per measure and group.
 
-    Counting rows per slice tells which slices hold the wanted ranks; only
+    ``held``, the number of rows per slice, tells which slices hold the wanted ranks; only
     those, at most six per group, are read again and ranked. No task sees
     more than one slice of a group.
     """
     group = ["measure", "group_value"]
     whole = Window.partitionBy(*group)
-    slices = (
-        values.groupBy(*group, "slice")
-        .agg(F.sum("n").alias("held"))
-        .withColumn("total", F.sum("held").over(whole))
-        .withColumn("upto", F.sum("held").over(whole.orderBy("slice")))
+    slices = held.withColumn("total", F.sum("held").over(whole)).withColumn(
+        "upto", F.sum("held").over(whole.orderBy("slice"))
     )
     position = {name: (F.col("total") - 1) * share for name, share in _QUARTILES.items()}
     ranks = F.array(
@@ -144,17 +141,21 @@ def boxplot_stats(df: DataFrame, group: str, measures: Sequence[str]) -> DataFra
     """
     keys = ["measure", "group_value"]
     values = _frequencies(df, group, measures)
-    boxed = values.select(*keys, "value", "n").join(_quartiles(values), keys)
+    held = values.groupBy(*keys, "slice").agg(F.sum("n").alias("held"))
+    # Each slice gets its group's box: joining by slice, no task takes the
+    # values of a whole group.
+    boxes = held.select(*keys, "slice").join(_quartiles(values, held), keys)
+    boxed = values.join(boxes, [*keys, "slice"])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    boxes = boxed.groupBy(*keys, "q1", "median", "q3").agg(
+    stats = boxed.groupBy(*keys, "q1", "median", "q3").agg(
         F.sum("n").alias("row_count"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
     )
     names = F.array(*[F.lit(name) for name in measures])
-    return boxes.withColumn("measure", F.element_at(names, F.col("measure")))
+    return stats.withColumn("measure", F.element_at(names, F.col("measure")))
 
 
 def boxplot_pickup(features: DataFrame) -> DataFrame:

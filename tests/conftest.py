@@ -40,6 +40,23 @@ def zone(spark):
     spark.conf.set("spark.sql.session.timeZone", before)
 
 
+@pytest.fixture
+def splitting(spark):
+    """Joins that shuffle, and take partitions of some 100 KB for skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 @pytest.fixture
 def table(spark):
     """A function that gives names of tables that do not exist yet."""

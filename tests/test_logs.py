@@ -100,6 +100,25 @@ def test_correlation_of_a_hot_operation_stays_one_row(log):
     assert correlated_rows(hot).count() == 3000
 
 
+def test_rows_of_a_hot_operation_are_split(spark, splitting):
+    logs = spark.range(0, 200_000, 1, 16).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01' AS ts",
+        "CASE WHEN id % 2 = 0 THEN 1 ELSE id % 5000 END AS operation_id",
+        "element_at(array('trace', 'exception', 'dependency'), cast(id % 3 + 1 AS int)) AS kind",
+        "'r' AS role", "'e' AS experiment_id", "1L AS run_id", "1.0D AS duration",
+    )
+    rows = correlated_rows(logs)
+    got = rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+    kinds = {}
+    for row in logs.select("operation_id", "kind").distinct().collect():
+        kinds.setdefault(row[0], set()).add(row[1])
+    complete = {operation for operation, have in kinds.items() if len(have) == 3}
+    expected = logs.filter(F.col("operation_id").isin(*complete)).count()
+    assert len(got) == expected and {row["operation_id"] for row in got} == complete
+
+
 def test_three_tables_correlate_like_one(few):
     parts = [few.filter(F.col("kind") == kind).drop("kind") for kind in KINDS]
     assert rows_of(correlate_logs(combine_logs(*parts))) == rows_of(correlate_logs(few))

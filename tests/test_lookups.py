@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from faretide.functions.times import ceil_minutes
 from faretide.operators.lookups import (
+    DROPOFF_KEY,
+    DROPOFF_NAMES,
     PICKUP_KEY,
     PICKUP_NAMES,
     FeatureLookup,
@@ -128,39 +130,34 @@ def test_null_keys_match_nothing(make_trips):
     assert joined.filter(F.col(PICKUP_NAMES[1]).isNotNull()).count() == 0
 
 
-def test_hot_and_null_keys_are_split(spark, sample):
+def test_hot_and_null_keys_are_split(spark, sample, splitting):
     """A key, or NULL, with a third of all rows is joined by several tasks."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
-    features = pickup_features(sample)
-    hot = features.orderBy("zip", "ts").first()
+    pickup, dropoff = pickup_features(sample), dropoff_features(sample)
+    hot = [features.orderBy("zip", "ts").first() for features in (pickup, dropoff)]
+
+    def column(values, other, name):
+        """One key for a third of the rows, NULL for another, many for the rest."""
+        return f"cast(CASE id % 3 WHEN 0 THEN {values} WHEN 2 THEN {other} END AS int) AS {name}"
+
+    many = "1704067200 + id % 1488 * 1800"
     trips = spark.range(0, 150_000, 1, 16).selectExpr(
         "id",
-        f"cast(CASE id % 3 WHEN 0 THEN {hot['zip']} WHEN 2 THEN 10000 + id % 20 END AS int)"
-        " AS pickup_zip",
-        f"cast(CASE id % 3 WHEN 0 THEN {hot['ts']} ELSE 1704067200 + id % 2976 * 900 END AS int)"
-        " AS rounded_pickup_datetime",
+        column(hot[0]["zip"], "10000 + id % 20", "pickup_zip"),
+        column(hot[0]["ts"], many, "rounded_pickup_datetime"),
+        column(hot[1]["zip"], "10000 + id % 20", "dropoff_zip"),
+        column(hot[1]["ts"], many, "rounded_dropoff_datetime"),
     )
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        joined = lookup_features(trips, features, PICKUP_KEY, PICKUP_NAMES)
-        by_hot = joined.groupBy(F.col("id") % 3).agg(
-            F.count("*").alias("n"), F.count(PICKUP_NAMES[1]).alias("found")
-        )
-        got = {r[0]: (r[1], r[2]) for r in by_hot.collect()}
-        joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-    assert got[0] == (50_000, 50_000) and got[1] == (50_000, 0) and got[2][0] == 50_000
-    assert "SortMergeJoin(skew=true)" in plan
+    joined = lookup_features(trips, pickup, PICKUP_KEY, PICKUP_NAMES)
+    joined = lookup_features(joined, dropoff, DROPOFF_KEY, DROPOFF_NAMES)
+    rows = joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("SortMergeJoin(skew=true)") == 2
+    assert sorted(row["id"] for row in rows) == list(range(150_000))
+    found = {"p": [0, 0, 0], "d": [0, 0, 0]}
+    for row in rows:
+        found["p"][row["id"] % 3] += row[PICKUP_NAMES[1]] is not None
+        found["d"][row["id"] % 3] += row[DROPOFF_NAMES[0]] is not None
+    assert found["p"][:2] == found["d"][:2] == [50_000, 0]
 
 
 def test_month_pruning_reaches_the_feature_scan(spark, sample, tables):

@@ -63,7 +63,7 @@ def test_boxplot_equals_brute_force_with_hot_group_and_value(spark):
         assert [got[key][c] for c in BOX] == pytest.approx(numbers, rel=1e-9)
 
 
-def test_a_group_over_many_slices(spark):
+def test_a_group_over_many_slices(spark, splitting):
     """Small shuffle partitions, so that one group's values span all slices."""
     setting = "spark.sql.adaptive.coalescePartitions.enabled"
     before = spark.conf.get(setting)
