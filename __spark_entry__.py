@@ -61,6 +61,17 @@ from faretide.sources.events import EVENTS, logs_from_events, read_events, trips
 from faretide.sources.tables import read_logs, read_training_csv, read_trips, stream_trips
 from faretide.streaming.features import stream_features
 
+try:
+    import corpus_pipeline
+    from faretide.llm.queries import ORACLES as LLM_ORACLES
+    from faretide.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError:
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = {"pipeline": corpus_pipeline.run, **LLM_QUERIES}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLES = {"pipeline": corpus_pipeline.ORACLE_SQL, **LLM_ORACLES}
+
 DATABASE = "faretide_queries"
 START, END = "2024-01-05", "2024-01-20"
 FIRST_HALF, SECOND_HALF = ("2024-01-01", "2024-01-16"), ("2024-01-15", "2024-02-01")
@@ -475,8 +486,9 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    """All ``q_`` functions of this module by name."""
-    return {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    """All ``q_`` functions of this module by name, and the text operators if they are there."""
+    own = {name[2:]: query for name, query in globals().items() if name.startswith("q_")}
+    return own | LLM_QUERIES
 
 
 # --- oracles ---------------------------------------------------------------------------
@@ -645,6 +657,10 @@ _HASH = "('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 100"
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_oracles() | LLM_ORACLES
+
+
+def _own_oracles() -> dict[str, str]:
     return {
         "filter_by_time": _with(_TRIPS)
         + f"SELECT * FROM trips WHERE {_within('tpep_pickup_datetime', START, END)}",
