@@ -103,11 +103,11 @@ s AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
   FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 l AS (
   SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
-  WHERE 100 * both >= 80 * (x.n + y.n - both)),
+  WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
 r AS (
   SELECT a AS doc_id, a AS other FROM l UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.other = l.a)
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles,
