@@ -12,7 +12,8 @@ Documents link when ``100 * |A and B| >= percent * |A or B|`` over their sets of
    few occur elsewhere links with nothing. The others' n-grams are counted in full, and lists are
    kept for each set's rarest n-grams only, enough that linked sets meet in one. N-grams of a
    passage that many documents share thereby stay out of the lists, unless a document consists
-   of little else.
+   of little else. Two sets are only compared in a list if what comes after its n-gram in both
+   is enough for a link.
 4. A list is not paired up. Its most central set (fewest n-grams of its own) is compared with the
    others exactly; what links is joined into one component, and lists within one component are
    done. After some rounds, what is left is compared across components only. So no link between
@@ -47,7 +48,7 @@ LIGHTEST = 16
 #: Times that an n-gram of a heavy set's prefix is written or read on its way into a list.
 PASSES = 4
 #: Lists are compared pair by pair once that takes at most so many pairs a row,
-PAIRS_A_ROW = 4
+PAIRS_A_ROW = 2
 #: or after so many rounds of comparing with their most central set.
 ROUNDS = 6
 
@@ -179,7 +180,10 @@ def _heavy_survivors(heads: DataFrame, percent: int) -> DataFrame:
 
 
 def _rarest(sets: DataFrame, percent: int) -> DataFrame:
-    """Lists ``(key, id, n, lone)`` of each set's rarest n-grams that other sets have too."""
+    """Lists ``(key, id, n, lone, pos)`` of each set's rarest n-grams that other sets have too.
+
+    ``pos`` is the n-gram's place in the set when sorted from rare to frequent.
+    """
     tokens = sets.select("id", "n", F.explode("items").alias("token"))
     counts = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     n = F.col("n")
@@ -190,10 +194,14 @@ def _rarest(sets: DataFrame, percent: int) -> DataFrame:
         .withColumn("own", n - F.size("all"))
         .where(F.col("own") < free)
         .select(
-            "id", "n", (F.col("own") / n).alias("lone"),
-            F.explode(F.slice("all", F.lit(1), (free - F.col("own")).cast("int"))).alias("t"),
+            "id", "n", "own",
+            F.posexplode(F.slice("all", F.lit(1), (free - F.col("own")).cast("int")))
+            .alias("at", "t"),
+        )
+        .select(
+            F.col("t.token").alias("key"), "id", "n", (F.col("own") / n).alias("lone"),
+            (F.col("own") + F.col("at") + 1).alias("pos"),
         )
-        .select(F.col("t.token").alias("key"), "id", "n", "lone")
     )
 
 
@@ -212,8 +220,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _close(n: str, m: str, percent: int) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def _close(one: str, two: str, percent: int) -> Column:
+    """Whether two sets can share enough if this is the rarest n-gram that both have.
+
+    Linked sets pass in the list of that n-gram, whatever other lists they meet in.
+    """
+    n, m = F.col(f"{one}n"), F.col(f"{two}n")
+    left = F.least(n - F.col(f"{one}pos"), m - F.col(f"{two}pos")) + 1
+    return left * (100 + percent) >= (n + m) * percent
 
 
 def linked(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -224,7 +238,7 @@ def linked(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     active = listed.withColumn("component", F.col("id"))
     for turn in range(ROUNDS + 1):
         hubs = active.groupBy("key").agg(
-            F.min(F.struct("lone", "id", "n", "component")).alias("hub"),
+            F.min(F.struct("lone", "id", "n", "component", "pos")).alias("hub"),
             F.min("component").alias("low"), F.max("component").alias("high"),
         ).where("low <> high").select("key", "hub")
         active = stage(active.join(hubs, "key"), "lists")
@@ -236,7 +250,7 @@ def linked(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if not last:
             pairs = active.where(
                 (F.col("component") != F.col("hub.component"))
-                & _close("n", "hub.n", percent)
+                & _close("", "hub.", percent)
             ).select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
             active = active.where(F.col("id") != F.col("hub.id"))
         else:
@@ -245,10 +259,10 @@ def linked(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 two,
                 (F.col("one.key") == F.col("two.key")) & (F.col("one.id") < F.col("two.id"))
                 & (F.col("one.component") != F.col("two.component"))
-                & _close("one.n", "two.n", percent),
+                & _close("one.", "two.", percent),
             ).select(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
         found = stage(_verified(stage(pairs.distinct(), "pairs"), sets, percent), "links")
-        active = active.select("key", "id", "n", "lone", "component")
+        active = active.select("key", "id", "n", "lone", "pos", "component")
         empty = found.isEmpty()
         if not empty:
             links = links.union(found)
@@ -260,7 +274,7 @@ def linked(listed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         active = (
             active.drop("component").join(labels, "id", "left")
             .withColumn("component", F.coalesce("component", "id"))
-            .select("key", "id", "n", "lone", "component")
+            .select("key", "id", "n", "lone", "pos", "component")
         )
     return labels
 
@@ -302,7 +316,7 @@ def ngram_components(
         small.where(F.col("n") <= light).select("id", "head")
         .mapInArrow(_subset_keys(percent), "id long, key long")
         .join(small.select("id", "n"), "id")
-        .select("key", "id", "n", F.lit(0.0).alias("lone"))
+        .select("key", "id", "n", F.lit(0.0).alias("lone"), F.lit(1).alias("pos"))
     )
     scanned = _rarest(sets.where(F.col("n") >= _at_least(light + 1, percent)), percent)
     labels = linked(stage(scanned.union(keys), "lists"), sets, percent)
