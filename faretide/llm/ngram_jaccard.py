@@ -50,7 +50,7 @@ PASSES = 4
 #: Lists are compared pair by pair once that takes at most so many pairs a row,
 PAIRS_A_ROW = 2
 #: or after so many rounds of comparing with their most central set.
-ROUNDS = 6
+ROUNDS = 3
 
 
 def _at_least(size, percent):
