@@ -75,7 +75,6 @@ else:
 DATABASE = "faretide_queries"
 START, END = "2024-01-05", "2024-01-20"
 FIRST_HALF, SECOND_HALF = ("2024-01-01", "2024-01-16"), ("2024-01-15", "2024-02-01")
-ROUNDS = 5
 
 
 def _trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,7 +166,7 @@ def q_pickup_features(spark, folder):
 
 
 def q_pickup_features_direct(spark, folder):
-    return pickup_features(_trips(spark, folder), start=START, end=END, panes=False)
+    return pickup_features(_trips(spark, folder), panes=False)
 
 
 def q_pickup_features_range(spark, folder):
@@ -192,7 +191,7 @@ def q_dropoff_features_range(spark, folder):
 
 def q_create_feature_table(spark, folder):
     table = _new_table(spark, "created")
-    features = stage(dropoff_features(_trips(spark, folder), start=START, end=END))
+    features = stage(dropoff_features(_trips(spark, folder)))
     for _ in range(2):
         create_feature_table(features, table, description="Dropoff features")
     return read_features(spark, table)
@@ -381,9 +380,24 @@ def q_correlate_three_logs(spark, folder):
 
 
 def q_correlated_rows(spark, folder):
-    logs = _logs(spark, folder)
-    recent = logs.filter(F.col("ts") > _latest(logs) - F.expr("INTERVAL 1 DAY"))
-    return log_queries.correlated_rows(recent)
+    return log_queries.correlated_rows(_logs(spark, folder))
+
+
+def q_correlate_unnamed(spark, folder):
+    """Rows without an operation are not one."""
+    unnamed = F.when(F.col("event_id") % 3 != 0, F.col("operation_id"))
+    logs = _logs(spark, folder).withColumn("operation_id", unnamed)
+    return _rounded_numbers(log_queries.correlate_logs(logs), "dependency_duration")
+
+
+def q_all_traces(spark, folder):
+    """More rows than the default limit, which is lifted."""
+    return log_queries.recent_logs(_logs(spark, folder), window=None, limit=None)
+
+
+def q_newest_traces(spark, folder):
+    """The default limit, where there are more rows."""
+    return log_queries.recent_logs(_logs(spark, folder), window=None)
 
 
 def q_log_dimensions(spark, folder):
@@ -418,7 +432,10 @@ def q_split_by_hash(spark, folder):
 
 
 def q_regression_metrics(spark, folder):
-    looked_up = q_pickup_lookup(spark, folder)
+    trips = _trips(spark, folder)
+    looked_up = lookup_features(
+        rounded_trips(trips), pickup_features(trips), PICKUP_KEY, PICKUP_NAMES
+    )
     return _rounded_numbers(regression_metrics(looked_up, PICKUP_NAMES[0]), "mse", "rmse")
 
 
@@ -458,26 +475,43 @@ def q_run_metrics(spark, folder):
     return read_run_metrics(spark, path, "run-1").drop("ts")
 
 
+#: A boosted model on one feature with few values gives each value's mean label.
+ONE_FEATURE = "dropoff_is_weekend"
+
+
 def q_train_fare_model(spark, folder):
-    lookups = fare_lookups(*_stored_pair(spark, folder, START, END))
+    lookups = fare_lookups(*_stored_pair(spark, folder))
+    rows = training_set(rounded_trips(_trips(spark, folder)), lookups).load_df()
+    rows = stage(rows.select("event_id", ONE_FEATURE, "fare_amount"))
+    train, test = split_by_hash(rows, ["event_id"])
+    model = train_fare_model(train.drop("event_id"))
+    predicted = predict(model, test)
+    return predicted.select("event_id", F.round("prediction", 6).alias("prediction"))
+
+
+def q_fare_model_quality(spark, folder):
+    """All features and rounds: no prediction missing, and better than the mean."""
+    lookups = fare_lookups(*_stored_pair(spark, folder))
     rows = stage(training_set(rounded_trips(_trips(spark, folder)), lookups).load_df())
     train, test = split_by_hash(rows, ["event_id"])
-    model = train_fare_model(train.drop("event_id"), num_rounds=ROUNDS)
-    return predict(model, test)
+    predicted = predict(train_fare_model(train.drop("event_id")), test)
+    error = F.col("prediction") - F.col("fare_amount")
+    return predicted.agg(
+        F.count("*").alias("row_count"),
+        F.count_if(F.col("prediction").isNull()).alias("missing"),
+        (F.avg(error * error) < F.var_pop("fare_amount")).alias("better_than_mean"),
+    )
 
 
 def q_score_batch(spark, folder):
     trips = rounded_trips(_trips(spark, folder))
-    lookups = fare_lookups(*_stored_pair(spark, folder, START, END))
-    described = training_set(
-        trips,
-        lookups,
-        exclude_columns=["rounded_pickup_datetime", "rounded_dropoff_datetime", "event_id"],
-    )
-    model = train_fare_model(stage(described.load_df()), num_rounds=ROUNDS)
+    lookups = fare_lookups(*_stored_pair(spark, folder))
+    others = {*trips.columns, *PICKUP_NAMES, *DROPOFF_NAMES} - {ONE_FEATURE, "fare_amount"}
+    described = training_set(trips, lookups, exclude_columns=sorted(others))
+    model = train_fare_model(stage(described.load_df()))
     registry = fresh_path(spark, "registry")
     publish_model(model, described, registry)
-    return score_batch(trips, registry)
+    return _nullable(score_batch(trips, registry))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -687,7 +721,7 @@ SELECT event_id, (h + ceil(o / 420000000) * 420)::INT AS up_7,
         + f"""SELECT * FROM trips
 WHERE {_within('tpep_pickup_datetime', START, END)} AND {_HASH} < 20""",
         "pickup_features": _ALL_PICKUP,
-        "pickup_features_direct": _RANGE_PICKUP,
+        "pickup_features_direct": _ALL_PICKUP,
         "pickup_features_range": _RANGE_PICKUP,
         "pickup_features_whole": _with(
             _TRIPS,
@@ -706,7 +740,7 @@ WHERE {_within('tpep_pickup_datetime', START, END)} AND {_HASH} < 20""",
         + "SELECT * FROM pickup",
         "dropoff_features": _ALL_DROPOFF,
         "dropoff_features_range": _RANGE_DROPOFF,
-        "create_feature_table": _RANGE_DROPOFF,
+        "create_feature_table": _ALL_DROPOFF,
         "read_features": _with(_TRIPS, _pickup("pickup"))
         + f"""SELECT * FROM pickup WHERE ts >= epoch(TIMESTAMP '2024-01-10 06:00:00')
   AND ts < epoch(TIMESTAMP '{END}')""",
@@ -776,10 +810,14 @@ UNION ALL SELECT 'dropoff_features', count(*), 5 FROM dropoff""",
         "correlate_logs": _with(_LOG) + _CORRELATED,
         "correlate_three_logs": _with(_LOG) + _CORRELATED,
         "correlated_rows": _with(_LOG)
-        + """, recent AS (
-  SELECT * FROM log WHERE ts > (SELECT max(ts) FROM log) - to_days(1))
-SELECT * FROM recent WHERE operation_id IN (
-  SELECT operation_id FROM recent GROUP BY operation_id HAVING count(DISTINCT kind) = 3)""",
+        + """SELECT * FROM log WHERE operation_id IN (
+  SELECT operation_id FROM log GROUP BY operation_id HAVING count(DISTINCT kind) = 3)""",
+        "correlate_unnamed": _with(_LOG)
+        + _CORRELATED.replace("FROM log", "FROM log WHERE event_id % 3 <> 0"),
+        "all_traces": _with(_LOG) + "SELECT * FROM log WHERE kind = 'trace'",
+        "newest_traces": _with(_LOG)
+        + """SELECT * FROM log WHERE kind = 'trace'
+ORDER BY ts DESC, event_id DESC LIMIT 1000""",
         "log_dimensions": """SELECT event_id,
        json_extract_string(props, '$.k') AS experiment,
        json_extract_string(props, '$.nothing') AS absent FROM events""",
@@ -794,13 +832,27 @@ SELECT event_id, json_extract_string(d, '$.k') AS k,
        len(json_keys(d))::INT AS dimensions FROM m""",
         "split_by_hash": f"""SELECT event_id, value AS fare_amount,
        CASE WHEN {_HASH} < 75 THEN 'train' ELSE 'test' END AS part FROM events""",
-        "regression_metrics": _with(*_RANGED)
+        "regression_metrics": _with(_TRIPS, _ROUNDED, _pickup("pickup"))
         + f"""SELECT round(avg(e * e), 6) AS mse, round(sqrt(avg(e * e)), 6) AS rmse,
        count(e) AS row_count
 FROM (SELECT p.mean_fare_window_1h_pickup_zip::DOUBLE - r.fare_amount AS e
       FROM rounded r {_PICKUP_JOIN})""",
         "prediction_shape": _PREDICTIONS,
         "write_predictions": _PREDICTIONS,
+        "train_fare_model": _with(_TRIPS, _ROUNDED, _dropoff("dropoff"))
+        + f""", j AS (SELECT r.event_id, r.fare_amount, d.dropoff_is_weekend AS flag,
+       {_HASH} < 75 AS train FROM rounded r {_DROPOFF_JOIN}),
+m AS (SELECT flag, avg(fare_amount) AS fare FROM j WHERE train GROUP BY flag)
+SELECT event_id, round(fare, 6) AS prediction
+FROM j JOIN m ON j.flag IS NOT DISTINCT FROM m.flag WHERE NOT train""",
+        "fare_model_quality": f"""SELECT count(*) AS row_count, 0::BIGINT AS missing,
+       true AS better_than_mean FROM events WHERE {_HASH} >= 75""",
+        "score_batch": _with(_TRIPS, _ROUNDED, _pickup("pickup"), _dropoff("dropoff"))
+        + f"""SELECT round(avg(r.fare_amount) OVER (PARTITION BY d.dropoff_is_weekend), 2)
+         AS predicted_fare_amount,
+       r.fare_amount, r.trip_distance, r.pickup_zip, r.dropoff_zip,
+       r.rounded_pickup_datetime, r.rounded_dropoff_datetime, {_P}, {_D}
+FROM rounded r {_PICKUP_JOIN} {_DROPOFF_JOIN}""",
         "run_metrics": """SELECT 'run-1' AS run_id, 'data_raw_rows' AS key,
        count(*)::VARCHAR AS value FROM events
 UNION ALL SELECT 'run-1', 'data_raw_cols', '7'""",

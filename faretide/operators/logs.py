@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faretide.functions.dimensions import dimension
-from faretide.functions.times import time_literal
+from faretide.functions.times import is_instant, time_literal
 
 TRACE, EXCEPTION, DEPENDENCY = "trace", "exception", "dependency"
 KINDS = (TRACE, EXCEPTION, DEPENDENCY)
@@ -35,13 +35,26 @@ def extend_dimensions(logs: DataFrame, column: str, **names: str) -> DataFrame:
     )
 
 
-def _recent(logs: DataFrame, now: datetime | str | Column | None, window: str) -> DataFrame:
-    moment = F.current_timestamp() if now is None else time_literal(logs, "ts", now)
+def _clock(logs: DataFrame) -> Column:
+    """The current time as the column's type; wall-clock columns are UTC in any session."""
+    if is_instant(logs, "ts"):
+        return F.current_timestamp()
+    seconds = (F.unix_micros(F.current_timestamp()) / 1_000_000).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.expr("timestamp_ntz'1970-01-01'") + F.make_dt_interval(zero, zero, zero, seconds)
+
+
+def _recent(logs: DataFrame, now: datetime | str | Column | None, window: str | None) -> DataFrame:
+    if window is None:
+        return logs
+    moment = _clock(logs) if now is None else time_literal(logs, "ts", now)
     return logs.filter(F.col("ts") > moment - F.expr(f"INTERVAL {window}"))
 
 
-def _newest(logs: DataFrame, limit: int) -> DataFrame:
-    """A row limit with a fixed choice of rows, unlike a bare limit."""
+def _newest(logs: DataFrame, limit: int | None) -> DataFrame:
+    """A row limit with a fixed choice of rows, unlike a bare limit; None for all rows."""
+    if limit is None:
+        return logs
     return logs.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(limit)
 
 
@@ -51,12 +64,13 @@ def recent_logs(
     experiment_id: str | None = None,
     run_id: object = None,
     now: datetime | str | Column | None = None,
-    window: str = "30 minutes",
-    limit: int = 1000,
+    window: str | None = "30 minutes",
+    limit: int | None = 1000,
 ) -> DataFrame:
     """The newest rows of one kind, optionally of one experiment and run.
 
-    ``now`` may be a scalar subquery; it defaults to the current time.
+    ``now`` may be a scalar subquery; it defaults to the current time. No ``window`` or
+    ``limit`` (None) takes rows of any age, or all of them.
     """
     rows = _recent(logs, now, window)
     if kind is not None:
@@ -76,8 +90,8 @@ def stage_durations(
     logs: DataFrame,
     role: str,
     now: datetime | str | Column | None = None,
-    window: str = "30 minutes",
-    limit: int = 1000,
+    window: str | None = "30 minutes",
+    limit: int | None = 1000,
 ) -> DataFrame:
     """The newest dependency rows of one role, which hold its stages' durations."""
     return recent_logs(
@@ -89,10 +103,10 @@ def operation_logs(
     logs: DataFrame,
     operation_id: object,
     now: datetime | str | Column | None = None,
-    window: str = "30 minutes",
-    limit: int = 1000,
+    window: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """The newest rows of every kind that belong to one operation."""
+    """The rows of every kind that belong to one operation, all of them unless bounded."""
     rows = logs.filter(F.col("operation_id") == operation_id)
     return recent_logs(rows, None, now=now, window=window, limit=limit)
 
@@ -108,7 +122,8 @@ def correlate_logs(logs: DataFrame) -> DataFrame:
     def of(kind: str, value: Column | int = 1) -> Column:
         return F.when(F.col("kind") == kind, value)
 
-    totals = logs.groupBy("operation_id").agg(
+    # Rows that belong to no operation are not one.
+    totals = logs.filter(F.col("operation_id").isNotNull()).groupBy("operation_id").agg(
         F.count(of(TRACE)).alias("traces"),
         F.count(of(EXCEPTION)).alias("exceptions"),
         F.count(of(DEPENDENCY)).alias("dependencies"),

@@ -15,8 +15,19 @@ from faretide.operators.rows import hash_percent
 from faretide.session import shared_folder
 
 LABEL = "fare_amount"
+#: The defaults of a training job.
 DEFAULT_PARAMS = {"num_leaves": 32, "objective": "regression", "metric": "rmse"}
 DEFAULT_ROUNDS = 100
+#: Parameters that Spark's trees have under another name. More bins than Spark's 32 follow
+#: fares more closely; a leaf of one row keeps small training sets usable.
+_TREE_PARAMS = {
+    "learning_rate": ("stepSize", float, 0.1),
+    "max_bin": ("maxBins", int, 64),
+    "min_data_in_leaf": ("minInstancesPerNode", int, 1),
+    "bagging_fraction": ("subsamplingRate", float, 1.0),
+    "feature_fraction": ("featureSubsetStrategy", str, "all"),
+    "seed": ("seed", int, 123),
+}
 _FEATURES = "model_features"
 
 
@@ -55,27 +66,44 @@ def assemble(columns: Sequence[str], missing: float) -> list:
     ]
 
 
+def tree_settings(params: Mapping[str, object] | None = None) -> dict[str, object]:
+    """What ``params`` mean to Spark's trees; names and values they cannot honour raise.
+
+    The depth is the smallest that allows ``num_leaves`` leaves.
+    """
+    params = DEFAULT_PARAMS | dict(params or {})
+    unknown = set(params) - set(DEFAULT_PARAMS) - set(_TREE_PARAMS)
+    if unknown:
+        raise ValueError(f"unknown parameters: {sorted(unknown)}")
+    for name in ("objective", "metric"):
+        if params[name] != DEFAULT_PARAMS[name]:
+            raise ValueError(f"unknown {name}: {params[name]}")
+    settings = {
+        name: kind(params.get(key, default)) for key, (name, kind, default) in _TREE_PARAMS.items()
+    }
+    leaves = int(params["num_leaves"])
+    if leaves < 2:
+        raise ValueError("num_leaves must be at least 2")
+    return settings | {"maxDepth": math.ceil(math.log2(leaves))}
+
+
 def train_fare_model(
     train: DataFrame,
     params: Mapping[str, object] | None = None,
     num_rounds: int = DEFAULT_ROUNDS,
     label: str = LABEL,
     missing: float | None = None,
-    seed: int = 123,
 ) -> PipelineModel:
     """Fit boosted regression trees on all columns but the label.
 
-    Trees grow by depth, so ``num_leaves`` sets the depth that allows as many
-    leaves. Rows without a label are left out. Every round scans ``train``
+    ``params`` are those of ``tree_settings``. Rows without a label are left out. Every round scans ``train``
     several times: pass a stored table, not a long plan.
     """
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         # Boosting cuts its lineage every ten rounds, if it has a folder for it.
         context.setCheckpointDir(shared_folder(train.sparkSession))
-    params = DEFAULT_PARAMS | dict(params or {})
-    if params["objective"] != "regression":
-        raise ValueError(f"unknown objective: {params['objective']}")
+    settings = tree_settings(params)
     columns = [name for name in train.columns if name != label]
     train = train.filter(F.col(label).isNotNull())
     if missing is None:
@@ -84,10 +112,9 @@ def train_fare_model(
         featuresCol=_FEATURES,
         labelCol=label,
         predictionCol="prediction",
-        maxDepth=max(1, int(math.log2(int(params["num_leaves"])))),
         maxIter=num_rounds,
         lossType="squared",
-        seed=seed,
+        **settings,
     )
     return Pipeline(stages=[*assemble(columns, missing), trees]).fit(train)
 

@@ -11,6 +11,7 @@ from faretide.operators.lookups import DROPOFF_NAMES, PICKUP_NAMES, apply_lookup
 from faretide.operators.models import predict
 from faretide.operators.registry import load_model
 
+#: The published columns and their order.
 SCORE_INPUT = (
     "fare_amount",
     "trip_distance",
@@ -19,18 +20,13 @@ SCORE_INPUT = (
     "rounded_pickup_datetime",
     "rounded_dropoff_datetime",
 )
-SCORE_OUTPUT = ("prediction", *SCORE_INPUT, *PICKUP_NAMES, *DROPOFF_NAMES)
+SCORE_OUTPUT = (*SCORE_INPUT, *PICKUP_NAMES, *DROPOFF_NAMES)
 
 
 def shape_predictions(df: DataFrame, prediction: str | Column = "prediction") -> DataFrame:
     """The published columns, with the prediction first and in cents."""
     value = F.col(prediction) if isinstance(prediction, str) else prediction
-    return (
-        df.withColumn("prediction", value)
-        .select(*SCORE_OUTPUT)
-        .withColumnRenamed("prediction", "predicted_fare_amount")
-        .withColumn("predicted_fare_amount", F.round("predicted_fare_amount", 2))
-    )
+    return df.select(F.round(value, 2).alias("predicted_fare_amount"), *SCORE_OUTPUT)
 
 
 def predict_batch(

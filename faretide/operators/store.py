@@ -2,8 +2,10 @@
 
 Tables are plain Parquet unless another format is named. Parquet has no
 transactions: a driver lost while a finished write is being moved in place
-can leave a month half replaced, and merging again repairs it. Where the
-table's format has ``MERGE INTO``, merging uses that.
+can leave a month without its old rows, which merging the same batch again
+does not bring back: rebuild such a month from the trips. Where the table's
+format has ``MERGE INTO``, merging uses that (no such format is installed
+here, so that branch has not been run).
 """
 
 from __future__ import annotations
@@ -222,6 +224,9 @@ def merge_features(
     provider = provider.filter("col_name = 'Provider'").first()["data_type"].lower()
     if provider in _MERGING_FORMATS:
         same = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
+        if partition:
+            months = ", ".join(_text(month) for month in report.months)
+            same += f" AND t.`{partition}` = s.`{partition}` AND t.`{partition}` IN ({months})"
         spark.sql(
             f"MERGE INTO {_quoted(table)} t USING {{new}} s ON {same} "
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",

@@ -28,9 +28,10 @@ from faretide.operators.profile import (
     boxplot_dropoff,
     boxplot_pickup,
     describe_features,
+    null_keys,
     shape_profile,
 )
-from faretide.operators.registry import publish_model
+from faretide.operators.registry import latest_version, publish_model
 from faretide.operators.rows import rounded_trips
 from faretide.operators.scoring import log_run_metrics, score_batch, write_predictions
 from faretide.operators.store import create_feature_table, merge_features
@@ -47,6 +48,14 @@ class FeatureRun:
     shapes: DataFrame
     profiles: dict[str, DataFrame] = field(default_factory=dict)
 
+    def recorded(self) -> dict[str, object]:
+        """Rows and columns of each table, as run metrics."""
+        found = {}
+        for row in self.shapes.collect():
+            found[f"{row['table_name']}_rows"] = row["row_count"]
+            found[f"{row['table_name']}_columns"] = row["column_count"]
+        return found
+
 
 def feature_job(
     trips: DataFrame,
@@ -70,6 +79,7 @@ def feature_job(
     run = FeatureRun(pickup, dropoff, shapes)
     if explain:
         run.profiles = {
+            "null_keys": null_keys(trips),
             "describe_pickup": describe_features(pickup),
             "describe_dropoff": describe_features(dropoff),
             "boxplot_pickup": boxplot_pickup(pickup),
@@ -103,6 +113,7 @@ class TrainingRun:
     training_set: TrainingSet
     metrics: dict[str, float]
     version: int | None = None
+    features: FeatureRun | None = None
 
 
 def fit_and_evaluate(
@@ -145,19 +156,23 @@ def train_job(
     dropoff_table: str = DROPOFF_TABLE,
     refresh_features: bool = True,
     run_id: str | None = None,
+    explain: bool = True,
 ) -> TrainingRun:
     """Refresh the features of the range, train on all trips and publish.
 
     Trips outside the range are trained on with NULL features, as the left
     lookups leave them.
     """
-    if refresh_features:
-        store_features(feature_job(trips, start, end, False), pickup_table, dropoff_table)
+    features = feature_job(trips, start, end, explain) if refresh_features else None
+    if features:
+        store_features(features, pickup_table, dropoff_table)
     described = training_set(rounded_trips(trips), fare_lookups(pickup_table, dropoff_table), LABEL)
     run = fit_and_evaluate(described, params, num_rounds, key_columns)
     run.version = publish_model(run.model, described, registry, name)
+    run.features = features
     if run_id is not None:
-        recorded = run.metrics | {"model_name": name, "model_version": run.version}
+        shapes = features.recorded() if features else {}
+        recorded = shapes | run.metrics | {"model_name": name, "model_version": run.version}
         log_run_metrics(trips.sparkSession, f"{registry}/run_metrics", run_id, recorded)
     return run
 
@@ -174,15 +189,23 @@ def score_job(
     dropoff_table: str = DROPOFF_TABLE,
     refresh_features: bool = True,
     run_id: str | None = None,
+    explain: bool = True,
 ) -> DataFrame:
     """Refresh the features of the range and score all trips.
 
     With ``output`` the predictions are written there, under the run's id,
     by one distributed write.
     """
-    if refresh_features:
-        store_features(feature_job(trips, start, end, False), pickup_table, dropoff_table)
+    features = feature_job(trips, start, end, explain) if refresh_features else None
+    if features:
+        store_features(features, pickup_table, dropoff_table)
     predictions = score_batch(rounded_trips(trips), registry, name, version)
     if output is not None:
         write_predictions(predictions, output, run_id)
+    if run_id is not None:
+        spark = trips.sparkSession
+        used = latest_version(spark, registry, name) if version in (None, "") else int(version)
+        shapes = features.recorded() if features else {}
+        recorded = shapes | {"scored_model_name": name, "scored_model_version": used}
+        log_run_metrics(spark, f"{registry}/run_metrics", run_id, recorded)
     return predictions
