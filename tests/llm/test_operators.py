@@ -1,0 +1,354 @@
+"""Each operator against brute force, and on rows that are missing, empty, long, tied or repeated."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from faretide.llm import ngram_jaccard, quality_classifier, quality_rules
+from faretide.llm.bpe import Encoder, TextEncoder, encode_texts
+from faretide.llm.fingerprints import fingerprints
+from faretide.llm.joins import components
+from faretide.llm.language_id import identify
+from faretide.llm.license_scan import TEMPLATES, scan_licenses
+from faretide.llm.mixing import mix_sources, repeat_taken
+from faretide.llm.ngram_jaccard import ngram_components
+from faretide.llm.queries import RULES, TOKENIZER
+from faretide.llm.token_shards import permuted, read_slots, write_shards
+from faretide.llm.url_filter import Rule, judge_urls
+from faretide.session import fresh_path
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+FOLDER = "/root/testdata/sf0.001"
+
+
+def make(spark, rows, schema=SCHEMA):
+    full = [tuple(r) + (None,) * (5 - len(r)) for r in rows]
+    return spark.createDataFrame(full, schema)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """NULLs, empty and white texts, a long text, repeated rows, and clashing extra columns."""
+    long = " ".join(f"word{k % 997} and" for k in range(60_000))
+    rows = [
+        (1, None, "en", "a"), (2, "", "en", None), (3, " \t\n\v", None, "a"), (4, long, "en", "b"),
+        (5, "one two", "fr", "b"), (5, "one two", "fr", "b"), (None, "one two three four five", "fr", None),
+        (6, "日本語 <|endoftext|> É", "de", "a"), (-7, "a\x1cb\x00c", "de", "\U0001d400"),
+    ]
+    clash = ["id", "n", "size", "key", "kept", "__text", "rule", "votes", "slot", "range", "score"]
+    return make(spark, rows).select("*", *[F.lit(1).alias(c) for c in clash])
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return make(spark, [(1, "x")]).where("false")
+
+
+OPERATORS = [
+    ngram_components, ngram_jaccard.keep_one, lambda d: encode_texts(d, TOKENIZER), identify,
+    fingerprints, mix_sources, repeat_taken, quality_classifier.classify,
+    quality_classifier.keep_good, quality_rules.quality_rules, quality_rules.keep_good,
+    lambda d: write_shards(d, fresh_path(d.sparkSession, "shards"), length=64), scan_licenses,
+]
+
+
+@pytest.mark.parametrize("operator", OPERATORS)
+def test_odd_rows_and_empty_tables(operator, odd, none):
+    operator(odd).collect()
+    assert operator(none).collect() == []
+
+
+# --- near duplicates -------------------------------------------------------------------
+
+
+def brute_components(rows):
+    lower = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
+    sets, link = {}, {i: i for i, _ in rows}
+    for i, text in rows:
+        words = WORD.findall((text or "").translate(lower))
+        grams = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+        sets[i] = grams if words else set()
+
+    def root(i):
+        while link[i] != i:
+            i = link[i]
+        return i
+
+    for a, b in combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            low, high = sorted((root(a), root(b)))
+            link[high] = low
+    return {i: (len(sets[i]), root(i)) for i in sets}
+
+
+@pytest.mark.parametrize("words, copies", [(8, 60), (40, 60), (300, 40)])
+def test_components_as_by_brute_force(spark, words, copies):
+    """Copies of copies with a few words changed, around the threshold, and a shared passage."""
+    dice = random.Random(words)
+    passage = [f"p{k}" for k in range(max(1, words // 2))]
+    texts = [[f"w{dice.randrange(9 * words)}" for _ in range(words)] for _ in range(4)]
+    for _ in range(copies):
+        text = list(dice.choice(texts))
+        for _ in range(dice.randrange(1 + words // 25 + 1)):
+            text[dice.randrange(len(text))] = f"w{dice.randrange(9 * words)}"
+        texts.append(text[: len(text) - dice.randrange(3)])
+    texts += [[*passage, *t[: words // 3]] for t in texts[:20]]
+    texts += [t[:k] for k, t in enumerate(texts[:9])]
+    rows = [(i, " ".join(t).title() if i % 3 else "\n".join(t)) for i, t in enumerate(texts)]
+    found = ngram_components(make(spark, rows)).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == brute_components(rows)
+
+
+def test_light_sets_meet_in_a_subset():
+    for n in range(1, 12):
+        sizes = dict(ngram_jaccard.subset_sizes(n, 80))
+        for m in range(1, 16):
+            for both in range(1, min(n, m) + 1):
+                if 100 * both >= 80 * (n + m - both):
+                    assert sizes[m] <= both
+
+
+def test_components_of_a_path(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(77, 50)], "a long, b long")
+    found = {r["id"]: r["component"] for r in components(links).collect()}
+    assert found == {k: 0 for k in range(41)} | {50: 50, 77: 50}
+
+
+# --- tokens ----------------------------------------------------------------------------
+
+
+def test_tokens_as_by_the_library(spark):
+    tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(TOKENIZER)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    dice = random.Random(1)
+    parts = ["in", "the", "<|endoftext|>", "<|startoftext|>", " ", "\n", "'s", "É", "é", "İ", "ß",
+             "日本", "😀", "23", "!?", "...", "\x1c", "\x85", "Σ", "ας", "<|", "\u200b", "Ⅷ"]
+    texts = ["".join(dice.choices(parts, k=dice.randrange(12))) for _ in range(500)]
+    texts += ["".join(dice.choices("abcdehilnorst", k=dice.randrange(1, 25))) for _ in range(500)]
+    texts += [r[0] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    found = encode_texts(make(spark, list(enumerate(texts))), TOKENIZER).collect()
+    for row in found:
+        want = tokenizer.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        assert row["ids"] == " ".join(map(str, want)) and row["n_tokens"] == len(want)
+        assert row["decoded"] == tokenizer.decode(want, skip_special_tokens=False)
+
+
+def test_automaton_paths_are_what_merging_gives():
+    encoder = Encoder.from_file(TOKENIZER)
+    text = TextEncoder(encoder)
+    target = encoder.automaton.target
+    for word in ("aaaa", "aaaaaaa", "thethe", "ninini", "inininini"):
+        labels = text.word(word)
+        states = [(0, 0), *[target[label] for label in labels[:-1]]]
+        assert all(map(encoder.automaton.allows, states, labels))
+
+
+# --- URLs ------------------------------------------------------------------------------
+
+
+def test_url_rules(spark):
+    urls = [
+        ("http://a.Example.NET/en/x", "a.example.net", "/en/x", "example.net/en/", "allow"),
+        ("http://example.net/en", "example.net", "/en", "net/", "block"),
+        ("http://notexample.com/de/", "notexample.com", "/de/", None, "allow"),
+        ("ftp://x.example.com/de/?a#b", "x.example.com", "/de/", "example.com/de/", "block"),
+        ("x://y.org/fr/1#://z.net/", "y.org", "/fr/1", "org/fr/", "allow"),
+        ("http://a.net", "a.net", "", None, "allow"),
+        ("http://?q", "", "", None, "allow"), ("no url", "", "", None, "allow"),
+        (None, "", "", None, "allow"), ("", "", "", None, "allow"),
+    ]
+    pages = spark.createDataFrame(list(enumerate(u[0] for u in urls)), "page_id long, url string")
+    found = judge_urls(pages, RULES).orderBy("page_id").collect()
+    assert [tuple(r)[1:] for r in found] == [u[1:] for u in urls]
+    assert judge_urls(pages.where("false"), RULES).collect() == []
+
+
+def test_longest_rule_and_cut_segments(spark):
+    rules = [Rule("a.b", "/"), Rule("b", "/x/yy", "allow"), Rule("b", "/x/", "block"),
+             Rule("c", "/x/", "allow"), Rule("c", "/x/", "block")]
+    urls = ["s://b/x/yyz", "s://b/x/y", "s://a.b/x/yy", "s://b/", "s://c/x/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = judge_urls(pages, rules).orderBy("page_id").collect()
+    assert [r["rule"] for r in found] == ["b/x/yy", "b/x/", "a.b/", None, "c/x/"]
+    assert found[4]["verdict"] == "block"
+
+
+# --- fingerprints ----------------------------------------------------------------------
+
+
+def grams_of(text):
+    words = WORD.findall(text.lower())
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+
+
+def test_fingerprints_of_edited_texts(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    texts = {r[0]: r[1] for r in docs.select("doc_id", "text").collect()}
+    rows = {r["doc_id"]: r for r in fingerprints(docs).collect()}
+    ids, seen, errors = sorted(texts), defaultdict(set), []
+    for i, after in zip(ids, [*ids[1:], ids[0]], strict=True):
+        text, cut = texts[i], len(texts[i]) // 4
+        edited = text[: len(text) - cut] + texts[after][:cut]
+        assert rows[i]["n_chars"] == len(text)
+        assert rows[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert 0 <= rows[i]["near_next"] <= 1
+        seen[text].add(rows[i]["fingerprint"])
+        one, two = grams_of(text), grams_of(edited)
+        if min(len(one), len(two)) > 300:
+            exact = len(one & two) / min(len(one), len(two))
+            assert abs(rows[i]["near_edited"] - exact) < 0.2
+            errors.append(rows[i]["near_edited"] - exact)
+    assert all(len(prints) == 1 for prints in seen.values())
+    assert len(errors) > 20 and abs(np.mean(errors)) < 0.02
+
+
+def test_fingerprint_estimates_containment(spark):
+    words = [f"w{k}" for k in range(40_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:4000])), (3, "x y"), (4, "x y"), (5, None)]
+    found = {r["doc_id"]: r for r in fingerprints(make(spark, rows)).collect()}
+    assert found[1]["near_next"] == 1.0
+    assert found[2]["near_next"] == 0.0 and found[3]["near_next"] == 1.0
+    assert found[5]["n_chars"] == 0 and found[5]["near_edited"] == 1.0
+
+
+# --- mixing ----------------------------------------------------------------------------
+
+
+def test_mixture_meets_targets_and_agrees(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    one, two = (sorted(map(tuple, mix_sources(docs.repartition(n)).collect())) for n in (1, 7))
+    assert one == two
+    taken, target = defaultdict(int), {}
+    sources = {r[0]: r[1] for r in docs.select("doc_id", "source").collect()}
+    for i, size, _, goal, words in one:
+        taken[sources[i]] += words
+        target[sources[i]] = goal
+        assert 0 <= words <= 2 * size
+    assert all(abs(taken[s] - target[s]) <= 1 for s in target)
+    assert abs(sum(target.values()) - 1.5 * sum(r[1] for r in one)) < 1e-6
+    mixed = repeat_taken(docs).collect()
+    assert sum(len(WORD.findall(r["text"])) for r in mixed) == sum(taken.values())
+
+
+def test_full_sources_leave_their_excess(spark):
+    rows = [(1, "a " * 10, None, "a"), (2, "b " * 1000, None, "b"), (3, "c " * 1000, None, None)]
+    found = {r["doc_id"]: r for r in mix_sources(make(spark, rows)).collect()}
+    # Of 3015 words the first source stops at 20; the others share 2995 by 2 to 1, up to 2000.
+    assert [found[i]["target"] for i in (1, 2, 3)] == pytest.approx([20, 2995 * 2 / 3, 2995 / 3])
+
+
+def test_better_documents_come_first(spark):
+    rows = [(i, "w " * 10, None, "a", i % 2) for i in range(4000)]
+    docs = make(spark, rows)
+    quality = F.when(F.col("n_chars") == 1, 1.0).otherwise(0.25)
+    found = mix_sources(docs, quality=quality, percent=30).collect()
+    taken = Counter(r["doc_id"] % 2 for r in found if r["taken"])
+    assert taken[1] > 2 * taken[0]
+
+
+# --- quality ---------------------------------------------------------------------------
+
+
+def brute_metrics(text):
+    words = WORD.findall(text or "")
+    grams = Counter(zip(words, words[1:], words[2:], strict=False))
+    marked = {k + j for k in range(len(words) - 2) if grams[tuple(words[k : k + 3])] > 1 for j in range(3)}
+    lines = [line for line in (text or "").split("\n") if WORD.search(line)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")),
+        len(lines) - len(set(lines)), len(marked),
+        len(words) < 50 or 100 * len(marked) > 50 * len(words),
+    )
+
+
+def test_metrics_as_by_brute_force(spark, odd):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(odd.select("doc_id", "text"))
+    docs = docs.union(make(spark, [(9, "é b c\n\né b c\n \né b c \nd"), (10, "a a a a a")]).select("doc_id", "text"))
+    found = Counter(tuple(r)[:7] for r in quality_rules.quality_rules(docs).collect())
+    want = Counter((r[0], *brute_metrics(r[1])) for r in docs.collect())
+    assert found == want
+
+
+def test_rules_keep_clean_and_reject_junk(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = quality_rules.quality_rules(docs).join(labels, "doc_id").collect()
+    assert all(r["kept"] for r in found if r["quality"] and not r["base_failed"])
+    kept = quality_rules.keep_good(docs)
+    assert kept.columns == docs.columns
+
+
+def test_classifier_tells_labels_it_never_saw(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    found = quality_classifier.classify(docs).join(labels, "doc_id").collect()
+    good = [r["kept"] for r in found if r["quality"]]
+    bad = [r["kept"] for r in found if not r["quality"]]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.1
+
+
+def test_labellers_are_weighed_by_agreement():
+    posterior, info = quality_classifier.fit_labellers({"0000000+": 900, "--000000": 90, "00000000": 10})
+    assert posterior["0000000+"] > 0.99 and posterior["--000000"] < 0.01
+    assert 0.8 < info["good"] < 0.95
+
+
+def test_languages_held_out(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = identify(docs).join(docs, "doc_id").where("held_out").collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in found]) > 0.97
+    none = {r["doc_id"]: r for r in identify(docs.limit(50).union(make(docs.sparkSession, [(-1, "1 2 !"), (-2, None)]))).collect()}
+    assert none[-1]["lang_pred"] == none[-2]["lang_pred"] == "und" and none[-1]["score"] == 0
+
+
+# --- shards and licenses ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 5, 64, 1000, 4097])
+def test_order_is_a_bijection_that_the_key_decides(count):
+    found = permuted(np.arange(count), count, 7)
+    assert sorted(found.tolist()) == list(range(count))
+    if count > 60:
+        assert (found != permuted(np.arange(count), count, 8)).any()
+
+
+def test_shards_hold_every_text_and_resume(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    folder = fresh_path(spark, "shards")
+    rows = sorted(map(tuple, write_shards(docs, folder, length=256, shard_bytes=1 << 14).collect()))
+    assert [r[0] for r in rows] == list(range(len(rows)))
+    every = [s.tobytes() for s in read_slots(folder, 0, len(rows), 256, 1 << 14)]
+    later = [s.tobytes() for s in read_slots(folder, 100, 50, 256, 1 << 14)]
+    assert len(every) == len(rows) and later == every[100:150]
+    order = permuted(np.arange(len(rows)), len(rows), 1)
+    data = b"".join(every[s] for s in order).replace(b"\xfe", b"")
+    texts = [r[0].encode() for r in docs.select("text").collect()]
+    assert sorted(data.split(b"\xff")[:-1]) == sorted(texts)
+
+
+def test_licenses_are_found_anywhere_and_nowhere_else(spark):
+    dice = random.Random(3)
+    rows, want = [], Counter()
+    for i in range(300):
+        words = [f"w{dice.randrange(5000)}" for _ in range(dice.randrange(5, 200))]
+        if i % 2:
+            name = dice.choice(sorted(TEMPLATES))
+            at = dice.randrange(len(words) + 1)
+            words[at:at] = dice.choice(TEMPLATES[name]).upper().split()
+            want[i, name] += 1
+        rows.append((i, " ".join(words)))
+    rows.append((300, "Permission is granted to nobody. All wrongs reserved."))
+    found = Counter((r["doc_id"], r["license"]) for r in scan_licenses(make(spark, rows)).collect())
+    assert found == want
