@@ -28,8 +28,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from faretide.llm.words import bounded
+
 #: Entries in each generation of a task's tables; memory is bounded by it.
-MAX_WORDS = 150_000
+MAX_WORDS = 60_000
 START = (0, 0)
 FOREVER = 1 << 60
 MASK = 0xFFFFFFFF
@@ -179,6 +181,8 @@ class TextEncoder:
 
     def _arc(self, last: int, label: int) -> bool:
         found = self.encoder.automaton.allows(self.encoder.automaton.target[last], label)
+        if len(self.arcs) >= 10 * MAX_WORDS:
+            self.arcs.clear()
         self.arcs[last << 20 | label] = found
         return found
 
@@ -257,7 +261,7 @@ def encode_texts(
 
     ``digests`` gives ``ids_sha256`` and ``decoded_sha256`` in their place.
     """
-    texts = docs.select(docs[id_col], docs[text_col].cast("string").alias("__text"))
+    texts = bounded(docs).select(docs[id_col], docs[text_col].cast("string").alias("__text"))
     shared = docs.sparkSession.sparkContext.broadcast(Encoder.from_file(path))
     names = ["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
 

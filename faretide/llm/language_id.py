@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faretide.llm.words import constants, mix
+from faretide.llm.words import bounded, constants, mix
 
 SIZE = 300
 MAX_LANGUAGES = 10_000
@@ -113,7 +113,7 @@ def learn_profiles(
     docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = SIZE
 ) -> dict[str, list[int]]:
     """Each language's n-grams by rank, over all rows with a text and a language."""
-    rows = docs.select(docs[lang_col].alias("lang"), docs[text_col].alias("text")).where(
+    rows = bounded(docs).select(docs[lang_col].alias("lang"), docs[text_col].alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL"
     )
 
@@ -178,7 +178,7 @@ def predict_languages(
     for k, name in enumerate(names):
         known = np.array(profiles[name], np.int64).view(np.uint64)
         ranks[np.searchsorted(grams, known), k] = np.arange(len(known))
-    texts = docs.select(docs[id_col], docs[text_col].alias("__text"))
+    texts = bounded(docs).select(docs[id_col], docs[text_col].alias("__text"))
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = np.array([*names, "und"], object)

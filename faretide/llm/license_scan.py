@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from faretide.llm.words import LOWERED, NOT_SPACE, Block, blocks, constants, windows
+from faretide.llm.words import LOWERED, NOT_SPACE, Block, blocks, bounded, constants, windows
 
 WIDTH = 2
 BANDS = 24
@@ -175,7 +175,7 @@ def scan_licenses(
 ) -> DataFrame:
     """``(id_col, license, containment, first_word, last_word)``: a row a match."""
     known = Templates(templates or TEMPLATES)
-    texts = docs.select(docs[id_col], docs[text_col].alias("__text"))
+    texts = bounded(docs).select(docs[id_col], docs[text_col].alias("__text"))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

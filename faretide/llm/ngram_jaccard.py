@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from faretide.llm.joins import components, only
-from faretide.llm.words import LOWERED, blocks, constants, lists, mix, shingles
+from faretide.llm.words import LOWERED, blocks, bounded, constants, lists, mix, shingles
 from faretide.session import stage
 
 #: Sets up to this size are written whole in the first pass, as any of them may be light.
@@ -287,7 +287,7 @@ def ngram_components(
     percent: int = 80,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id)`` for every row of ``docs``."""
-    texts = docs.select(
+    texts = bounded(docs).select(
         docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")
     )
     schema = "id long, n long, d1 long, d2 long, head array<long>"

@@ -27,7 +27,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faretide.llm.words import Block, blocks, constants, mix
+from faretide.llm.words import Block, blocks, bounded, constants, mix
 
 FEATURES = 512
 SAMPLE = 20_000
@@ -131,7 +131,7 @@ def _patterns(docs: DataFrame, id_name: str) -> DataFrame:
                 )
 
     kind = docs.schema[0].dataType.simpleString()
-    return docs.mapInArrow(vote, f"`{id_name}` {kind}, votes string")
+    return bounded(docs).mapInArrow(vote, f"`{id_name}` {kind}, votes string")
 
 
 def fit_labellers(patterns: dict[str, int], rounds: int = ROUNDS) -> tuple[dict[str, float], dict]:
@@ -239,7 +239,7 @@ def classify(
 ) -> DataFrame:
     """``(id_col, votes, posterior, score, kept)`` for every row."""
     scorer = scorer or train(docs, text_col)
-    texts = docs.select(docs[id_col], docs[text_col].alias("__text"))
+    texts = bounded(docs).select(docs[id_col], docs[text_col].alias("__text"))
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = np.array(["-", "0", "+"])
@@ -272,4 +272,4 @@ def keep_good(
             if verdicts:
                 yield batch.filter(pa.array(np.concatenate(verdicts)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return bounded(docs).mapInArrow(keep, docs.schema)

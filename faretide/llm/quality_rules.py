@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from faretide.llm.words import Block, blocks, constants, doc_column, mix, windows
+from faretide.llm.words import Block, blocks, bounded, constants, doc_column, mix, windows
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -160,7 +160,7 @@ def quality_rules(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Rules = Rules()
 ) -> DataFrame:
     """Each row's id and metrics, with the verdict ``kept``."""
-    docs = docs.select(docs[id_col], docs[text_col].alias("__text"))
+    docs = bounded(docs).select(docs[id_col], docs[text_col].alias("__text"))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,4 +186,4 @@ def keep_good(docs: DataFrame, text_col: str = "text", rules: Rules = Rules()) -
             if verdicts:
                 yield batch.filter(pa.array(np.concatenate(verdicts)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return bounded(docs).mapInArrow(keep, docs.schema)

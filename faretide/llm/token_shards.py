@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from faretide.llm.words import constants, mix
+from faretide.llm.words import bounded, constants, mix
 
 #: Byte values are token ids themselves; UTF-8 never has these two.
 END, PAD = 0xFF, 0xFE
@@ -157,7 +157,7 @@ def write_shards(
     which executors must share, when the result is computed.
     """
     text = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
-    rows = docs.select(docs[id_col].cast("long").alias("id"), text.alias("text"))
+    rows = bounded(docs).select(docs[id_col].cast("long").alias("id"), text.alias("text"))
     counted = {
         r["part"]: r["tokens"]
         for r in rows.groupBy(F.spark_partition_id().alias("part"))

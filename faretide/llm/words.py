@@ -14,8 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 BLOCK = 1 << 19
+BATCH_BYTES = 4 << 20
+SPARKS_OWN = "67108864b"
+MAX_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
@@ -91,6 +95,18 @@ class Block:
         return mix((sums[end] - sums[start]) * _power("down", _INVERSE, len(sums))[start])
 
 
+def bounded(docs: DataFrame) -> DataFrame:
+    """``docs``, for which Arrow batches end at ``BATCH_BYTES``, or where the session says.
+
+    Batches of a fixed number of rows would grow with the texts. The setting stays with the
+    session, since Spark reads it when the plan is run.
+    """
+    conf = docs.sparkSession.conf
+    if conf.get(MAX_BYTES) == SPARKS_OWN:
+        conf.set(MAX_BYTES, str(BATCH_BYTES))
+    return docs
+
+
 def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[Block]:
     """The column's texts in blocks; NULL counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
