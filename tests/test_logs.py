@@ -64,7 +64,10 @@ def test_recent_logs(few):
     assert ids(recent_logs(few, kind=None, now=NOW, limit=2)) == [0, 1]
     assert ids(recent_exceptions(few, now=NOW)) == [1]
     assert ids(stage_durations(few, "train", now=NOW)) == [2]
-    assert ids(operation_logs(few, 1, now=NOW)) == [0, 1, 2]
+    recent = operation_logs(few, 1, now=NOW, window="30 minutes", limit=10)
+    assert ids(recent) == [0, 1, 2]
+    # By default an operation's rows of any age.
+    assert sorted(ids(operation_logs(few, 1))) == [0, 1, 2, 7]
     latest = few.select(F.max("ts")).scalar()
     assert ids(recent_logs(few, now=latest)) == [0, 5, 3, 4]
 
@@ -119,6 +122,22 @@ def test_rows_of_a_hot_operation_are_split(spark, splitting):
     assert len(got) == expected and {row["operation_id"] for row in got} == complete
 
 
+@pytest.mark.parametrize("name", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_the_clock_is_the_same_in_any_zone(spark, few, zone, name):
+    zone(name)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    row = few.first().asDict()
+    aged = [row | {"event_id": k, "kind": "trace", "ts": now - timedelta(minutes=m)}
+            for k, m in enumerate((5, 180))]
+    logs = spark.createDataFrame(aged, few.schema)
+    assert ids(recent_logs(logs, limit=None)) == [0]
+
+
+def test_rows_without_an_operation_are_not_one(few):
+    unnamed = few.withColumn("operation_id", F.lit(None).cast("long"))
+    assert correlate_logs(unnamed).isEmpty()
+
+
 def test_three_tables_correlate_like_one(few):
     parts = [few.filter(F.col("kind") == kind).drop("kind") for kind in KINDS]
     assert rows_of(correlate_logs(combine_logs(*parts))) == rows_of(correlate_logs(few))

@@ -12,6 +12,7 @@ from faretide.operators.models import (
     regression_metrics,
     split_by_hash,
     train_fare_model,
+    tree_settings,
 )
 from faretide.operators.registry import latest_version, load_model, publish_model
 from faretide.operators.rows import rounded_trips
@@ -228,7 +229,7 @@ def test_feature_job_profiles(spark, sample, table):
     shapes = {r["table_name"]: r["row_count"] for r in run.shapes.collect()}
     assert shapes["trips"] == sample.count() and shapes["pickup_features"] == run.pickup.count()
     assert set(run.profiles) == {
-        "describe_pickup", "describe_dropoff", "boxplot_pickup", "boxplot_dropoff"
+        "null_keys", "describe_pickup", "describe_dropoff", "boxplot_pickup", "boxplot_dropoff"
     }
     assert all(profile.count() for profile in run.profiles.values())
     names = table(), table()
@@ -236,3 +237,12 @@ def test_feature_job_profiles(spark, sample, table):
         store_features(run, *names)
         assert rows_of(spark.table(names[0]).select(run.pickup.columns)) == rows_of(run.pickup)
         assert rows_of(spark.table(names[1]).select(run.dropoff.columns)) == rows_of(run.dropoff)
+
+
+def test_parameters_are_honoured_or_refused():
+    found = tree_settings({"num_leaves": 31, "learning_rate": 0.3, "max_bin": 16, "seed": 7})
+    assert found["maxDepth"] == 5 and found["stepSize"] == 0.3
+    assert found["maxBins"] == 16 and found["seed"] == 7
+    for wrong in ({"nonsense": 5}, {"objective": "binary"}, {"metric": "mae"}, {"num_leaves": 1}):
+        with pytest.raises(ValueError):
+            tree_settings(wrong)
