@@ -57,7 +57,7 @@ from faretide.operators.windows import dropoff_features, pickup_features
 from faretide.plans.jobs import feature_job, store_features
 from faretide.schemas import DROPOFF_FEATURES, PICKUP_FEATURES
 from faretide.session import fresh_path, stage
-from faretide.sources.events import EVENTS, logs_from_events, read_events, trips_from_events
+from faretide.sources.events import logs_from_events, read_events, trips_from_events
 from faretide.sources.tables import read_logs, read_training_csv, read_trips, stream_trips
 from faretide.streaming.features import stream_features
 
@@ -221,12 +221,20 @@ def q_overwrite_features(spark, folder):
     return _halves(spark, folder, overwrite_features)
 
 
+#: Parts of the trips that arrive one after another, by time.
+ARRIVALS = (None, "2024-01-08 06:10:00", "2024-01-16", "2024-01-24 17:50:00", None)
+
+
 def _streamed(spark, folder, kind, schema):
-    table = _new_table(spark, f"stream_{kind}")
+    """Four starts of one stream, each after more trips came; state and progress are carried over."""
+    table, source = _new_table(spark, f"stream_{kind}"), fresh_path(spark, "arrivals")
     create_feature_table(spark.createDataFrame([], schema), table)
-    events = stream_trips(spark, folder, EVENTS, pathGlobFilter="events.parquet")
-    query = write_features(stream_features(trips_from_events(events), kind), table, "merge")
-    query.awaitTermination()
+    trips, at = _trips(spark, folder), f"tpep_{kind}_datetime"
+    for start, end in zip(ARRIVALS, ARRIVALS[1:], strict=False):
+        arrived = filter_by_time(trips, at, start, end).drop("event_id")
+        arrived.write.mode("append").parquet(source)
+        query = write_features(stream_features(stream_trips(spark, source), kind), table, "merge")
+        query.awaitTermination()
     return read_features(spark, table)
 
 

@@ -1,28 +1,30 @@
 """Keyed feature tables in the session catalog, partitioned by month.
 
-Tables are plain Parquet unless another format is named. Parquet has no
-transactions: a driver lost while a finished write is being moved in place
-can leave a month without its old rows, which merging the same batch again
-does not bring back: rebuild such a month from the trips. Where the table's
-format has ``MERGE INTO``, merging uses that (no such format is installed
-here, so that branch has not been run).
+Tables are plain Parquet unless another format is named. A write puts each
+month's rows in a new folder and then points the month at it in the catalog,
+one statement a month. A driver lost before that leaves the old rows in place,
+and one lost between two months leaves each of them old or new: writing the
+same rows again completes it. Folders of writes that never got so far stay
+behind, unread. Where the table's format has ``MERGE INTO``, merging uses that
+(no such format is installed here, so that branch has not been run).
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faretide.functions.times import moment_of
+from faretide.functions.times import moment_of, month_of_epoch
 from faretide.session import stage
 
 _MERGING_FORMATS = ("delta", "iceberg")
+_MONTH, _VERSION = "yyyy_mm", "version"
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,17 @@ def _table_property(spark: SparkSession, table: str, key: str) -> str | None:
     return found["value"] if found else None
 
 
+def _described(spark: SparkSession, what: str, name: str) -> str:
+    """A line of ``DESCRIBE EXTENDED`` of a table or, with its clause, a partition."""
+    lines = spark.sql(f"DESCRIBE EXTENDED {what}").filter(F.col("col_name") == name)
+    return lines.first()["data_type"]
+
+
+def table_folder(spark: SparkSession, table: str) -> str:
+    """The folder under which all versions of the table's rows are kept."""
+    return _described(spark, _quoted(table), "Location").split(f"/{_VERSION}=")[0]
+
+
 def primary_keys(spark: SparkSession, table: str) -> list[str]:
     """The keys the table was created with."""
     stored = _table_property(spark, table, "primary_keys")
@@ -115,17 +128,28 @@ def _checked(
     """Stage new rows unless they are, count them and drop NULL keys.
 
     Counting the staged files is exact even when tasks were retried, which
-    metrics observed during the write are not. The months of a table are few
-    by nature, so collecting their names is safe.
+    metrics observed during the write are not. Rows with a month but no time
+    ended after January 2038, which an int of seconds cannot hold; they fail
+    the write, as do rows in another month than their time's. The months are
+    few thereby, so collecting their names is safe.
     """
     stored = df if staged else stage(df, "features")
     has_keys = F.lit(True)
     for key in keys:
         has_keys = has_keys & F.col(key).isNotNull()
-    months = F.collect_set(F.when(has_keys, F.col(partition))) if partition else F.array()
+    months, beyond, astray = F.array(), F.lit(0), F.lit(0)
+    if partition:
+        astray = F.count_if(has_keys & ~F.col(partition).eqNullSafe(month_of_epoch(F.col("ts"))))
+        beyond = F.count_if(F.col("ts").isNull() & F.col(partition).isNotNull())
+        months = F.collect_set(F.when(has_keys, month_of_epoch(F.col("ts"))))
     summary = stored.agg(
-        F.count_if(has_keys).alias("rows"), F.count_if(~has_keys).alias("nulls"), months.alias("m")
-    ).first()
+        F.count_if(has_keys).alias("rows"), F.count_if(~has_keys).alias("nulls"),
+        months.alias("m"), beyond.alias("beyond"), astray.alias("astray"),
+    ).first()
+    if summary["beyond"]:
+        raise ValueError(f"{summary['beyond']} rows end after January 2038")
+    if summary["astray"]:
+        raise ValueError(f"{summary['astray']} rows are not in the month of their time")
     clean = stored.filter(has_keys)
     if check_unique:
         twice = clean.groupBy(*keys).count().filter("count > 1").limit(1).collect()
@@ -134,24 +158,26 @@ def _checked(
     return clean, WriteReport(summary["rows"], summary["nulls"], tuple(sorted(summary["m"])))
 
 
-@contextmanager
-def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
-    """Set what an overwrite replaces: the partitions it writes, or the table.
+def _discard(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
-    For catalog tables Spark reads this from the session only.
-    """
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+
+def _switch(spark: SparkSession, table: str, clause: str, folder: str) -> None:
+    """Point a table, or a partition of it, at the folder of its new rows."""
+    spark.sql(f"ALTER TABLE {_quoted(table)}{clause} SET LOCATION {_text(folder)}")
 
 
 def _replace(
-    df: DataFrame, table: str, keys: Sequence[str], partition: str | None, mode: str
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition: str | None,
+    months: Sequence[str],
+    whole: bool,
 ) -> None:
+    """Make ``df`` the rows of its months or, with ``whole``, of the table."""
     if partition:
         # Files of about the advisory size: large months are split over many
         # tasks and small ones share a task.
@@ -161,8 +187,39 @@ def _replace(
     order = [*([partition] if partition else []), *reversed(keys)]
     df = df.sortWithinPartitions(*order)
     spark = df.sparkSession
-    with _overwriting(spark, mode):
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    provider = _described(spark, _quoted(table), "Provider").lower()
+    if provider in _MERGING_FORMATS:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=whole)
+        return
+    root, version = table_folder(spark, table), f"{_VERSION}={uuid.uuid4().hex}"
+    if not partition:
+        old = _described(spark, _quoted(table), "Location")
+        df.write.format(provider).save(f"{root}/{version}")
+        _switch(spark, table, "", f"{root}/{version}")
+        if old != root:
+            _discard(spark, old)
+        return
+    name, value = version.split("=")
+    df.withColumn(name, F.lit(value)).write.format(provider).partitionBy(partition, name).mode(
+        "append"
+    ).save(root)
+    stored = {
+        row["partition"].split("=")[1]
+        for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()
+    }
+    for month in months:
+        clause = f" PARTITION (`{partition}` = {_text(month)})"
+        folder = f"{root}/{partition}={month}/{version}"
+        if month in stored:
+            old = _described(spark, _quoted(table) + clause, "Location")
+            _switch(spark, table, clause, folder)
+            _discard(spark, old)
+        else:
+            spark.sql(f"ALTER TABLE {_quoted(table)} ADD{clause} LOCATION {_text(folder)}")
+    for month in stored - set(months) if whole else ():
+        clause = f" PARTITION (`{partition}` = {_text(month)})"
+        spark.sql(f"ALTER TABLE {_quoted(table)} DROP{clause}")
+    spark.catalog.refreshTable(table)
 
 
 def create_feature_table(
@@ -181,8 +238,12 @@ def create_feature_table(
     An existing table must have the same columns. One that was created but
     never filled, because its job was lost, is filled now. ``staged`` says
     that ``df`` is stored and can be read several times, so it is not copied.
+    Partitions are the months of ``ts``, which must be a key then: a key thereby
+    lies in one of them.
     """
     spark = df.sparkSession
+    if partition_column not in (None, _MONTH) or (partition_column and "ts" not in primary_keys):
+        raise ValueError(f"tables are partitioned by {_MONTH}, the month of the key ts, or not")
     if "." in table:
         create_database(spark, table.rsplit(".", 1)[0])
     if spark.catalog.tableExists(table):
@@ -201,7 +262,7 @@ def create_feature_table(
             + f" TBLPROPERTIES ('primary_keys' = {_text(json.dumps(list(primary_keys)))})"
         )
     clean, report = _checked(df, primary_keys, partition_column, check_unique, staged)
-    _replace(clean, table, primary_keys, partition_column, "dynamic")
+    _replace(clean, table, primary_keys, partition_column, report.months, whole=False)
     return report
 
 
@@ -220,8 +281,7 @@ def merge_features(
     clean, report = _checked(df, keys, partition, check_unique, staged)
     if not report.rows:
         return report
-    provider = spark.sql(f"DESCRIBE EXTENDED {_quoted(table)}")
-    provider = provider.filter("col_name = 'Provider'").first()["data_type"].lower()
+    provider = _described(spark, _quoted(table), "Provider").lower()
     if provider in _MERGING_FORMATS:
         same = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
         if partition:
@@ -237,27 +297,21 @@ def merge_features(
     if partition:
         current = current.filter(F.col(partition).isin(*report.months))
     kept = current.join(clean.select(*keys), list(keys), "left_anti").select(*clean.columns)
-    if partition:
-        _replace(kept.unionByName(clean), table, keys, partition, "dynamic")
-    else:
-        # Without partitions the whole table is replaced, so what is kept
-        # must not be read from the files that the write removes.
-        _replace(stage(kept.unionByName(clean), "merged"), table, keys, None, "static")
+    _replace(kept.unionByName(clean), table, keys, partition, report.months, whole=False)
     return report
 
 
 def overwrite_features(df: DataFrame, table: str, check_unique: bool = True) -> WriteReport:
     """Replace all rows of the table.
 
-    The new rows are staged first, so a failing computation leaves the old
-    rows in place.
+    A failing computation leaves the old rows in place.
     """
     spark = df.sparkSession
     partition = _partition_column(spark, table)
     _check_schema(df, table)
     keys = primary_keys(spark, table)
     clean, report = _checked(df, keys, partition, check_unique, staged=False)
-    _replace(clean, table, keys, partition, "static")
+    _replace(clean, table, keys, partition, report.months, whole=True)
     return report
 
 

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from faretide.functions.times import as_time, is_instant
-from faretide.operators.store import merge_features
+from faretide.operators.store import merge_features, table_folder
 from faretide.operators.windows import dropoff_features, pickup_features
-from faretide.session import fresh_path
 
 
 def _with_event_time(trips: DataFrame, ts_column: str, delay: str | None) -> DataFrame:
@@ -53,17 +51,15 @@ def merge_stream(
     same table when a batch is replayed after a failure. A batch rewrites the
     months it touches unless the table's format can merge in place; ``every``
     sets the trigger interval, and longer ones rewrite less. Without it, what
-    has arrived is processed and the query stops.
+    has arrived is processed and the query stops. Progress is kept with the
+    table unless ``checkpoint`` names a folder, so that a query started again
+    goes on where the last one stopped.
     """
-    checkpoint = checkpoint or fresh_path(features.sparkSession, "stream")
+    folder = table_folder(features.sparkSession, table)
+    checkpoint = checkpoint or f"{folder}/_stream"
 
     def merge(batch: DataFrame, _: int) -> None:
-        # Read several times, so kept on disk for the length of the batch.
-        batch.persist(StorageLevel.DISK_ONLY)
-        try:
-            merge_features(batch, table, check_unique=False, staged=True)
-        finally:
-            batch.unpersist()
+        merge_features(batch, table, check_unique=False)
 
     writer = features.writeStream.outputMode("update").foreachBatch(merge)
     writer = writer.option("checkpointLocation", checkpoint)

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from faretide.operators import store
 from faretide.operators.store import (
     create_feature_table,
     merge_features,
@@ -12,6 +15,7 @@ from faretide.operators.store import (
     read_features,
     write_features,
 )
+from faretide.operators.windows import pickup_features
 from faretide.schemas import DROPOFF_FEATURES
 from faretide.session import fresh_path
 
@@ -196,3 +200,57 @@ def test_large_months_are_split_over_files(spark, table):
         spark.conf.set(setting, before)
     assert spark.table(name).count() == 400_000
     assert len(spark.table(name).inputFiles()) > 3
+
+
+@pytest.mark.parametrize("partition", ["yyyy_mm", None])
+def test_a_lost_merge_keeps_the_old_rows(spark, table, features, monkeypatch, partition):
+    name = table()
+    create_feature_table(features((1, JANUARY, 5), (1, FEBRUARY, 7)), name,
+                         partition_column=partition)
+    new = features((1, JANUARY, 6), (2, FEBRUARY, 8))
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(store, "_switch", lost)
+        for write in (merge_features, overwrite_features):
+            with pytest.raises(RuntimeError, match="lost"):
+                write(new, name)
+            assert content(spark, name) == [(1, JANUARY, 5), (1, FEBRUARY, 7)]
+    merge_features(new, name)
+    assert content(spark, name) == [(1, JANUARY, 6), (1, FEBRUARY, 7), (2, FEBRUARY, 8)]
+
+
+def test_two_threads_write_two_tables(spark, table, features):
+    names = [table(), table()]
+    for name in names:
+        create_feature_table(features((1, JANUARY, 5), (1, FEBRUARY, 7)), name)
+
+    def write(task):
+        kind, name = task
+        for trips in range(3):
+            kind(features((1, JANUARY, trips)), name)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, zip((merge_features, overwrite_features), names, strict=True)))
+    assert content(spark, names[0]) == [(1, JANUARY, 2), (1, FEBRUARY, 7)]
+    assert content(spark, names[1]) == [(1, JANUARY, 2)]
+
+
+def test_rows_outside_their_month_are_refused(spark, table, features):
+    name = table()
+    create_feature_table(features((1, JANUARY, 5)), name)
+    with pytest.raises(ValueError, match="not in the month"):
+        merge_features(features((1, JANUARY, 5)).withColumn("yyyy_mm", F.lit("2024-02")), name)
+    with pytest.raises(ValueError, match="partitioned by"):
+        create_feature_table(features((1, JANUARY, 5)), table(), partition_column="zip")
+    with pytest.raises(ValueError, match="partitioned by"):
+        create_feature_table(features((1, JANUARY, 5)), table(), primary_keys=["zip"])
+
+
+def test_times_an_int_cannot_hold_fail_the_write(spark, table, make_trips):
+    name = table()
+    trips = make_trips([("2040-05-01 10:00:00", "2040-05-01 10:20:00", 1.0, 5.0, 7, 8)])
+    with pytest.raises(ValueError, match="4 rows end after January 2038"):
+        create_feature_table(pickup_features(trips), name)

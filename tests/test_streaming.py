@@ -100,6 +100,17 @@ def test_replaying_everything_changes_nothing(spark, sample, target):
     assert rows_of(read_features(spark, name)) == before
 
 
+def test_a_query_started_again_goes_on(spark, sample, target):
+    folder, name = fresh_path(spark, "in"), target("dropoff")
+    for part in parts(sample, "dropoff", 2):
+        add_file(part, folder)
+        query = run(spark, folder, "dropoff", name, None)
+        assert query.lastProgress["batchId"] >= 0
+    assert query.recentProgress[0]["numInputRows"] == part.count()
+    assert rows_of(read_features(spark, name)) == rows_of(dropoff_features(sample).select(
+        *read_features(spark, name).columns))
+
+
 def test_other_sessions_give_the_same_windows(spark, sample, target, zone):
     folder, name = fresh_path(spark, "in"), target("dropoff")
     add_file(parts(sample, "dropoff", 1)[0], folder)
