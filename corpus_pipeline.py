@@ -38,7 +38,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
-    found = encode_texts(docs, TOKENIZER)
+    found = encode_texts(docs, TOKENIZER, max_words=60_000)
     ids = F.when(F.col("n_tokens") > 0, F.split("ids", " ").cast("array<int>"))
     return found.select(
         "doc_id",

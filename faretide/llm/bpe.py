@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from faretide.llm.words import bounded
 
 #: Entries in each generation of a task's tables; memory is bounded by it.
-MAX_WORDS = 60_000
+MAX_WORDS = 150_000
 START = (0, 0)
 FOREVER = 1 << 60
 MASK = 0xFFFFFFFF
@@ -148,9 +148,10 @@ class Encoder:
 
 
 class _Table(dict):
-    """Entries made when first asked for, in two generations of at most ``MAX_WORDS``."""
+    """Entries made when first asked for, in two generations of at most ``most``."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
+        self.most = most
         super().__init__()
         self.make, self.old = make, {}
 
@@ -158,7 +159,7 @@ class _Table(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= MAX_WORDS:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -168,20 +169,21 @@ class _Table(dict):
 class TextEncoder:
     """Encodes and decodes whole texts; one for each task."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, encoder: Encoder, max_words: int = MAX_WORDS):
+        self.max_words = max_words
         self.encoder = encoder
         self.find = regex.compile(encoder.pattern).findall
         parts = sorted(encoder.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, parts)) + ")").split
         self.letters = _byte_letters()
         self.arcs: dict[int, bool] = {}
-        self.words = _Table(self._word)
-        self.chunks = _Table(lambda chunk: " ".join(map(self.words.__getitem__, self.find(chunk))))
+        self.words = _Table(self._word, max_words)
+        self.chunks = _Table(lambda chunk: " ".join(map(self.words.__getitem__, self.find(chunk))), max_words)
         self.texts = {str(i): text for i, text in encoder.texts.items()}
 
     def _arc(self, last: int, label: int) -> bool:
         found = self.encoder.automaton.allows(self.encoder.automaton.target[last], label)
-        if len(self.arcs) >= 10 * MAX_WORDS:
+        if len(self.arcs) >= 10 * self.max_words:
             self.arcs.clear()
         self.arcs[last << 20 | label] = found
         return found
@@ -256,6 +258,7 @@ def encode_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     digests: bool = False,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
     """``(id_col, n_tokens, ids, decoded)`` of every text.
 
@@ -266,7 +269,7 @@ def encode_texts(
     names = ["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value)
+        encoder = TextEncoder(shared.value, max_words)
         for batch in batches:
             column = batch.column(1)
             for low in range(0, len(column), 500):
