@@ -28,10 +28,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from faretide.llm import code_points
 from faretide.llm.words import bounded
 
-#: Entries in each generation of a task's tables; memory is bounded by it.
+#: Entries in each generation of a task's tables, and an entry's most letters, which bound memory.
 MAX_WORDS = 150_000
+LONGEST = 48
 START = (0, 0)
 FOREVER = 1 << 60
 MASK = 0xFFFFFFFF
@@ -148,7 +150,10 @@ class Encoder:
 
 
 class _Table(dict):
-    """Entries made when first asked for, in two generations of at most ``most``."""
+    """Entries made when first asked for, in two generations of at most ``most``.
+
+    Entries for more than ``LONGEST`` letters are made each time.
+    """
 
     def __init__(self, make, most: int):
         self.most = most
@@ -156,6 +161,8 @@ class _Table(dict):
         self.make, self.old = make, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
@@ -173,12 +180,13 @@ class TextEncoder:
         self.max_words = max_words
         self.encoder = encoder
         self.find = regex.compile(encoder.pattern).findall
+        self.find_older = regex.compile(code_points.older(encoder.pattern), regex.V1).findall
         parts = sorted(encoder.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, parts)) + ")").split
         self.letters = _byte_letters()
         self.arcs: dict[int, bool] = {}
         self.words = _Table(self._word, max_words)
-        self.chunks = _Table(lambda chunk: " ".join(map(self.words.__getitem__, self.find(chunk))), max_words)
+        self.chunks = _Table(lambda chunk: self._chunk(chunk, self.find), max_words)
         self.texts = {str(i): text for i, text in encoder.texts.items()}
 
     def _arc(self, last: int, label: int) -> bool:
@@ -188,6 +196,10 @@ class TextEncoder:
         self.arcs[last << 20 | label] = found
         return found
 
+    def _chunk(self, chunk: str, find) -> str:
+        """The ids of a text without white space, joined by spaces."""
+        return " ".join(map(self.words.__getitem__, find(chunk)))
+
     def _word(self, word: str) -> str:
         """A word's ids, joined by spaces."""
         letters = word
@@ -240,11 +252,18 @@ class TextEncoder:
             if k % 2:
                 found.append(str(self.encoder.added[part]))
                 continue
+            later = not part.isascii() and code_points.found_in(part)
+            part = code_points.composed(part) if later else unicodedata.normalize("NFC", part)
             # Python alone lowers a sigma by its place in the word,
-            part = unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()
+            part = part.replace("\u03a3", "\u03c3").lower()
             # and alone takes these four for white space.
             chunks = SPACE.split(part) if ODD_SPACE.search(part) else part.split()
-            found.extend(map(self.chunks.__getitem__, filter(None, chunks)))
+            if later:
+                chunks = [c.translate(code_points.LOWERED) for c in chunks]
+                ids = [self._chunk(c, self.find_older) for c in chunks]
+            else:
+                ids = map(self.chunks.__getitem__, chunks)
+            found.extend(filter(None, ids))
         return " ".join(found)
 
     def decode(self, ids: str) -> str:

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faretide.llm import ngram_jaccard, quality_classifier, quality_rules
+from faretide.llm import code_points, ngram_jaccard, quality_classifier, quality_rules
 from faretide.llm.bpe import Encoder, TextEncoder, encode_texts
 from faretide.llm.fingerprints import fingerprints
 from faretide.llm.joins import components
@@ -144,6 +144,23 @@ def test_tokens_as_by_the_library(spark):
         assert row["decoded"] == tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_code_points_as_the_tokenizers_library_reads_them():
+    tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(TOKENIZER)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    points = [c for c in range(1, 0x110000, 7) if not 0xD800 <= c < 0xE000]
+    ranges = f"{code_points.LETTERS} {code_points.NUMBERS} {code_points.MARKS}"
+    for part in ranges.split():
+        first, last = (int(x, 16) for x in (part + "-" + part).split("-")[:2])
+        points += [first - 1, first, last, last + 1]
+    points += code_points.LOWERED
+    texts = [f"a{chr(c)}b 1{chr(c)}2 q\u0315{chr(c)}\u0334" for c in points]
+    texts += ["\U00011935\U00011930", "日本" * 5000, "a" * 5000, "\u07fd" * 3000]
+    encoder = TextEncoder(Encoder.from_file(TOKENIZER), max_words=1000)
+    for text, want in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encoder.encode(text) == " ".join(map(str, want.ids)), ascii(text[:50])
+
+
 def test_automaton_paths_are_what_merging_gives():
     encoder = Encoder.from_file(TOKENIZER)
     text = TextEncoder(encoder)
