@@ -24,6 +24,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -315,3 +316,32 @@ def encode_texts(
     return texts.mapInArrow(
         encode, f"`{id_col}` {kind}, n_tokens long, {names[0]} string, {names[1]} string"
     )
+
+
+def token_ids(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_words: int = MAX_WORDS,
+) -> DataFrame:
+    """``(id_col, ids)`` of every text, ids as an array of ints; nothing is decoded."""
+    texts = bounded(docs).select(docs[id_col], docs[text_col].cast("string").alias("__text"))
+    shared = docs.sparkSession.sparkContext.broadcast(Encoder.from_file(path))
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = TextEncoder(shared.value, max_words)
+        for batch in batches:
+            column = batch.column(1)
+            for low in range(0, len(column), 500):
+                found = [encoder.encode(text.as_py() or "") for text in column.slice(low, 500)]
+                ends = np.cumsum([0, *(one.count(" ") + bool(one) for one in found)])
+                ids = np.array(" ".join(filter(None, found)).split(), np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, 500),
+                     pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))],
+                    [id_col, "ids"],
+                )
+
+    kind = texts.schema[0].dataType.simpleString()
+    return texts.mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")

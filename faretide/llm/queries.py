@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from faretide.llm.bpe import encode_texts
+from faretide.llm.bpe import encode_texts, token_ids
 from faretide.llm.fingerprints import fingerprints
 from faretide.llm.language_id import identify
 from faretide.llm.license_scan import scan_licenses
@@ -15,7 +15,7 @@ from faretide.llm.quality_classifier import classify
 from faretide.llm.quality_rules import quality_rules
 from faretide.llm.token_shards import write_shards
 from faretide.llm.url_filter import Rule, judge_urls
-from faretide.session import fresh_path
+from faretide.session import fresh_path, stage
 
 #: A tokenizer's file outside the repository; its path is a parameter of the operator.
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
@@ -67,7 +67,9 @@ def op8_quality_rules(spark, folder):
 
 
 def op9_token_shards(spark, folder):
-    return write_shards(documents(spark, folder), fresh_path(spark, "shards"))
+    # Both passes of the writer must see the same partitions, and texts are encoded once.
+    ids = stage(token_ids(documents(spark, folder), TOKENIZER), "ids")
+    return write_shards(ids, fresh_path(spark, "shards"), ids_col="ids")
 
 
 def op10_license_scans(spark, folder):

@@ -1,7 +1,8 @@
 """Token ids in training order: fixed-stride binary shards in an order that a key decides.
 
 Token ids of all rows are put end to end, each document closed by ``END``, and cut into sequences
-of a fixed length. A Feistel permutation with cycle-walking, keyed by a seed, gives every sequence
+of a fixed length. Ids come from an array column and are written little-endian in 2 or 4 bytes; or
+a text column gives its UTF-8 bytes as ids of one byte. A stride is ``length * width`` bytes. A Feistel permutation with cycle-walking, keyed by a seed, gives every sequence
 its slot in the order of training: a bijection of ``0 .. n-1`` that is computed, not stored. A
 range of slots is one shard. Slots are sent to their shard's partition, sorted there, and written
 as records of one stride, so the record of slot s is at ``(s - first slot) * stride`` of its shard
@@ -14,9 +15,9 @@ partition has not the tokens it was counted with. No document or sequence passes
 which holds a number a partition and a row a shard. A lost or repeated task writes the same bytes: a shard is
 written under a name of its own and then moved into place.
 
-Defined results: a NULL or empty text is one ``END``. An empty table gives no shard. Each
+Defined results: a NULL or empty text or array is one ``END``. An empty table gives no shard. Each
 partition's last sequence is filled up with ``PAD``. Repeated rows are written each. Other columns
-are not read.
+are not read. An id that is NULL, does not fit its width, or is ``END`` or ``PAD`` fails the run.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -33,8 +35,10 @@ from pyspark.sql import functions as F
 
 from faretide.llm.words import bounded, constants, mix
 
-#: Byte values are token ids themselves; UTF-8 never has these two.
+#: For texts, byte values are token ids themselves; UTF-8 never has these two.
 END, PAD = 0xFF, 0xFE
+#: Bytes of an id: how ids are stored. ``END`` and ``PAD`` are by default the two largest.
+WIDTHS = {1: np.dtype("u1"), 2: np.dtype("<u2"), 4: np.dtype("<u4")}
 LENGTH = 1024
 SHARD_BYTES = 32 << 20
 FEISTEL_ROUNDS = 4
@@ -64,7 +68,33 @@ def _filesystem(uri: str):
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def _sequences(counted: dict[int, int], begins: dict[int, int], count: int, length: int, key: int, per: int):
+def _text_bytes(column: pa.Array, end: int) -> tuple[bytes, np.ndarray]:
+    """All rows' ids as stored, each closed by ``end``, and how many each row has."""
+    texts = [t.as_py() or b"" for t in column]
+    close = bytes([end])
+    return b"".join([t + close for t in texts]), np.array([len(t) + 1 for t in texts], np.int64)
+
+
+def _id_bytes(column: pa.Array, end: int, pad: int, width: int) -> tuple[bytes, np.ndarray]:
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError("a token id is NULL")
+    ids = flat.to_numpy(zero_copy_only=False)
+    if len(ids) and (ids.min() < 0 or ids.max() >= 1 << 8 * width or np.isin(ids, (end, pad)).any()):
+        raise ValueError(f"token ids do not fit {width} bytes, or are END ({end}) or PAD ({pad})")
+    sizes = sizes.astype(np.int64) + 1
+    out = np.full(sizes.sum(), end, WIDTHS[width])
+    inner = np.ones(len(out), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    out[inner] = ids
+    return out.tobytes(), sizes
+
+
+def _sequences(
+    counted: dict[int, int], begins: dict[int, int], count: int, stride: int, key: int, per: int,
+    width: int, end: int, pad: int,
+):
     """Cut a partition's tokens into sequences with their slots."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,10 +103,10 @@ def _sequences(counted: dict[int, int], begins: dict[int, int], count: int, leng
 
         def out(data: bytes, ids: list):
             nonlocal number
-            n = len(data) // length
+            n = len(data) // stride
             slots = permuted(np.arange(number, number + n), count, key)
             number += n
-            tokens = [data[k * length : (k + 1) * length] for k in range(n)]
+            tokens = [data[k * stride : (k + 1) * stride] for k in range(n)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(slots // per), pa.array(slots), pa.array(ids, pa.int64()),
                  pa.array(tokens, pa.binary())],
@@ -86,28 +116,32 @@ def _sequences(counted: dict[int, int], begins: dict[int, int], count: int, leng
         for batch in batches:
             for low in range(0, len(batch), 200):
                 ids = batch.column(0).slice(low, 200).to_pylist()
-                texts = [t.as_py() or b"" for t in batch.column(1).slice(low, 200)]
-                data = rest + b"".join([t + b"\xff" for t in texts])
-                seen += len(data) - len(rest)
+                column = batch.column(1).slice(low, 200)
+                new, sizes = (
+                    _text_bytes(column, end) if width == 1 else _id_bytes(column, end, pad, width)
+                )
+                data = rest + new
+                seen += len(new) // width
                 # The document that each sequence's first token is of.
-                ends = np.cumsum([len(t) + 1 for t in texts]) + len(rest)
-                whole = len(data) // length
-                at = np.searchsorted(ends, np.arange(whole + 1) * length, "right")
+                ends = np.cumsum(sizes) * width + len(rest)
+                whole = len(data) // stride
+                at = np.searchsorted(ends, np.arange(whole + 1) * stride, "right")
                 if rest:
-                    at = np.where(np.arange(whole + 1) * length < len(rest), -1, at)
+                    at = np.where(np.arange(whole + 1) * stride < len(rest), -1, at)
                 owners = [first if k < 0 else ids[min(k, len(ids) - 1)] for k in at.tolist()]
                 if whole:
-                    yield out(data[: whole * length], owners[:whole])
-                rest, first = data[whole * length :], owners[whole]
+                    yield out(data[: whole * stride], owners[:whole])
+                rest, first = data[whole * stride :], owners[whole]
         if seen != counted.get(part, 0):
             raise RuntimeError(f"partition {part} changed between two passes: stage the rows first")
         if rest:
-            yield out(rest.ljust(length, bytes([PAD])), [first])
+            missing = (stride - len(rest)) // width
+            yield out(rest + np.full(missing, pad, WIDTHS[width]).tobytes(), [first])
 
     return cut
 
 
-def _write(folder: str, length: int, per: int):
+def _write(folder: str, stride: int, per: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = _filesystem(folder)
         shard, stream, name, size = None, None, "", 0
@@ -128,9 +162,9 @@ def _write(folder: str, length: int, per: int):
                     name = f"{root}/.writing-{shard:08d}-{uuid.uuid4().hex}"
                     stream = files.open_output_stream(name)
                 stream.write(b"".join(batch.column(3).slice(low, high - low).to_pylist()))
-                offsets[low:high] = size + np.arange(high - low) * length
-                size += (high - low) * length
-            wanted = (batch.column(1).to_numpy() - shards * per) * length
+                offsets[low:high] = size + np.arange(high - low) * stride
+                size += (high - low) * stride
+            wanted = (batch.column(1).to_numpy() - shards * per) * stride
             if not np.array_equal(wanted, offsets):
                 raise RuntimeError("slots are missing or repeated")
             yield pa.RecordBatch.from_arrays(
@@ -150,49 +184,76 @@ def write_shards(
     key: int = 1,
     length: int = LENGTH,
     shard_bytes: int = SHARD_BYTES,
+    ids_col: str | None = None,
+    width: int = 2,
+    end: int | None = None,
+    pad: int | None = None,
 ) -> DataFrame:
     """``(slot, doc_id, shard, offset)``: where each sequence is written, as shards are written.
 
-    ``doc_id`` is the document of the sequence's first token. Shards are written into ``folder``,
-    which executors must share, when the result is computed.
+    With ``ids_col`` (an array of ints) its ids are written in ``width`` bytes each, else the bytes
+    of ``text_col``. ``length`` is in ids. ``doc_id`` is the document of the sequence's first token.
+    Shards are written into ``folder``, which executors must share, when the result is computed.
     """
-    text = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
-    rows = bounded(docs).select(docs[id_col].cast("long").alias("id"), text.alias("text"))
+    if ids_col is None:
+        width = 1
+        tokens = F.coalesce(docs[text_col].cast("binary"), F.lit(b""))
+        size = F.octet_length("tokens")
+    else:
+        if width not in (2, 4):
+            raise ValueError("ids are written in 2 or 4 bytes")
+        tokens = docs[ids_col].cast("array<long>" if width == 4 else "array<int>")
+        size = F.when(F.col("tokens").isNull(), 0).otherwise(F.size("tokens"))
+    top = (1 << 8 * width) - 1
+    end, pad = top if end is None else end, top - 1 if pad is None else pad
+    if end == pad or not (0 <= end <= top and 0 <= pad <= top):
+        raise ValueError(f"END and PAD must differ and fit {width} bytes")
+    rows = bounded(docs).select(docs[id_col].cast("long").alias("id"), tokens.alias("tokens"))
     counted = {
         r["part"]: r["tokens"]
         for r in rows.groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.sum(F.octet_length("text") + 1).alias("tokens"))
+        .agg(F.sum(size + 1).alias("tokens"))
         .collect()
     }
     begins, count = {}, 0
     for part in sorted(counted):
         begins[part] = count
         count += -(-counted[part] // length)
-    per = max(1, shard_bytes // length)
+    stride = length * width
+    per = max(1, shard_bytes // stride)
     shards = max(1, -(-count // per))
     files, root = _filesystem(folder)
     files.create_dir(root, recursive=True)
     schema = "shard long, slot long, doc_id long, tokens binary"
+    cut = _sequences(counted, begins, count, stride, key, per, width, end, pad)
     return (
-        rows.mapInArrow(_sequences(counted, begins, count, length, key, per), schema)
+        rows.mapInArrow(cut, schema)
         .repartitionById(shards, F.col("shard").cast("int"))
         .sortWithinPartitions("slot")
-        .mapInArrow(_write(folder, length, per), "slot long, doc_id long, shard long, offset long")
+        .mapInArrow(_write(folder, stride, per), "slot long, doc_id long, shard long, offset long")
     )
 
 
-def read_slots(folder: str, first: int, count: int, length: int = LENGTH, shard_bytes: int = SHARD_BYTES):
+def read_slots(
+    folder: str,
+    first: int,
+    count: int,
+    length: int = LENGTH,
+    shard_bytes: int = SHARD_BYTES,
+    width: int = 1,
+):
     """The sequences of ``count`` slots from ``first`` on, one by one, in training order."""
     files, root = _filesystem(folder)
-    per = max(1, shard_bytes // length)
+    stride = length * width
+    per = max(1, shard_bytes // stride)
     slot, end = first, first + count
     while slot < end:
         shard, record = divmod(slot, per)
         with files.open_input_file(f"{root}/shard-{shard:08d}.bin") as file:
-            file.seek(record * length)
+            file.seek(record * stride)
             for _ in range(min(end - slot, per - record)):
-                data = file.read(length)
+                data = file.read(stride)
                 if not data:
                     return
-                yield np.frombuffer(data, np.uint8)
+                yield np.frombuffer(data, WIDTHS[width])
                 slot += 1

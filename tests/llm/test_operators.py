@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faretide.llm import code_points, ngram_jaccard, quality_classifier, quality_rules
-from faretide.llm.bpe import Encoder, TextEncoder, encode_texts
+from faretide.llm.bpe import Encoder, TextEncoder, encode_texts, token_ids
 from faretide.llm.fingerprints import fingerprints
 from faretide.llm.joins import components
 from faretide.llm.language_id import identify
@@ -23,7 +23,7 @@ from faretide.llm.ngram_jaccard import ngram_components
 from faretide.llm.queries import RULES, TOKENIZER
 from faretide.llm.token_shards import permuted, read_slots, write_shards
 from faretide.llm.url_filter import Rule, judge_urls
-from faretide.session import fresh_path
+from faretide.session import fresh_path, stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -355,6 +355,36 @@ def test_shards_hold_every_text_and_resume(spark):
     assert sorted(data.split(b"\xff")[:-1]) == sorted(texts)
 
 
+@pytest.mark.parametrize("width", [2, 4])
+def test_shards_hold_token_ids(spark, odd, width):
+    """Shards of a tokenizer's ids, read back, are the ids that op2 gives each document."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    docs = stage(docs.union(odd.select("doc_id", "text")))
+    folder, length, size = fresh_path(spark, "shards"), 128, 1 << 14
+    ids = stage(token_ids(docs, TOKENIZER).union(spark.createDataFrame([(-9, None)], "doc_id long, ids array<int>")))
+    rows = write_shards(ids, folder, length=length, shard_bytes=size, ids_col="ids", width=width)
+    rows = sorted(map(tuple, rows.collect()))
+    every = list(read_slots(folder, 0, len(rows), length, size, width))
+    later = list(read_slots(folder, 70, 40, length, size, width))
+    assert len(every) == len(rows) and {len(s) for s in every} == {length}
+    assert all((a == b).all() for a, b in zip(later, every[70:110], strict=True))
+    assert [r[3] for r in rows] == [r[0] % (size // (length * width)) * length * width for r in rows]
+    order = permuted(np.arange(len(rows)), len(rows), 1)
+    tokens = np.concatenate([every[s] for s in order]).astype(np.int64)
+    top = (1 << 8 * width) - 1
+    tokens = tokens[tokens != top - 1]
+    found = [" ".join(map(str, t[:-1])) for t in np.split(tokens, np.flatnonzero(tokens == top) + 1)[:-1]]
+    want = [r["ids"] for r in encode_texts(docs, TOKENIZER).collect()] + [""]
+    assert sorted(found) == sorted(want)
+
+
+@pytest.mark.parametrize("bad", [[70_000], [-1], [65_535], [1, None]])
+def test_ids_that_cannot_be_stored_fail(spark, bad):
+    ids = stage(spark.createDataFrame([(1, [5]), (2, bad)], "doc_id long, ids array<int>"))
+    with pytest.raises(Exception, match="token id"):
+        write_shards(ids, fresh_path(spark, "shards"), ids_col="ids").collect()
+
+
 def test_licenses_are_found_anywhere_and_nowhere_else(spark):
     dice = random.Random(3)
     rows, want = [], Counter()
