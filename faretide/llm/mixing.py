@@ -23,7 +23,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from faretide.session import stage
+from faretide.session import numbered, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BIN_ROWS = 2000
@@ -93,9 +93,12 @@ def mix_sources(
     percent: int = 150,
     max_epochs: int = 2,
     seed: str = "mix",
+    row_col: str | None = None,
 ) -> DataFrame:
     """``(id_col, size, source_size, target, taken)`` for every row of ``docs``.
 
+    ``row_col`` (a unique number of each row) comes last, if it is given, and decides ties.
+
     ``quality`` (a positive column of ``docs``) scales the keys: of two documents one with twice
     the quality comes first twice as often.
     """
@@ -104,6 +107,7 @@ def mix_sources(
         docs.select(
             docs[id_col].alias("id"),
             docs[source_col].alias("source"),
+            (docs[row_col] if row_col else F.lit(0)).cast("long").alias("row"),
             size.alias("size"),
             (quality if quality is not None else F.lit(1.0)).alias("quality"),
             docs[text_col].alias("text") if quality is None else F.lit(None).alias("text"),
@@ -139,7 +143,7 @@ def mix_sources(
     ).select(
         F.col("source").alias("s"), F.col("bin").alias("b"), "begin", "source_size", "target"
     )
-    inside = Window.partitionBy("source", "bin").orderBy("key", "id", "size").rowsBetween(
+    inside = Window.partitionBy("source", "bin").orderBy("key", "id", "size", "row").rowsBetween(
         Window.unboundedPreceding, -1
     )
     epochs = F.when(
@@ -155,6 +159,7 @@ def mix_sources(
             F.col("id").alias(id_col), "size", "source_size", "target",
             (F.col("epochs") * F.col("size")
              + F.greatest(F.lit(0), F.least(F.col("size"), room))).cast("long").alias("taken"),
+            *([F.col("row").alias(row_col)] if row_col else []),
         )
     )
 
@@ -162,13 +167,16 @@ def mix_sources(
 def repeat_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mix itself: rows of ``docs`` as often as taken, the last time maybe only its first words.
 
-    Ids must be unique. ``n_chars``, where there is one, follows the text.
+    Rows are documents of their own, whatever their ids. ``n_chars``, where there is one, follows
+    the text.
     """
-    mixed = mix_sources(docs, id_col, text_col=text_col, **options)
+    names = docs.columns
+    docs, row = numbered(docs, "mixed")
+    mixed = mix_sources(docs, id_col, text_col=text_col, row_col=row, **options)
     copies = (
         mixed.where("taken > 0")
         .select(
-            F.col(id_col).alias("__id"),
+            F.col(row).alias("__of"),
             F.explode(
                 F.transform(
                     F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")).cast("int") - 1),
@@ -181,7 +189,7 @@ def repeat_taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     pieces = F.regexp_extract_all(text_col, F.lit(rf"([\x20\x09-\x0D]*{WORD})"), 1)
     part = F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), "")
     text = F.when(F.col("__words") == F.col("__size"), F.col(text_col)).otherwise(part)
-    out = docs.join(copies, F.col(id_col) == F.col("__id")).withColumn(text_col, text)
-    if "n_chars" in docs.columns:
+    out = docs.join(copies, F.col(row) == F.col("__of")).withColumn(text_col, text)
+    if "n_chars" in names:
         out = out.withColumn("n_chars", F.length(text_col).cast("long"))
-    return out.select(*docs.columns)
+    return out.select(*names)

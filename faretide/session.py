@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,3 +62,11 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, label: str = "numbered") -> tuple[DataFrame, str]:
+    """``df``, written once with a unique number for each row, and that column's name."""
+    taken, name = {c.lower() for c in df.columns}, "__row"
+    while name in taken:
+        name += "_"
+    return stage(df.withColumn(name, F.monotonically_increasing_id()), label), name

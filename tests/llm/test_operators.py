@@ -258,6 +258,18 @@ def test_mixture_meets_targets_and_agrees(spark):
     assert sum(len(WORD.findall(r["text"])) for r in mixed) == sum(taken.values())
 
 
+def test_rows_without_and_with_repeated_ids_are_mixed_as_documents(spark):
+    rows = [(None, f"none{k} " * 10, None, "a") for k in range(5)]
+    rows += [(7, f"seven{k} " * 10, None, "a") for k in range(6)] + [(1, "one " * 10, None, "a")]
+    # Two epochs of all are the target: each row comes back exactly twice.
+    mixed = repeat_taken(make(spark, rows), percent=200).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in mixed) == Counter((i, t) for i, t, *_ in rows * 2)
+    # Of 120 words 60 are taken, once each.
+    some = repeat_taken(make(spark, rows), percent=50).collect()
+    assert sum(len(WORD.findall(r["text"])) for r in some) == 60
+    assert Counter((r["doc_id"], r["text"]) for r in some) <= Counter((i, t) for i, t, *_ in rows)
+
+
 def test_full_sources_leave_their_excess(spark):
     rows = [(1, "a " * 10, None, "a"), (2, "b " * 1000, None, "b"), (3, "c " * 1000, None, None)]
     found = {r["doc_id"]: r for r in mix_sources(make(spark, rows)).collect()}
