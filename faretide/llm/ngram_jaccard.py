@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from faretide.llm.joins import components, only
 from faretide.llm.words import LOWERED, blocks, bounded, constants, lists, mix, shingles
-from faretide.session import stage
+from faretide.session import numbered, stage
 
 #: Sets up to this size are written whole in the first pass, as any of them may be light.
 LIGHTEST = 16
@@ -334,7 +334,22 @@ def ngram_components(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` but for documents linked, at any distance, to one with a smaller id."""
-    found = ngram_components(docs, id_col, text_col, **options)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return only(docs, stage(gone, "gone"), id_col, "left_anti")
+    """The rows of ``docs`` but for those linked, at any distance, to a row that comes before.
+
+    Rows are compared as documents of their own, whatever their ids; of a group, the smallest id's
+    row stays (NULL ids come last; of equal ids, any one row). Rows without words all stay.
+    """
+    names = docs.columns
+    docs, row = numbered(docs, "rows")
+    found = ngram_components(docs, row, text_col, **options).select(row, "component_id")
+    found = stage(found, "components")
+    groups = found.groupBy("component_id").agg(F.count("*").alias("members")).where("members > 1")
+    members = stage(
+        found.join(groups.select("component_id"), "component_id")
+        .join(docs.select(row, F.col(id_col).alias("__id")), row)
+        .select(row, "component_id", F.struct(F.col("__id").isNull(), "__id", row).alias("place")),
+        "members",
+    )
+    first = members.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = members.join(first, "component_id").where(F.col("place") != F.col("first")).select(row)
+    return only(docs, stage(gone, "gone"), row, "left_anti").select(*names)

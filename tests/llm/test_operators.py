@@ -118,6 +118,19 @@ def test_light_sets_meet_in_a_subset():
                     assert sizes[m] <= both
 
 
+def test_one_row_is_kept_of_each_group_whatever_its_ids(spark):
+    text, near = (" ".join(f"{w}{k}" for k in range(100)) for w in ("a", "b"))
+    rows = [(5, text), (5, text), (3, text + " end"), (None, text), (None, near), (None, near + " end"),
+            (8, "lone"), (8, "other words"), (None, None), (None, "")]
+    docs = make(spark, rows).repartition(3)
+    kept = ngram_jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    ends = [(None, t) for t in (near, near + " end") if (None, t) in found]
+    assert len(ends) == 1
+    assert found == Counter([(3, text + " end"), *ends, *rows[6:]])
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(77, 50)], "a long, b long")
     found = {r["id"]: r["component"] for r in components(links).collect()}
