@@ -5,9 +5,13 @@
    which way on good and bad ones, from the votes of all documents. Patterns of votes are counted
    in Spark; the driver sees a row a pattern, of which there are ``3 ** labellers`` at most.
 3. Posterior labels of a bounded sample (``sample`` documents, spread by a hash of text) train a
-   logistic regression on hashed features: shapes of words, letter pairs at words' ends, and
-   punctuation, as shares of the text's words.
-4. The scorer's weights, ``FEATURES`` numbers, travel with the job and score every whole text.
+   logistic regression on hashed features (shapes, last bytes and last letter pairs of words, as
+   shares of the text's words) and on steps of the text's variety.
+4. The scorer's weights, ``COLUMNS`` numbers, travel with the job and score every whole text.
+
+A text's variety is the lowest share of distinct words in any of its windows: ``WINDOW`` words that
+follow each other, the last window ending with the text, or the whole of a shorter text. So it
+does not sink with a text's length alone.
 
 Nothing is shuffled but pattern counts and the sample's gradient sums.
 
@@ -30,6 +34,11 @@ from pyspark.sql import functions as F
 from faretide.llm.words import Block, blocks, bounded, constants, mix
 
 FEATURES = 512
+#: A text's variety is a feature by how many of these it stays below.
+STEPS = np.array([0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5])
+COLUMNS = FEATURES + len(STEPS)
+WINDOW = 200
+LOW_VARIETY = 0.15
 SAMPLE = 20_000
 ROUNDS = 100
 #: Classes of bytes: fixed values of this module.
@@ -45,6 +54,27 @@ KINDS[[9, 10, 11, 12, 13, 32]] = 0
 LABELLERS = ("symbols", "tails", "bars", "capitals", "bangs", "variety", "repeats", "prose")
 
 
+def _variety(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Each text's lowest share of distinct words in a window; 1 for texts without words."""
+    counts = np.diff(first)
+    several = -(-counts // WINDOW)
+    rows = np.repeat(np.arange(len(counts)), several)
+    out = np.ones(len(counts))
+    if not len(rows):
+        return out
+    begins = np.cumsum(several) - several
+    step = np.arange(len(rows)) - np.repeat(begins, several)
+    start = first[:-1][rows] + np.minimum(step * WINDOW, np.maximum(counts[rows] - WINDOW, 0))
+    sizes = np.minimum(counts[rows], WINDOW)
+    of = np.repeat(np.arange(len(rows)), sizes)
+    at = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + start[of]
+    own = mix(words[at] + constants(1, 17)[0] * (of.astype(np.uint64) + np.uint64(1)))
+    _, index = np.unique(own, return_index=True)
+    share = np.bincount(of[index], minlength=len(rows)) / sizes
+    np.minimum.at(out, rows, share)
+    return out
+
+
 def _votes(block: Block) -> np.ndarray:
     """A column a labeller: 1 good, -1 bad, 0 no vote."""
     start, end, first = block.spans()
@@ -63,14 +93,14 @@ def _votes(block: Block) -> np.ndarray:
     words = block.hashes(block.sums(), start, end)
     rows = np.repeat(np.arange(block.rows), counts)
     own = mix(words + constants(1, 17)[0] * (rows.astype(np.uint64) + np.uint64(1)))
-    _, index = np.unique(own, return_index=True)
-    variety = np.bincount(rows[index], minlength=block.rows) / n
+    variety = _variety(words, first)
     same = np.concatenate([[False], own[1:] == own[:-1]]) if len(own) else own.astype(bool)
     repeats = total(same, first) / n
     stops = total(last == ord("."), first)
     bars = total((end - start == 1) & (kinds[start] == SYMBOL), first) / n
     tails = total(kinds[end - 1] == SYMBOL, first) / n
     prose = (symbols < 0.02) & (upper < 0.3) & (bangs < 0.05) & (stops > 0) & (repeats < 0.05)
+    prose &= variety >= 2 * LOW_VARIETY
     bad = lambda flags: -1 * (flags & (counts > 0))
     return np.stack(
         [
@@ -79,7 +109,7 @@ def _votes(block: Block) -> np.ndarray:
             bad(bars > 0.1),
             bad(upper > 0.5),
             bad(bangs > 0.2),
-            bad((variety < 0.15) & (counts >= 20) & (counts < 2000)),
+            bad(variety < LOW_VARIETY),
             bad(repeats > 0.2),
             np.where(prose, 1, 0),
         ],
@@ -88,11 +118,11 @@ def _votes(block: Block) -> np.ndarray:
 
 
 def _features(block: Block) -> np.ndarray:
-    """A row a text: shares of its words with each hashed feature."""
+    """A row a text: shares of its words with each hashed feature, and steps of its variety."""
     start, end, first = block.spans()
     counts = np.diff(first)
     if not len(start):
-        return np.zeros((block.rows, FEATURES), np.float32)
+        return np.zeros((block.rows, COLUMNS), np.float32)
     rows = np.repeat(np.arange(block.rows), counts)
     kinds = KINDS[block.data].astype(np.uint64)
     lead, tail = kinds[start], kinds[end - 1]
@@ -108,13 +138,16 @@ def _features(block: Block) -> np.ndarray:
             ((lead * np.uint64(8) + middle) * np.uint64(8) + inner) * np.uint64(8) + tail,
             block.data[end - 1].astype(np.uint64),
             size * np.uint64(2) + again,
+            block.data[np.maximum(end - 2, start)].astype(np.uint64) * np.uint64(256)
+            + block.data[end - 1],
         )
     ):
-        slot = mix(code + constants(3, 19)[seed]) % np.uint64(FEATURES)
+        slot = mix(code + constants(4, 19)[seed]) % np.uint64(FEATURES)
         out += np.bincount(rows * FEATURES + slot.astype(np.int64), minlength=len(out))
     # As if every text had ten words more without features, so that few words say little.
     out = out.reshape(block.rows, FEATURES) / (counts + 10)[:, None]
-    return np.sqrt(out).astype(np.float32)
+    low = _variety(words, first)[:, None] < STEPS
+    return np.concatenate([np.sqrt(out), low], axis=1).astype(np.float32)
 
 
 def _patterns(docs: DataFrame, id_name: str) -> DataFrame:
@@ -201,7 +234,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scor
                     [
                         pa.array(label, pa.float64()),
                         pa.ListArray.from_arrays(
-                            np.arange(block.rows + 1, dtype=np.int32) * FEATURES,
+                            np.arange(block.rows + 1, dtype=np.int32) * COLUMNS,
                             pa.array(values.ravel()),
                         ),
                     ],
@@ -220,7 +253,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scor
     soft = soft.select("features", "part.label", "part.weight").where("weight > 1e-6").persist()
     try:
         if soft.select("label").distinct().count() < 2:
-            return Scorer(posterior, info, np.zeros(FEATURES, np.float32), 6.0)
+            return Scorer(posterior, info, np.zeros(COLUMNS, np.float32), 6.0)
         model = LogisticRegression(
             maxIter=30, regParam=1e-4, weightCol="weight", standardization=False
         ).fit(soft)

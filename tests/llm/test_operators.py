@@ -341,6 +341,34 @@ def test_classifier_tells_labels_it_never_saw(spark):
     assert np.mean(good) > 0.99 and np.mean(bad) < 0.1
 
 
+def test_variety_counts_at_every_length(spark):
+    """Texts that cycle through a few words are told from prose, however long they are."""
+    dice = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    known = ["".join(dice.choices(letters, k=dice.randrange(2, 9))) for _ in range(3000)]
+
+    def prose(n):
+        return [dice.choice(known) + "." * (k % 12 == 11) for k in range(n)]
+
+    def cycle(n):
+        return [few[k % 12] for k in range(n)]
+
+    texts, lengths = [], (250, 1999, 2000, 2600, 8000)
+    for _ in range(60):
+        few = prose(12)
+        texts += [(False, cycle(n)) for n in lengths]
+        texts += [(True, prose(n)) for n in (30, 250, 2600) for _ in range(4)]
+    docs = make(spark, [(i, " ".join(t)) for i, (_, t) in enumerate(texts)])
+    found = {r["doc_id"]: r for r in quality_classifier.classify(docs).collect()}
+    at = quality_classifier.LABELLERS.index("variety")
+    assert {(found[i]["votes"][at], found[i]["votes"][-1]) for i, (good, _) in enumerate(texts) if not good} == {("-", "0")}
+    assert np.mean([found[i]["kept"] == good for i, (good, _) in enumerate(texts)]) > 0.98
+    # One stretch of few words in a long text is seen as well.
+    mixed = prose(3000) + cycle(500) + prose(3000)
+    votes = quality_classifier.classify(make(spark, [(1, " ".join(mixed))])).first()["votes"]
+    assert votes[at] == "-"
+
+
 def test_labellers_are_weighed_by_agreement():
     posterior, info = quality_classifier.fit_labellers({"0000000+": 900, "--000000": 90, "00000000": 10})
     assert posterior["0000000+"] > 0.99 and posterior["--000000"] < 0.01
