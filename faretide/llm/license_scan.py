@@ -12,13 +12,17 @@ if it holds at least ``least`` of the template's shingles, compared exactly.
 Templates are few and their bands are looked up where texts are read: nothing is shuffled and no
 window leaves its task unless it matches. Their number is checked.
 
+A match's span begins and ends with shingles of the template and holds none more often than it does.
+
 Defined results: NULL and empty texts match nothing and give no row. Overlapping matches of one
-template are one row, with the best containment. Repeated rows are scanned each. Other columns
+template are one row, the one with the best containment (then the shortest, then the first); ones
+that follow each other are a row each. Repeated rows are scanned each. Other columns
 are not read.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -87,16 +91,18 @@ class Templates:
         self.bands = bands
         self.names: list[str] = []
         self.sets: list[np.ndarray] = []
+        self.often: list[np.ndarray] = []
         self.by_size: dict[int, list[int]] = {}
         for name, notices in texts.items():
             for notice in notices:
                 for block in blocks(pa.array([notice])):
                     words, _, _, first = _words(block)
-                    values = np.unique(windows(words, first, WIDTH)[0])
+                    values, often = np.unique(windows(words, first, WIDTH)[0], return_counts=True)
                     if len(values):
                         self.by_size.setdefault(len(values), []).append(len(self.names))
                         self.names.append(name)
                         self.sets.append(values)
+                        self.often.append(often)
         if len(self.names) > MAX_TEMPLATES:
             raise ValueError(f"more than {MAX_TEMPLATES} templates")
         self.factors = constants(bands, 29)
@@ -110,7 +116,7 @@ class Templates:
         if not len(shingles):
             return []
         rows = np.searchsorted(first, at, "right") - 1
-        found: dict[tuple[int, int, int], tuple[float, int, int]] = {}
+        found: dict[tuple[int, int], set[tuple[float, int, int]]] = {}
         starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
         lengths = np.diff(np.append(starts, len(rows)))
         cut = {}
@@ -145,25 +151,40 @@ class Templates:
                 inside = np.flatnonzero(np.isin(shingles[low:end], self.sets[member]))
                 share = len(np.unique(shingles[low:end][inside])) / len(self.sets[member])
                 if share >= least:
-                    word = int(at[low + inside[0]] - first[row])
-                    last = int(at[low + inside[-1]] - first[row]) + WIDTH - 1
-                    key = (row, member, word // (2 * size))
-                    found[key] = max(found.get(key, (0.0, 0, 0)), (share, word, last))
-        return _merged(found)
-
-
-def _merged(found: dict) -> list[tuple[int, int, float, int, int]]:
-    """Matches of one template that overlap, as one."""
-    out: list[tuple[int, int, float, int, int]] = []
-    for (row, member, _), (share, low, high) in sorted(
-        found.items(), key=lambda x: (x[0][:2], x[1][1])
-    ):
-        if out and out[-1][:2] == (row, member) and out[-1][4] >= low:
-            old = out.pop()
-            out.append((row, member, max(old[2], share), old[3], max(old[4], high)))
-        else:
-            out.append((row, member, share, low, high))
-    return out
+                    places = at[low + inside] - first[row]
+                    spans = self._spans(member, shingles[low:end][inside], places, least)
+                    found.setdefault((row, member), set()).update(spans)
+        return [(*key, *span) for key in sorted(found) for span in _apart(found[key])]
+
+    def _spans(self, member: int, values: np.ndarray, places: np.ndarray, least: float):
+        """Stretches of shingles of a template that hold enough of it: share, first and last word.
+
+        A stretch is moved on where a shingle would stand in it more often than in the template, so
+        one notice does not reach into the next.
+        """
+        often = self.often[member].tolist()
+        which = np.searchsorted(self.sets[member], values).tolist()
+        words = places.tolist()
+        held, distinct, low, out = [0] * len(often), 0, 0, []
+        for high, k in enumerate(which):
+            held[k] += 1
+            distinct += held[k] == 1
+            while held[k] > often[k]:
+                held[which[low]] -= 1
+                low += 1
+            if distinct / len(often) >= least:
+                out.append((distinct / len(often), words[low], words[high] + WIDTH - 1))
+        return out
+
+
+def _apart(spans: set[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
+    """Spans that do not overlap, the best first chosen, in the order of words."""
+    chosen: list[tuple[int, int, float]] = []
+    for share, low, high in sorted(spans, key=lambda x: (-x[0], x[2] - x[1], x[1])):
+        k = bisect_right(chosen, (high, high, 2.0))
+        if not k or chosen[k - 1][1] < low:
+            chosen.insert(k, (low, high, share))
+    return [(share, low, high) for low, high, share in chosen]
 
 
 def scan_licenses(

@@ -438,6 +438,18 @@ def test_ids_that_cannot_be_stored_fail(spark, bad):
         write_shards(ids, fresh_path(spark, "shards"), ids_col="ids").collect()
 
 
+def test_notices_that_follow_each_other_are_a_row_each(spark):
+    short, long = TEMPLATES["MIT"]
+    near = long.replace("any person", "every human")
+    texts = [f"{short} {short}", " ".join([short] * 7), f"{short} x y {short}", f"{near} {long}", f"{long} {near} {short}"]
+    want, size = [], len(long.split())
+    for i, starts in enumerate([[0, 5], range(0, 35, 5), [0, 7]]):
+        want += [(i, low, low + 4) for low in starts]
+    want += [(k, at, at + size - 1) for k in (3, 4) for at in (0, size)] + [(4, 2 * size, 2 * size + 4)]
+    found = scan_licenses(make(spark, list(enumerate(texts))))
+    assert sorted((r["doc_id"], r["first_word"], r["last_word"]) for r in found.collect()) == sorted(want)
+
+
 def test_licenses_are_found_anywhere_and_nowhere_else(spark):
     dice = random.Random(3)
     rows, want = [], Counter()
