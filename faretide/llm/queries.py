@@ -13,8 +13,10 @@ from faretide.llm.mixing import mix_sources
 from faretide.llm.ngram_jaccard import ngram_components
 from faretide.llm.quality_classifier import classify
 from faretide.llm.quality_rules import quality_rules
+from faretide.llm.runs import describe_runs
 from faretide.llm.token_shards import write_shards
 from faretide.llm.url_filter import Rule, judge_urls
+from faretide.llm.whitening import whiten
 from faretide.session import fresh_path, stage
 
 #: A tokenizer's file outside the repository; its path is a parameter of the operator.
@@ -76,6 +78,14 @@ def op10_license_scans(spark, folder):
     return scan_licenses(documents(spark, folder))
 
 
+def op11_periodic_runs(spark, folder):
+    return describe_runs(documents(spark, folder), edit=True)
+
+
+def op12_whitening(spark, folder):
+    return whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +99,8 @@ QUERIES = {
         op8_quality_rules,
         op9_token_shards,
         op10_license_scans,
+        op11_periodic_runs,
+        op12_whitening,
     )
 }
 
