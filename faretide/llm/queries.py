@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from faretide.llm.bpe import encode_texts, token_ids
 from faretide.llm.fingerprints import fingerprints
+from faretide.llm.katz import score_held_out
 from faretide.llm.language_id import identify
 from faretide.llm.license_scan import scan_licenses
 from faretide.llm.mixing import mix_sources
@@ -86,6 +87,10 @@ def op12_whitening(spark, folder):
     return whiten(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
 
+def op13_lm_scoring(spark, folder):
+    return score_held_out(documents(spark, folder))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,6 +106,7 @@ QUERIES = {
         op10_license_scans,
         op11_periodic_runs,
         op12_whitening,
+        op13_lm_scoring,
     )
 }
 
