@@ -48,7 +48,7 @@ from faretide.session import fresh_path, stage
 
 ORDER = 2
 #: Tokens of a chunk, and n-grams that a part is asked for.
-CHUNK, PART = 1 << 22, 1 << 20
+CHUNK, PART = 1 << 21, 1 << 20
 #: Counts of counts that discounts are fitted to.
 FITTED = 256
 FOLDS, HELD = 7, 2
