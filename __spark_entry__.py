@@ -46,6 +46,7 @@ from faretide.operators.scoring import (
     write_predictions,
 )
 from faretide.operators.store import (
+    compact_features,
     create_database,
     create_feature_table,
     merge_features,
@@ -60,6 +61,7 @@ from faretide.session import fresh_path, stage
 from faretide.sources.events import logs_from_events, read_events, trips_from_events
 from faretide.sources.tables import read_logs, read_training_csv, read_trips, stream_trips
 from faretide.streaming.features import stream_features
+from faretide.streaming.panes import backfill_late, late_trips, stream_table
 
 try:
     import corpus_pipeline
@@ -246,6 +248,42 @@ def q_stream_dropoff(spark, folder):
     return _streamed(spark, folder, "dropoff", DROPOFF_FEATURES)
 
 
+#: Of each quarter's trips, those that come two quarters later than their time.
+DELAYED = "event_id % 11 = 0"
+
+
+def _with_late(spark, folder, kind, schema, delay="1 hour"):
+    """Four batches by time, of which the third and fourth hold trips of earlier ones."""
+    table, source = _new_table(spark, f"late_{kind}"), fresh_path(spark, "arrivals")
+    create_feature_table(spark.createDataFrame([], schema), table)
+    trips, at = _trips(spark, folder), F.col(f"tpep_{kind}_datetime")
+    quarter = sum((at >= F.lit(bound).cast("timestamp_ntz")).cast("int") for bound in ARRIVALS[1:-1])
+    arrival = F.least(quarter + F.when(F.expr(DELAYED), 2).otherwise(0), F.lit(3))
+    arriving = stage(trips.withColumn("arrival", arrival), "arriving")
+    for number in range(4):
+        part = arriving.where(F.col("arrival") == number).drop("arrival")
+        part.write.mode("append").parquet(source)
+        stream = stream_trips(spark, source, trips.schema)
+        stream_table(stream, table, kind, delay=delay).awaitTermination()
+    return table
+
+
+def q_stream_late(spark, folder):
+    return read_features(spark, _with_late(spark, folder, "pickup", PICKUP_FEATURES))
+
+
+def q_stream_late_trips(spark, folder):
+    table = _with_late(spark, folder, "dropoff", DROPOFF_FEATURES)
+    return late_trips(spark, table).select("event_id", "batch", "folded")
+
+
+def q_stream_backfilled(spark, folder):
+    table = _with_late(spark, folder, "dropoff", DROPOFF_FEATURES)
+    backfill_late(spark, table, "dropoff")
+    compact_features(spark, table)
+    return read_features(spark, table)
+
+
 # --- lookups ---------------------------------------------------------------------------
 
 
@@ -698,6 +736,24 @@ _RANGE_DROPOFF = _with(_TRIPS, _dropoff("dropoff", START, END)) + "SELECT * FROM
 _HASH = "('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 100"
 
 
+def _late(kind: str, pane: int, window: int) -> str:
+    """Trips by batch, and which of them the stream's watermark leaves on time."""
+    at = f"tpep_{kind}_datetime"
+    quarter = " + ".join(f"({at} >= TIMESTAMP '{bound}')::INT" for bound in ARRIVALS[1:-1])
+    return f"""
+arriving AS (
+  SELECT *, floor(epoch({at}))::BIGINT AS second,
+         least(3, {quarter} + CASE WHEN {DELAYED} THEN 2 ELSE 0 END) AS batch FROM trips),
+marks AS (
+  SELECT batch, max(max(second)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+                                       AND 1 PRECEDING) - 3600 AS watermark
+  FROM arriving GROUP BY batch),
+told AS (
+  SELECT a.*, coalesce(second - second % {pane} + {window} <= watermark, false) AS late
+  FROM arriving a JOIN marks USING (batch)),
+ontime AS (SELECT * FROM told WHERE NOT late)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return _own_oracles() | LLM_ORACLES
 
@@ -761,6 +817,15 @@ SELECT * FROM old WHERE NOT EXISTS
         "overwrite_features": _with(_TRIPS, _pickup("new", *SECOND_HALF)) + "SELECT * FROM new",
         "stream_pickup": _ALL_PICKUP,
         "stream_dropoff": _ALL_DROPOFF,
+        "stream_late": _with(
+            _TRIPS,
+            _late("pickup", 900, 3600),
+            _pickup("pickup").replace("FROM trips", "FROM ontime"),
+        )
+        + "SELECT * FROM pickup",
+        "stream_late_trips": _with(_TRIPS, _late("dropoff", 1800, 1800))
+        + "SELECT event_id, batch, false AS folded FROM told WHERE late",
+        "stream_backfilled": _ALL_DROPOFF,
         "pickup_lookup": _with(*_RANGED) + f"SELECT r.*, {_P} FROM rounded r {_PICKUP_JOIN}",
         "dropoff_lookup": _with(*_RANGED) + f"SELECT r.*, {_D} FROM rounded r {_DROPOFF_JOIN}",
         "training_set": _TRAINING,

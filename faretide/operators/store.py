@@ -1,30 +1,43 @@
-"""Keyed feature tables in the session catalog, partitioned by month.
-
-Tables are plain Parquet unless another format is named. A write puts each
-month's rows in a new folder and then points the month at it in the catalog,
-one statement a month. A driver lost before that leaves the old rows in place,
-and one lost between two months leaves each of them old or new: writing the
-same rows again completes it. Folders of writes that never got so far stay
-behind, unread. Where the table's format has ``MERGE INTO``, merging uses that
-(no such format is installed here, so that branch has not been run).
+"""Keyed feature tables: snapshots of folders of rows, partitioned by month.
+
+A write puts its rows into new folders and then makes one commit that names all folders of all
+months (see ``faretide.operators.snapshots``). ``read_features`` reads one commit, so it sees a
+write whole or not at all, and what it reads stays until ``expire_features`` removes it by age.
+
+A merge replaces rows by key. It rewrites the months it touches, or, with ``compact=False``, only
+adds its rows to the months' logs, whatever the months hold: reads then take the newest row of
+each key, and ``compact_features`` folds a log into its month when that suits. Streams write so.
+
+Tables are plain Parquet unless another format is named, and are registered in the session's
+catalog. After a commit the catalog's partitions are pointed at the new folders, a month at a
+time, for readers of ``FROM table``; these do not see logs, nor several months at once. Where the
+table's format has ``MERGE INTO``, merging uses that (no such format is installed here, so that
+branch has not been run).
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faretide.functions.times import moment_of, month_of_epoch
+from faretide.operators import snapshots
+from faretide.operators.snapshots import Conflict, Segment, Snapshot
 from faretide.session import stage
 
 _MERGING_FORMATS = ("delta", "iceberg")
 _MONTH, _VERSION = "yyyy_mm", "version"
+#: The months of rows that are not stored: without a key, and ending after January 2038.
+_NO_KEY, _BEYOND = "none", "beyond"
+#: How often a write that another one got ahead of is made again.
+_ATTEMPTS = 4
+WEEK = 7 * 86_400
 
 
 @dataclass(frozen=True)
@@ -36,6 +49,26 @@ class WriteReport:
     months: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class FeatureTable:
+    """A table as the catalog has it."""
+
+    name: str
+    root: str
+    provider: str
+    keys: tuple[str, ...]
+    partition: str | None
+    schema: T.StructType
+
+    @property
+    def columns(self) -> list[str]:
+        return self.schema.names
+
+    @property
+    def merges(self) -> bool:
+        return self.provider in _MERGING_FORMATS
+
+
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
@@ -49,43 +82,71 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}{where}")
 
 
-def _table_property(spark: SparkSession, table: str, key: str) -> str | None:
-    found = spark.sql(f"SHOW TBLPROPERTIES {_quoted(table)}").filter(F.col("key") == key).first()
-    return found["value"] if found else None
-
-
-def _described(spark: SparkSession, what: str, name: str) -> str:
-    """A line of ``DESCRIBE EXTENDED`` of a table or, with its clause, a partition."""
-    lines = spark.sql(f"DESCRIBE EXTENDED {what}").filter(F.col("col_name") == name)
-    return lines.first()["data_type"]
+def feature_table(spark: SparkSession, table: str) -> FeatureTable:
+    """What the catalog says of a feature table, from one statement."""
+    found = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)} AS JSON").first()[0])
+    keys = found.get("table_properties", {}).get("primary_keys")
+    if keys is None:
+        raise ValueError(f"{table} was not created as a feature table")
+    partitions = found.get("partition_columns") or [None]
+    return FeatureTable(
+        table,
+        found["location"].split(f"/{_VERSION}=")[0],
+        found["provider"].lower(),
+        tuple(json.loads(keys)),
+        partitions[0],
+        spark.table(table).schema,
+    )
 
 
 def table_folder(spark: SparkSession, table: str) -> str:
     """The folder under which all versions of the table's rows are kept."""
-    return _described(spark, _quoted(table), "Location").split(f"/{_VERSION}=")[0]
+    return feature_table(spark, table).root
 
 
 def primary_keys(spark: SparkSession, table: str) -> list[str]:
     """The keys the table was created with."""
-    stored = _table_property(spark, table, "primary_keys")
-    if stored is None:
-        raise ValueError(f"{table} was not created as a feature table")
-    return json.loads(stored)
+    return list(feature_table(spark, table).keys)
+
+
+# --- reading ---------------------------------------------------------------------------
 
 
-def _partition_column(spark: SparkSession, table: str) -> str | None:
-    columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    return columns[0] if columns else None
+def read_segments(spark: SparkSession, info: FeatureTable, segments: Sequence[Segment]) -> DataFrame:
+    """Rows of some segments, with the version of each."""
+    schema = T.StructType([*info.schema.fields, T.StructField(_VERSION, T.StringType())])
+    if not segments:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", info.root).format(info.provider)
+    return reader.load([f"{info.root}/{s.folder}" for s in segments])
 
 
-def _current(spark: SparkSession, table: str) -> DataFrame:
-    """The table as it is now, also when another session has written to it.
+def _newest(info: FeatureTable, logs: DataFrame) -> DataFrame:
+    others = [c for c in info.columns if c not in info.keys]
+    last = F.max_by(F.struct(*others), _VERSION).alias("last")
+    return logs.groupBy(*info.keys).agg(last).select(*info.keys, "last.*").select(*info.columns)
 
-    Streams write from a session of their own, and the list of files that
-    this session keeps would still name the ones they replaced.
+
+def snapshot_rows(
+    spark: SparkSession, info: FeatureTable, snapshot: Snapshot, months: Sequence[str | None] | None = None
+) -> DataFrame:
+    """The rows of a snapshot, each key once.
+
+    Months without a log are read as they are. Of the others, the logs' newest rows are found, and
+    rows of the month that they replace are left out; Spark sends the logs' keys to the month's
+    tasks if they are few, and shuffles both otherwise.
     """
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+    base, logs = snapshot.of("base", months=months), snapshot.of("log", months=months)
+    layered = {s.month for s in logs}
+    plain = [s for s in base if s.month not in layered]
+    rows = read_segments(spark, info, plain).select(*info.columns)
+    if not logs:
+        return rows
+    newest = _newest(info, read_segments(spark, info, logs))
+    under = read_segments(spark, info, [s for s in base if s.month in layered]).select(*info.columns)
+    kept = under.join(newest.select(*info.keys), list(info.keys), "left_anti").select(*info.columns)
+    layers = kept.unionByName(newest)
+    return rows.unionByName(layers) if plain else layers
 
 
 def read_features(
@@ -93,12 +154,19 @@ def read_features(
     table: str,
     start: datetime | str | None = None,
     end: datetime | str | None = None,
+    snapshot: int | None = None,
 ) -> DataFrame:
     """The table, or only the windows ending in ``[start, end)``.
 
-    A bound prunes the months read as well as filtering on ``ts``.
+    The rows are those of the latest commit, or of ``snapshot``, whatever is written until they
+    are read. A bound prunes the months read as well as filtering on ``ts``.
     """
-    df = _current(spark, table)
+    info = feature_table(spark, table)
+    if info.merges:
+        spark.catalog.refreshTable(table)
+        df = spark.table(table)
+    else:
+        df = snapshot_rows(spark, info, snapshots.read_snapshot(spark, info.root, snapshot))
     for bound, is_start in ((start, True), (end, False)):
         if not bound:
             continue
@@ -111,115 +179,191 @@ def read_features(
     return df
 
 
-def _check_schema(df: DataFrame, table: str) -> None:
-    stored = {f.name: f.dataType for f in df.sparkSession.table(table).schema}
-    offered = {f.name: f.dataType for f in df.schema}
-    if stored != offered:
-        raise ValueError(f"{table} has columns {stored}, not {offered}")
+def stored_rows(spark: SparkSession, table: str) -> int | None:
+    """At most how many rows a read gives, from the commit alone; None if it does not say."""
+    info = feature_table(spark, table)
+    if info.merges:
+        return None
+    latest = snapshots.read_snapshot(spark, info.root)
+    return sum(s.rows for s in latest.of("base", "log"))
 
 
-def _checked(
-    df: DataFrame,
-    keys: Sequence[str],
-    partition: str | None,
-    check_unique: bool,
-    staged: bool,
-) -> tuple[DataFrame, WriteReport]:
-    """Stage new rows unless they are, count them and drop NULL keys.
-
-    Counting the staged files is exact even when tasks were retried, which
-    metrics observed during the write are not. Rows with a month but no time
-    ended after January 2038, which an int of seconds cannot hold; they fail
-    the write, as do rows in another month than their time's. The months are
-    few thereby, so collecting their names is safe.
-    """
-    stored = df if staged else stage(df, "features")
-    has_keys = F.lit(True)
-    for key in keys:
-        has_keys = has_keys & F.col(key).isNotNull()
-    months, beyond, astray = F.array(), F.lit(0), F.lit(0)
-    if partition:
-        astray = F.count_if(has_keys & ~F.col(partition).eqNullSafe(month_of_epoch(F.col("ts"))))
-        beyond = F.count_if(F.col("ts").isNull() & F.col(partition).isNotNull())
-        months = F.collect_set(F.when(has_keys, month_of_epoch(F.col("ts"))))
-    summary = stored.agg(
-        F.count_if(has_keys).alias("rows"), F.count_if(~has_keys).alias("nulls"),
-        months.alias("m"), beyond.alias("beyond"), astray.alias("astray"),
-    ).first()
-    if summary["beyond"]:
-        raise ValueError(f"{summary['beyond']} rows end after January 2038")
-    if summary["astray"]:
-        raise ValueError(f"{summary['astray']} rows are not in the month of their time")
-    clean = stored.filter(has_keys)
-    if check_unique:
-        twice = clean.groupBy(*keys).count().filter("count > 1").limit(1).collect()
-        if twice:
-            raise ValueError(f"key appears more than once: {twice[0].asDict()}")
-    return clean, WriteReport(summary["rows"], summary["nulls"], tuple(sorted(summary["m"])))
+# --- writing ---------------------------------------------------------------------------
 
 
-def _discard(spark: SparkSession, folder: str) -> None:
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+def _has_keys(info: FeatureTable) -> Column:
+    has_keys = F.lit(True)
+    for key in info.keys:
+        has_keys = has_keys & F.col(key).isNotNull()
+    return has_keys
 
 
-def _switch(spark: SparkSession, table: str, clause: str, folder: str) -> None:
-    """Point a table, or a partition of it, at the folder of its new rows."""
-    spark.sql(f"ALTER TABLE {_quoted(table)}{clause} SET LOCATION {_text(folder)}")
+def _check_schema(df: DataFrame, info: FeatureTable) -> None:
+    stored = {f.name: f.dataType for f in info.schema}
+    offered = {f.name: f.dataType for f in df.schema}
+    if stored != offered:
+        raise ValueError(f"{info.name} has columns {stored}, not {offered}")
 
 
-def _replace(
-    df: DataFrame,
-    table: str,
-    keys: Sequence[str],
-    partition: str | None,
-    months: Sequence[str],
-    whole: bool,
-) -> None:
-    """Make ``df`` the rows of its months or, with ``whole``, of the table."""
-    if partition:
+def _save(df: DataFrame, info: FeatureTable, version: str) -> None:
+    """Write rows to a folder of their own, which no other writer touches, by month."""
+    order = [*([info.partition] if info.partition else []), *reversed(info.keys)]
+    if info.partition:
         # Files of about the advisory size: large months are split over many
         # tasks and small ones share a task.
-        df = df.hint("rebalance", partition)
+        df = df.hint("rebalance", info.partition)
     # A partitioned write sorts by partition anyway. With the last key, the
     # time, next, reads of a time range can skip parts of files.
-    order = [*([partition] if partition else []), *reversed(keys)]
     df = df.sortWithinPartitions(*order)
+    writer = df.write.format(info.provider)
+    if info.partition:
+        writer = writer.partitionBy(info.partition)
+    writer.save(f"{info.root}/{_VERSION}={version}")
+
+
+def _folder(info: FeatureTable, month: str | None, version: str) -> str:
+    own = f"{_VERSION}={version}"
+    return f"{own}/{info.partition}={month}" if info.partition else own
+
+
+def _measured(spark: SparkSession, info: FeatureTable, version: str, kind: str, months) -> list[Segment]:
+    """Segments of what was written, with their rows and times as counted in the files."""
+    found = [Segment(kind, m, _folder(info, m, version), version, 0) for m in months]
+    if not found:
+        return []
+    rows = read_segments(spark, info, found)
+    timed = "ts" in info.columns
+    month = F.col(info.partition) if info.partition else F.lit(None).cast("string")
+    counted = rows.groupBy(month.alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *([F.min("ts").alias("low"), F.max("ts").alias("high")] if timed else []),
+    )
+    seen = {row["month"]: row.asDict() for row in counted.collect()}
+    return [
+        Segment(kind, s.month, s.folder, version, r["rows"], r.get("low"), r.get("high"))
+        for s in found
+        if (r := seen.get(s.month))
+    ]
+
+
+def _written(spark: SparkSession, info: FeatureTable, version: str) -> DataFrame:
+    """All rows of a version, in whatever months; no other version's files are listed."""
+    reader = spark.read.schema(info.schema).option("basePath", info.root).format(info.provider)
+    return reader.load(f"{info.root}/{_VERSION}={version}")
+
+
+def _write_new(
+    df: DataFrame, info: FeatureTable, version: str, kind: str, check_unique: bool
+) -> tuple[list[Segment], WriteReport]:
+    """Write new rows once, as segments that no commit names yet, and check them as written.
+
+    Rows without a key go to a folder of their own that is never named. Rows with a month but no
+    time ended after January 2038, which an int of seconds cannot hold; they fail the write, as do
+    rows in another month than their time's.
+    """
     spark = df.sparkSession
-    provider = _described(spark, _quoted(table), "Provider").lower()
-    if provider in _MERGING_FORMATS:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=whole)
-        return
-    root, version = table_folder(spark, table), f"{_VERSION}={uuid.uuid4().hex}"
-    if not partition:
-        old = _described(spark, _quoted(table), "Location")
-        df.write.format(provider).save(f"{root}/{version}")
-        _switch(spark, table, "", f"{root}/{version}")
-        if old != root:
-            _discard(spark, old)
+    if not info.partition:
+        stored = stage(df, "features")
+        keyed = stored.filter(_has_keys(info))
+        _save(keyed, info, version)
+        segments, nulls = _measured(spark, info, version, kind, [None]), stored.filter(~_has_keys(info)).count()
+        report = WriteReport(sum(s.rows for s in segments), nulls, ())
+    else:
+        beyond = F.col("ts").isNull() & F.col(info.partition).isNotNull()
+        month = F.when(_has_keys(info), F.coalesce(info.partition, F.lit("")))
+        month = F.coalesce(month, F.when(beyond, F.lit(_BEYOND)), F.lit(_NO_KEY))
+        _save(df.withColumn(info.partition, month), info, version)
+        placed = F.col(info.partition).isin(_BEYOND, _NO_KEY) | (
+            F.col(info.partition) == month_of_epoch(F.col("ts"))
+        )
+        counted = _written(spark, info, version).groupBy(info.partition).agg(
+            F.count(F.lit(1)).alias("rows"), F.min("ts").alias("low"), F.max("ts").alias("high"),
+            F.count_if(~placed).alias("astray"),
+        ).orderBy(F.desc("astray"), info.partition).limit(100_000).collect()
+        by_month = {row[info.partition]: row for row in counted}
+        none, late = by_month.pop(_NO_KEY, None), by_month.pop(_BEYOND, None)
+        problem = None
+        if late:
+            problem = f"{late['rows']} rows end after January 2038"
+        elif astray := sum(row["astray"] for row in by_month.values()):
+            problem = f"{astray} rows are not in the month of their time"
+        segments = [
+            Segment(kind, m, _folder(info, m, version), version, r["rows"], r["low"], r["high"])
+            for m, r in sorted(by_month.items())
+        ]
+        if problem or not segments:
+            snapshots.delete(spark, f"{info.root}/{_VERSION}={version}")
+        elif none:
+            snapshots.delete(spark, f"{info.root}/{_folder(info, _NO_KEY, version)}")
+        if problem:
+            raise ValueError(problem)
+        months = tuple(s.month for s in segments)
+        report = WriteReport(sum(s.rows for s in segments), none["rows"] if none else 0, months)
+    if check_unique and segments:
+        rows = read_segments(spark, info, segments)
+        twice = rows.groupBy(*info.keys).count().filter("count > 1").limit(1).collect()
+        if twice:
+            _drop_folders(spark, info, segments)
+            raise ValueError(f"key appears more than once: {twice[0].asDict()}")
+    return segments, report
+
+
+def _drop_folders(spark: SparkSession, info: FeatureTable, segments: Sequence[Segment]) -> None:
+    for version in {s.version for s in segments}:
+        snapshots.delete(spark, f"{info.root}/{_VERSION}={version}")
+
+
+def _switch(spark, info, read, added, removed, marks=None, replaced=()) -> Snapshot:
+    """Make the commit: from here on the table is what it says.
+
+    Months in ``replaced`` are made from what ``read`` has of them, so another writer's new base
+    of one of them is a conflict; another's log stays on top.
+    """
+    bases = {s.folder for s in read.of("base")}
+
+    def changed(latest: Snapshot) -> bool:
+        now = latest.of("base", months=replaced) if replaced else []
+        return any(s.folder not in bases for s in now)
+
+    return snapshots.commit(spark, info.root, read, added, removed, marks, changed)
+
+
+def _point(spark: SparkSession, info: FeatureTable, snapshot: Snapshot, months) -> None:
+    """Point the catalog's partitions, or the table, at the bases of a snapshot."""
+    table = _quoted(info.name)
+    bases = {s.month: s for s in snapshot.of("base", months=months)}
+    if not info.partition:
+        for segment in bases.values():
+            where = _text(f"{info.root}/{segment.folder}")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {where}")
+        spark.catalog.refreshTable(info.name)
         return
-    name, value = version.split("=")
-    df.withColumn(name, F.lit(value)).write.format(provider).partitionBy(partition, name).mode(
-        "append"
-    ).save(root)
     stored = {
-        row["partition"].split("=")[1]
-        for row in spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()
+        row["partition"].split("=")[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
     }
-    for month in months:
-        clause = f" PARTITION (`{partition}` = {_text(month)})"
-        folder = f"{root}/{partition}={month}/{version}"
-        if month in stored:
-            old = _described(spark, _quoted(table) + clause, "Location")
-            _switch(spark, table, clause, folder)
-            _discard(spark, old)
-        else:
-            spark.sql(f"ALTER TABLE {_quoted(table)} ADD{clause} LOCATION {_text(folder)}")
-    for month in stored - set(months) if whole else ():
-        clause = f" PARTITION (`{partition}` = {_text(month)})"
-        spark.sql(f"ALTER TABLE {_quoted(table)} DROP{clause}")
-    spark.catalog.refreshTable(table)
+    part = lambda month: f" PARTITION (`{info.partition}` = {_text(month)})"
+    where = lambda month: f" LOCATION {_text(f'{info.root}/{bases[month].folder}')}"
+    new = [month for month in sorted(bases) if month not in stored]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS" + "".join(part(m) + where(m) for m in new))
+    for month in sorted(set(bases) & stored):
+        spark.sql(f"ALTER TABLE {table}{part(month)} SET{where(month)}")
+    for month in sorted(stored & set(months) - set(bases)):
+        # Dropping a partition removes its folder, which readers of older commits may still need.
+        spark.sql(f"ALTER TABLE {table}{part(month)} SET LOCATION {_text(f'{info.root}/_dropped')}")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS{part(month)}")
+    spark.catalog.refreshTable(info.name)
+
+
+def repair_catalog(spark: SparkSession, table: str) -> None:
+    """Point the catalog at the latest commit, which a driver lost right after it did not."""
+    info = feature_table(spark, table)
+    latest = snapshots.read_snapshot(spark, info.root)
+    stored = {None}
+    if info.partition:
+        rows = spark.sql(f"SHOW PARTITIONS {_quoted(table)}").collect()
+        stored = {row["partition"].split("=")[1] for row in rows}
+    _point(spark, info, latest, stored | {s.month for s in latest.of("base")})
 
 
 def create_feature_table(
@@ -236,21 +380,17 @@ def create_feature_table(
     """Create the table and fill it; do nothing when it exists and has rows.
 
     An existing table must have the same columns. One that was created but
-    never filled, because its job was lost, is filled now. ``staged`` says
-    that ``df`` is stored and can be read several times, so it is not copied.
-    Partitions are the months of ``ts``, which must be a key then: a key thereby
-    lies in one of them.
+    never filled, because its job was lost, is filled now. Rows are written once and checked as
+    written, so ``staged`` input is read once like any other. Partitions are the months of ``ts``,
+    which must be a key then: a key thereby lies in one of them.
     """
     spark = df.sparkSession
     if partition_column not in (None, _MONTH) or (partition_column and "ts" not in primary_keys):
         raise ValueError(f"tables are partitioned by {_MONTH}, the month of the key ts, or not")
     if "." in table:
         create_database(spark, table.rsplit(".", 1)[0])
-    if spark.catalog.tableExists(table):
-        _check_schema(df, table)
-        if not _current(spark, table).isEmpty():
-            return None
-    else:
+    exists = spark.catalog.tableExists(table)
+    if not exists:
         columns = [f for f in df.schema if f.name != partition_column]
         columns += [f for f in df.schema if f.name == partition_column]
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
@@ -261,44 +401,116 @@ def create_feature_table(
             + f" COMMENT {_text(description)}"
             + f" TBLPROPERTIES ('primary_keys' = {_text(json.dumps(list(primary_keys)))})"
         )
-    clean, report = _checked(df, primary_keys, partition_column, check_unique, staged)
-    _replace(clean, table, primary_keys, partition_column, report.months, whole=False)
+    info = feature_table(spark, table)
+    _check_schema(df, info)
+    if info.merges:
+        if exists and not spark.table(table).isEmpty():
+            return None
+        return _merge_into(df, info, check_unique)
+    snapshot = snapshots.read_snapshot(spark, info.root)
+    if snapshot.of("base", "log"):
+        return None
+    segments, report = _write_new(df, info, snapshots.new_version(snapshot), "base", check_unique)
+    try:
+        latest = _switch(spark, info, snapshot, segments, (), None, report.months or (None,))
+    except Conflict:
+        # Another job has filled it meanwhile.
+        _drop_folders(spark, info, segments)
+        return None
+    _point(spark, info, latest, report.months or (None,))
     return report
 
 
 def merge_features(
-    df: DataFrame, table: str, check_unique: bool = True, staged: bool = False
+    df: DataFrame,
+    table: str,
+    check_unique: bool = True,
+    staged: bool = False,
+    compact: bool = True,
+    marks: dict[str, int] | None = None,
 ) -> WriteReport:
     """Insert new keys and replace the rows of known ones.
 
     Only the months of the new rows are read and rewritten; a row's month
-    follows from its key, so no other month can hold the key.
+    follows from its key, so no other month can hold the key. With ``compact=False`` nothing is
+    read or rewritten: the new rows are added to their months' logs. ``marks`` are numbers to
+    remember in the commit, which then is made even if there are no rows.
     """
     spark = df.sparkSession
-    keys = primary_keys(spark, table)
-    partition = _partition_column(spark, table)
-    _check_schema(df, table)
-    clean, report = _checked(df, keys, partition, check_unique, staged)
-    if not report.rows:
+    info = feature_table(spark, table)
+    _check_schema(df, info)
+    if info.merges:
+        return _merge_into(df, info, check_unique)
+    snapshot = snapshots.read_snapshot(spark, info.root)
+    logs, report = _write_new(df, info, snapshots.new_version(snapshot), "log", check_unique)
+    if not logs and not marks:
         return report
-    provider = _described(spark, _quoted(table), "Provider").lower()
-    if provider in _MERGING_FORMATS:
-        same = " AND ".join(f"t.`{key}` = s.`{key}`" for key in keys)
-        if partition:
-            months = ", ".join(_text(month) for month in report.months)
-            same += f" AND t.`{partition}` = s.`{partition}` AND t.`{partition}` IN ({months})"
-        spark.sql(
-            f"MERGE INTO {_quoted(table)} t USING {{new}} s ON {same} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
-            new=clean,
-        )
+    if not compact or not logs:
+        _switch(spark, info, snapshot, logs, (), marks)
         return report
-    current = _current(spark, table)
-    if partition:
-        current = current.filter(F.col(partition).isin(*report.months))
-    kept = current.join(clean.select(*keys), list(keys), "left_anti").select(*clean.columns)
-    _replace(kept.unionByName(clean), table, keys, partition, report.months, whole=False)
-    return report
+    months = [s.month for s in logs]
+    for attempt in range(_ATTEMPTS):
+        snapshot = snapshots.read_snapshot(spark, info.root)
+        version = snapshots.new_version(snapshot)
+        with_new = Snapshot(snapshot.number, (*snapshot.segments, *_on_top(logs, version)))
+        added = _rewrite(spark, info, with_new, months, version)
+        try:
+            latest = _switch(spark, info, snapshot, added, snapshot.of("base", "log", months=months),
+                             marks, months)
+        except Conflict:
+            _drop_folders(spark, info, added)
+            if attempt + 1 == _ATTEMPTS:
+                raise
+            continue
+        _drop_folders(spark, info, logs)
+        _point(spark, info, latest, months)
+        return report
+    raise AssertionError
+
+
+def _on_top(logs: Sequence[Segment], version: str) -> list[Segment]:
+    return [Segment("newest", s.month, s.folder, version, s.rows, s.low, s.high) for s in logs]
+
+
+def _rewrite(spark, info, snapshot: Snapshot, months, version: str) -> list[Segment]:
+    """Write what a snapshot has of some months, with rows "newest" on top, as new bases."""
+    rows = snapshot_rows(spark, info, snapshot, months)
+    if newest := snapshot.of("newest"):
+        new = read_segments(spark, info, newest).select(*info.columns)
+        kept = rows.join(new.select(*info.keys), list(info.keys), "left_anti")
+        rows = kept.select(*info.columns).unionByName(new)
+    _save(rows, info, version)
+    return _measured(spark, info, version, "base", months)
+
+
+def compact_features(
+    spark: SparkSession, table: str, least_logs: int = 1, months: Sequence[str] | None = None
+) -> tuple[str, ...]:
+    """Fold the logs of months that have ``least_logs`` of them into their rows.
+
+    Runs beside writers: logs added meanwhile stay on top. Returns the months rewritten.
+    """
+    info = feature_table(spark, table)
+    snapshot = snapshots.read_snapshot(spark, info.root)
+    logs = snapshot.of("log", months=months)
+    counts = {m: sum(s.month == m for s in logs) for m in {s.month for s in logs}}
+    chosen = sorted((m for m, n in counts.items() if n >= least_logs), key=str)
+    if not chosen:
+        return ()
+    added = _rewrite(spark, info, snapshot, chosen, snapshots.new_version(snapshot))
+    removed = snapshot.of("base", "log", months=chosen)
+    latest = _switch(spark, info, snapshot, added, removed, None, chosen)
+    _point(spark, info, latest, chosen)
+    return tuple(str(m) for m in chosen)
+
+
+def expire_features(spark: SparkSession, table: str, older_than: float = WEEK) -> int:
+    """Remove folders that no commit of the last ``older_than`` seconds names.
+
+    Reads that began on an older commit must have ended. Returns how many folders were removed.
+    """
+    info = feature_table(spark, table)
+    return snapshots.expire(spark, info.root, older_than, ("", "_panes", "_late"))
 
 
 def overwrite_features(df: DataFrame, table: str, check_unique: bool = True) -> WriteReport:
@@ -307,12 +519,50 @@ def overwrite_features(df: DataFrame, table: str, check_unique: bool = True) ->
     A failing computation leaves the old rows in place.
     """
     spark = df.sparkSession
-    partition = _partition_column(spark, table)
-    _check_schema(df, table)
-    keys = primary_keys(spark, table)
-    clean, report = _checked(df, keys, partition, check_unique, staged=False)
-    _replace(clean, table, keys, partition, report.months, whole=True)
-    return report
+    info = feature_table(spark, table)
+    _check_schema(df, info)
+    if info.merges:
+        df.select(*info.columns).write.insertInto(info.name, overwrite=True)
+        return WriteReport(df.count(), 0, ())
+    snapshot = snapshots.read_snapshot(spark, info.root)
+    segments, report = _write_new(df, info, snapshots.new_version(snapshot), "base", check_unique)
+    for attempt in range(_ATTEMPTS):
+        removed = snapshot.of("base", "log")
+        months = {s.month for s in (*removed, *segments)}
+        try:
+            latest = _switch(spark, info, snapshot, segments, removed, None, tuple(months))
+        except Conflict:
+            if attempt + 1 == _ATTEMPTS:
+                raise
+            snapshot = snapshots.read_snapshot(spark, info.root)
+            continue
+        _point(spark, info, latest, months)
+        return report
+    raise AssertionError
+
+
+def _merge_into(df: DataFrame, info: FeatureTable, check_unique: bool) -> WriteReport:
+    """The merge of a format that has one."""
+    spark, stored = df.sparkSession, stage(df, "features")
+    clean = stored.filter(_has_keys(info))
+    if check_unique:
+        twice = clean.groupBy(*info.keys).count().filter("count > 1").limit(1).collect()
+        if twice:
+            raise ValueError(f"key appears more than once: {twice[0].asDict()}")
+    same = " AND ".join(f"t.`{key}` = s.`{key}`" for key in info.keys)
+    months = ()
+    if info.partition:
+        months = tuple(sorted(r[0] for r in clean.select(info.partition).distinct().collect()))
+        listed = ", ".join(_text(month) for month in months)
+        same += f" AND t.`{info.partition}` = s.`{info.partition}`"
+        same += f" AND t.`{info.partition}` IN ({listed})" if months else ""
+    spark.sql(
+        f"MERGE INTO {_quoted(info.name)} t USING {{new}} s ON {same} "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *",
+        new=clean,
+    )
+    rows = clean.count()
+    return WriteReport(rows, stored.count() - rows, months)
 
 
 def write_features(df: DataFrame, table: str, mode: str = "merge", **stream_options: str):

@@ -48,18 +48,19 @@ def merge_stream(
     """Start merging streaming features into a feature table.
 
     Update mode emits each changed window whole, so merging by key gives the
-    same table when a batch is replayed after a failure. A batch rewrites the
-    months it touches unless the table's format can merge in place; ``every``
-    sets the trigger interval, and longer ones rewrite less. Without it, what
-    has arrived is processed and the query stops. Progress is kept with the
-    table unless ``checkpoint`` names a folder, so that a query started again
-    goes on where the last one stopped.
+    same table when a batch is replayed after a failure. A batch adds its rows
+    to the logs of its months, so what it writes does not grow with what they
+    hold (``compact_features`` folds logs into months and may run meanwhile);
+    ``every`` sets the trigger interval. Without it, what has arrived is
+    processed and the query stops. Progress is kept with the table unless
+    ``checkpoint`` names a folder, so that a query started again goes on where
+    the last one stopped.
     """
     folder = table_folder(features.sparkSession, table)
     checkpoint = checkpoint or f"{folder}/_stream"
 
     def merge(batch: DataFrame, _: int) -> None:
-        merge_features(batch, table, check_unique=False)
+        merge_features(batch, table, check_unique=False, compact=False)
 
     writer = features.writeStream.outputMode("update").foreachBatch(merge)
     writer = writer.option("checkpointLocation", checkpoint)

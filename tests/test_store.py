@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from faretide.operators import store
 from faretide.operators.store import (
     create_feature_table,
+    expire_features,
     merge_features,
     overwrite_features,
     primary_keys,
@@ -71,6 +72,8 @@ def test_create_at_a_location(spark, table, features):
     create_feature_table(features((1, JANUARY, 5)), name, location=path)
     merge_features(features((2, JANUARY, 6)), name)
     assert content(spark, name) == [(1, JANUARY, 5), (2, JANUARY, 6)]
+    # Replaced folders stay for readers that began on them, until they are removed by age.
+    expire_features(spark, name, older_than=0)
     assert spark.read.parquet(path).count() == 2
 
 
