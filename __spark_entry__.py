@@ -55,7 +55,7 @@ from faretide.operators.store import (
     write_features,
 )
 from faretide.operators.windows import dropoff_features, pickup_features
-from faretide.plans.jobs import feature_job, store_features
+from faretide.plans.jobs import feature_job, score_job, train_job
 from faretide.schemas import DROPOFF_FEATURES, PICKUP_FEATURES
 from faretide.session import fresh_path, stage
 from faretide.sources.events import logs_from_events, read_events, trips_from_events
@@ -100,8 +100,7 @@ def _new_table(spark: SparkSession, label: str) -> str:
 def _stored_pair(spark: SparkSession, folder: str, start=None, end=None) -> tuple[str, str]:
     """Both feature tables of a time range, in the store."""
     pickup, dropoff = _new_table(spark, "pickup"), _new_table(spark, "dropoff")
-    run = feature_job(_trips(spark, folder), start, end, explain=False)
-    store_features(run, pickup, dropoff)
+    feature_job(_trips(spark, folder), start, end, explain=False, tables=(pickup, dropoff))
     return pickup, dropoff
 
 
@@ -118,6 +117,12 @@ def q_read_trips(spark, folder):
     return read_trips(spark, path)
 
 
+def q_read_trips_by_name(spark, folder):
+    name = _new_table(spark, "trips")
+    _trips(spark, folder).write.saveAsTable(name)
+    return read_trips(spark, table=name)
+
+
 def q_weekend_flag(spark, folder):
     trips = _trips(spark, folder)
     return trips.select("event_id", weekend_flag(trips, "tpep_dropoff_datetime").alias("flag"))
@@ -560,6 +565,34 @@ def q_score_batch(spark, folder):
     return _nullable(score_batch(trips, registry))
 
 
+def _jobs(spark, folder):
+    """The training job of one range and the scoring job of the next, both recorded."""
+    trips, registry = _trips(spark, folder), fresh_path(spark, "registry")
+    tables = {
+        "pickup_table": _new_table(spark, "pickup"), "dropoff_table": _new_table(spark, "dropoff"),
+        "explain": False,
+    }
+    train_job(trips, *FIRST_HALF, registry, num_rounds=5, key_columns=["event_id"],
+              run_id="train", **tables)
+    scores = score_job(trips, *SECOND_HALF, registry, run_id="score", **tables)
+    return registry, scores
+
+
+def q_job_record(spark, folder):
+    """What both jobs recorded, but for what depends on the fitted model."""
+    registry, _ = _jobs(spark, folder)
+    record = read_run_metrics(spark, f"{registry}/run_metrics").drop("ts")
+    return record.where(~F.col("key").isin("mse", "rmse"))
+
+
+def q_score_job(spark, folder):
+    """All trips with the features of both ranges, and whether they have a prediction in cents."""
+    _, scores = _jobs(spark, folder)
+    cents = F.col("predicted_fare_amount") * 100
+    given = F.coalesce(F.abs(cents - F.round(cents)) < 1e-6, F.lit(False))
+    return _nullable(scores.withColumn("predicted_fare_amount", given))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Pickup features of the smallest tables."""
     return q_pickup_features(spark, "/root/testdata/sf0.001")
@@ -763,6 +796,7 @@ def _own_oracles() -> dict[str, str]:
         "filter_by_time": _with(_TRIPS)
         + f"SELECT * FROM trips WHERE {_within('tpep_pickup_datetime', START, END)}",
         "read_trips": _with(_TRIPS) + "SELECT * FROM trips",
+        "read_trips_by_name": _with(_TRIPS) + "SELECT * FROM trips",
         "weekend_flag": _with(_TRIPS)
         + """SELECT event_id, (isodow(timezone('America/New_York',
             timezone('UTC', tpep_dropoff_datetime))) >= 6)::INT AS flag FROM trips""",
@@ -929,4 +963,48 @@ FROM rounded r {_PICKUP_JOIN} {_DROPOFF_JOIN}""",
         "run_metrics": """SELECT 'run-1' AS run_id, 'data_raw_rows' AS key,
        count(*)::VARCHAR AS value FROM events
 UNION ALL SELECT 'run-1', 'data_raw_cols', '7'""",
+        "job_record": _with(
+            _TRIPS,
+            *[
+                part(f"{kind}_{run}", *bounds)
+                for run, bounds in (("train", FIRST_HALF), ("score", SECOND_HALF))
+                for kind, part in (("pickup", _pickup), ("dropoff", _dropoff))
+            ],
+        )
+        + """SELECT run_id, key, value::VARCHAR AS value FROM (
+SELECT unnest(['train', 'score']) AS run_id, 'trips_rows' AS key,
+       (SELECT count(*) FROM trips)::VARCHAR AS value
+UNION ALL SELECT unnest(['train', 'score']), 'trips_columns', '7'
+UNION ALL SELECT unnest(['train', 'score']), 'pickup_features_columns', '5'
+UNION ALL SELECT unnest(['train', 'score']), 'dropoff_features_columns', '5'
+UNION ALL SELECT 'train', 'pickup_features_rows', count(*)::VARCHAR FROM pickup_train
+UNION ALL SELECT 'train', 'dropoff_features_rows', count(*)::VARCHAR FROM dropoff_train
+UNION ALL SELECT 'score', 'pickup_features_rows', count(*)::VARCHAR FROM pickup_score
+UNION ALL SELECT 'score', 'dropoff_features_rows', count(*)::VARCHAR FROM dropoff_score
+UNION ALL SELECT 'train', 'training_data_rows', count(*)::VARCHAR FROM trips
+UNION ALL SELECT 'train', 'training_data_columns', '9'
+UNION ALL SELECT 'train', 'model_name', 'fares' UNION ALL SELECT 'train', 'model_version', '1'
+UNION ALL SELECT 'score', 'scored_model_name', 'fares'
+UNION ALL SELECT 'score', 'scored_model_version', '1')""",
+        "score_job": _with(
+            _TRIPS,
+            _ROUNDED,
+            *[
+                part(f"{kind}_{age}", *bounds)
+                for age, bounds in (("old", FIRST_HALF), ("new", SECOND_HALF))
+                for kind, part in (("pickup", _pickup), ("dropoff", _dropoff))
+            ],
+            *[
+                f"""
+{kind} AS (
+  SELECT * FROM {kind}_new UNION ALL
+  SELECT * FROM {kind}_old o WHERE NOT EXISTS
+    (SELECT 1 FROM {kind}_new n WHERE n.zip = o.zip AND n.ts = o.ts))"""
+                for kind in ("pickup", "dropoff")
+            ],
+        )
+        + f"""SELECT true AS predicted_fare_amount,
+       r.fare_amount, r.trip_distance, r.pickup_zip, r.dropoff_zip,
+       r.rounded_pickup_datetime, r.rounded_dropoff_datetime, {_P}, {_D}
+FROM rounded r {_PICKUP_JOIN} {_DROPOFF_JOIN}""",
     }

@@ -1,8 +1,9 @@
 """Published models: numbered Spark ML pipelines with their lookups.
 
-A version counts once its row is in the ``versions`` table, which is written
-after the model itself, so a lost publish leaves nothing that loads. Models
-of one name are to be published one at a time.
+A version number is claimed by a file that only one writer can create, so jobs
+that publish at once get numbers of their own. It counts once its row is in the
+``versions`` table, which is written after the model itself: a lost publish
+leaves nothing that loads, and its number is not used again.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from faretide.operators.lookups import FeatureLookup, TrainingSet
+from faretide.operators.snapshots import children, write_once
 
 _VERSIONS = (
     "model string, version int, path string, lookups string, label string, published_at timestamp"
@@ -36,7 +38,8 @@ class PublishedModel:
 def _versions(spark: SparkSession, root: str) -> DataFrame:
     """The versions table, which has no files before the first publish."""
     try:
-        return spark.read.schema(_VERSIONS).parquet(f"{root}/versions")
+        reader = spark.read.schema(_VERSIONS).option("recursiveFileLookup", True)
+        return reader.parquet(f"{root}/versions")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -49,6 +52,18 @@ def latest_version(spark: SparkSession, root: str, name: str) -> int:
     return _versions(spark, root).filter(F.col("model") == name).agg(newest).first()["newest"]
 
 
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number of a model, which no other caller gets."""
+    known = _versions(spark, root).filter(F.col("model") == name)
+    newest = known.agg(F.max("version").alias("newest")).first()["newest"] or 0
+    claims = f"{root}/claims/{name}"
+    taken = [int(claim) for claim, _ in children(spark, claims) if claim.isdigit()]
+    number = max([newest, *taken]) + 1
+    while not write_once(spark, claims, f"{number:09d}", ""):
+        number += 1
+    return number
+
+
 def publish_model(
     model: PipelineModel, training_set: TrainingSet, root: str, name: str = "fares"
 ) -> int:
@@ -56,8 +71,7 @@ def publish_model(
     if model is None or training_set is None or not name:
         raise ValueError("a model, its training set and a name are needed")
     spark = training_set.trips.sparkSession
-    known = _versions(spark, root).filter(F.col("model") == name)
-    version = (known.agg(F.max("version").alias("newest")).first()["newest"] or 0) + 1
+    version = claim_version(spark, root, name)
     path = f"{root}/models/{name}/version={version}/{uuid.uuid4().hex}"
     model.write().save(path)
     lookups = json.dumps([asdict(lookup) for lookup in training_set.lookups])
@@ -65,7 +79,8 @@ def publish_model(
         [(name, version, path, lookups, training_set.label)],
         "model string, version int, path string, lookups string, label string",
     ).withColumn("published_at", F.current_timestamp())
-    row.coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    # A folder of its own: writers of one folder remove each other's unfinished files.
+    row.coalesce(1).write.parquet(f"{root}/versions/{uuid.uuid4().hex}")
     return version
 
 

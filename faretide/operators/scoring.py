@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from faretide.operators.lookups import DROPOFF_NAMES, PICKUP_NAMES, apply_lookups
 from faretide.operators.models import predict
-from faretide.operators.registry import load_model
+from faretide.operators.registry import PublishedModel, load_model
 
 #: The published columns and their order.
 SCORE_INPUT = (
@@ -29,22 +30,31 @@ def shape_predictions(df: DataFrame, prediction: str | Column = "prediction") ->
     return df.select(F.round(value, 2).alias("predicted_fare_amount"), *SCORE_OUTPUT)
 
 
-def predict_batch(
-    df: DataFrame, root: str, name: str = "fares", version: int | str | None = None
-) -> DataFrame:
+def predict_with(df: DataFrame, published: PublishedModel) -> DataFrame:
     """``df`` with a published model's features and its ``prediction``.
 
     Features come from the tables that the model was published with.
     """
-    published = load_model(df.sparkSession, root, name, version)
     return predict(published.model, apply_lookups(df, published.lookups))
 
 
+def predict_batch(
+    df: DataFrame, root: str, name: str = "fares", version: int | str | None = None
+) -> DataFrame:
+    """``predict_with`` the model of that name and version, the latest if none is given."""
+    return predict_with(df, load_model(df.sparkSession, root, name, version))
+
+
+def score_with(trips: DataFrame, published: PublishedModel) -> DataFrame:
+    """The predicted fares of rounded trips, in the published columns."""
+    return shape_predictions(predict_with(trips.select(*SCORE_INPUT), published))
+
+
 def score_batch(
     trips: DataFrame, root: str, name: str = "fares", version: int | str | None = None
 ) -> DataFrame:
-    """The predicted fares of rounded trips, in the published columns."""
-    return shape_predictions(predict_batch(trips.select(*SCORE_INPUT), root, name, version))
+    """``score_with`` the model of that name and version, the latest if none is given."""
+    return score_with(trips, load_model(trips.sparkSession, root, name, version))
 
 
 def write_predictions(
@@ -68,10 +78,12 @@ def log_run_metrics(
     """Append a run's parameters and metrics as (run_id, key, value, ts) rows."""
     rows = [(run_id, key, str(value)) for key, value in metrics.items()]
     table = spark.createDataFrame(rows, "run_id string, key string, value string")
-    table.withColumn("ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+    table = table.withColumn("ts", F.current_timestamp()).coalesce(1)
+    # A folder of its own: writers of one folder remove each other's unfinished files.
+    table.write.parquet(f"{path}/{uuid.uuid4().hex}")
 
 
 def read_run_metrics(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     metrics = spark.read.schema("run_id string, key string, value string, ts timestamp")
-    metrics = metrics.parquet(path)
+    metrics = metrics.option("recursiveFileLookup", True).parquet(path)
     return metrics if run_id is None else metrics.filter(F.col("run_id") == run_id)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -385,24 +385,9 @@ def create_feature_table(
     which must be a key then: a key thereby lies in one of them.
     """
     spark = df.sparkSession
-    if partition_column not in (None, _MONTH) or (partition_column and "ts" not in primary_keys):
-        raise ValueError(f"tables are partitioned by {_MONTH}, the month of the key ts, or not")
-    if "." in table:
-        create_database(spark, table.rsplit(".", 1)[0])
-    exists = spark.catalog.tableExists(table)
-    if not exists:
-        columns = [f for f in df.schema if f.name != partition_column]
-        columns += [f for f in df.schema if f.name == partition_column]
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
-        spark.sql(
-            f"CREATE TABLE {_quoted(table)} ({ddl}) USING {fmt}"
-            + (f" PARTITIONED BY (`{partition_column}`)" if partition_column else "")
-            + (f" LOCATION {_text(location)}" if location else "")
-            + f" COMMENT {_text(description)}"
-            + f" TBLPROPERTIES ('primary_keys' = {_text(json.dumps(list(primary_keys)))})"
-        )
-    info = feature_table(spark, table)
-    _check_schema(df, info)
+    info, exists = _ensure(
+        df, table, primary_keys, partition_column, description, fmt, location
+    )
     if info.merges:
         if exists and not spark.table(table).isEmpty():
             return None
@@ -421,6 +406,63 @@ def create_feature_table(
     return report
 
 
+def _ensure(
+    df: DataFrame, table: str, keys: Sequence[str] = ("zip", "ts"),
+    partition: str | None = _MONTH, description: str = "", fmt: str = "parquet",
+    location: str | None = None,
+) -> tuple[FeatureTable, bool]:
+    """The table, registered for ``df``'s columns if it is not there, and whether it was."""
+    spark = df.sparkSession
+    if partition not in (None, _MONTH) or (partition and "ts" not in keys):
+        raise ValueError(f"tables are partitioned by {_MONTH}, the month of the key ts, or not")
+    if "." in table:
+        create_database(spark, table.rsplit(".", 1)[0])
+    exists = spark.catalog.tableExists(table)
+    if not exists:
+        columns = [f for f in df.schema if f.name != partition]
+        columns += [f for f in df.schema if f.name == partition]
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        spark.sql(
+            f"CREATE TABLE {_quoted(table)} ({ddl}) USING {fmt}"
+            + (f" PARTITIONED BY (`{partition}`)" if partition else "")
+            + (f" LOCATION {_text(location)}" if location else "")
+            + f" COMMENT {_text(description)}"
+            + f" TBLPROPERTIES ('primary_keys' = {_text(json.dumps(list(keys)))})"
+        )
+    info = feature_table(spark, table)
+    _check_schema(df, info)
+    return info, exists
+
+
+def put_features(df: DataFrame, table: str, description: str = "") -> DataFrame:
+    """Create the table or merge into it, and return the new rows as they are stored.
+
+    Rows are written once. A table that has none takes them as its months' rows, and another one
+    as logs, which are folded into the months they touch.
+    """
+    spark = df.sparkSession
+    info, _ = _ensure(df, table, description=description)
+    if info.merges:
+        rows = stage(df, "features")
+        _merge_into(rows, info, check_unique=False)
+        return rows
+    snapshot = snapshots.read_snapshot(spark, info.root)
+    kind = "log" if snapshot.of("base", "log") else "base"
+    segments, report = _write_new(df, info, snapshots.new_version(snapshot), kind, False)
+    if kind == "base":
+        try:
+            latest = _switch(spark, info, snapshot, segments, (), None, report.months)
+            _point(spark, info, latest, report.months)
+            return read_segments(spark, info, segments).select(*info.columns)
+        except Conflict:
+            # Another job has filled it meanwhile, and these rows go on top.
+            segments = [replace(s, kind="log") for s in segments]
+    if segments:
+        _switch(spark, info, snapshots.read_snapshot(spark, info.root), segments, ())
+        compact_features(spark, table, months=report.months)
+    return read_segments(spark, info, segments).select(*info.columns)
+
+
 def merge_features(
     df: DataFrame,
     table: str,

@@ -31,10 +31,10 @@ from faretide.operators.profile import (
     null_keys,
     shape_profile,
 )
-from faretide.operators.registry import latest_version, publish_model
+from faretide.operators.registry import load_model, publish_model
 from faretide.operators.rows import rounded_trips
-from faretide.operators.scoring import log_run_metrics, score_batch, write_predictions
-from faretide.operators.store import create_feature_table, merge_features
+from faretide.operators.scoring import log_run_metrics, score_with, write_predictions
+from faretide.operators.store import create_feature_table, merge_features, put_features
 from faretide.operators.windows import Edges, dropoff_features, pickup_features
 from faretide.session import stage
 
@@ -63,14 +63,21 @@ def feature_job(
     end: datetime | str | None,
     explain: bool = True,
     edges: Edges = "partial",
+    tables: tuple[str, str] | None = None,
 ) -> FeatureRun:
-    """Compute both feature tables of a time range and profile them.
+    """Compute both feature tables of a time range, store them and profile them.
 
-    Each table is computed and written once; profiles and later merges read
-    the written rows instead of the trips.
+    Each table is computed and written once, into the tables named (created or merged into) or
+    else for this run alone, and profiles read the rows as they were written. Stored rows have
+    both keys; the others are left out.
     """
-    pickup = stage(pickup_features(trips, start=start, end=end, edges=edges), "pickup")
-    dropoff = stage(dropoff_features(trips, start=start, end=end, edges=edges), "dropoff")
+    pickup = pickup_features(trips, start=start, end=end, edges=edges)
+    dropoff = dropoff_features(trips, start=start, end=end, edges=edges)
+    if tables:
+        pickup = put_features(pickup, tables[0], "Pickup features")
+        dropoff = put_features(dropoff, tables[1], "Dropoff features")
+    else:
+        pickup, dropoff = stage(pickup, "pickup"), stage(dropoff, "dropoff")
     shapes = (
         shape_profile(trips, "trips")
         .unionByName(shape_profile(pickup, "pickup_features"))
@@ -163,9 +170,9 @@ def train_job(
     Trips outside the range are trained on with NULL features, as the left
     lookups leave them.
     """
-    features = feature_job(trips, start, end, explain) if refresh_features else None
-    if features:
-        store_features(features, pickup_table, dropoff_table)
+    features = None
+    if refresh_features:
+        features = feature_job(trips, start, end, explain, tables=(pickup_table, dropoff_table))
     described = training_set(rounded_trips(trips), fare_lookups(pickup_table, dropoff_table), LABEL)
     run = fit_and_evaluate(described, params, num_rounds, key_columns)
     run.version = publish_model(run.model, described, registry, name)
@@ -196,16 +203,16 @@ def score_job(
     With ``output`` the predictions are written there, under the run's id,
     by one distributed write.
     """
-    features = feature_job(trips, start, end, explain) if refresh_features else None
-    if features:
-        store_features(features, pickup_table, dropoff_table)
-    predictions = score_batch(rounded_trips(trips), registry, name, version)
+    features = None
+    if refresh_features:
+        features = feature_job(trips, start, end, explain, tables=(pickup_table, dropoff_table))
+    published = load_model(trips.sparkSession, registry, name, version)
+    predictions = score_with(rounded_trips(trips), published)
     if output is not None:
         write_predictions(predictions, output, run_id)
     if run_id is not None:
         spark = trips.sparkSession
-        used = latest_version(spark, registry, name) if version in (None, "") else int(version)
         shapes = features.recorded() if features else {}
-        recorded = shapes | {"scored_model_name": name, "scored_model_version": used}
+        recorded = shapes | {"scored_model_name": name, "scored_model_version": published.version}
         log_run_metrics(spark, f"{registry}/run_metrics", run_id, recorded)
     return predictions

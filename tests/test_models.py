@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -14,15 +16,19 @@ from faretide.operators.models import (
     train_fare_model,
     tree_settings,
 )
-from faretide.operators.registry import latest_version, load_model, publish_model
+from faretide.operators.registry import claim_version, latest_version, load_model, publish_model
 from faretide.operators.rows import rounded_trips
 from faretide.operators.scoring import (
     log_run_metrics,
     read_run_metrics,
     score_batch,
+    score_with,
     write_predictions,
 )
+from faretide.operators.snapshots import children, read_snapshot
+from faretide.operators.store import feature_table, read_features
 from faretide.operators.windows import dropoff_features
+from faretide.plans import jobs
 from faretide.plans.jobs import feature_job, score_job, store_features, train_job
 from faretide.schemas import TRAINING
 from faretide.session import fresh_path
@@ -239,6 +245,48 @@ def test_feature_job_profiles(spark, sample, table):
         assert rows_of(spark.table(names[1]).select(run.dropoff.columns)) == rows_of(run.dropoff)
 
 
+def test_publishers_at_once_get_versions_of_their_own(spark, trained):
+    run, registry, _, _ = trained
+    with ThreadPoolExecutor(8) as pool:
+        claimed = list(pool.map(lambda _: claim_version(spark, registry, "claims"), range(8)))
+    assert sorted(claimed) == list(range(1, 9))
+    publish = lambda _: publish_model(run.model, run.training_set, registry, "at_once")
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(publish, range(4)))
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert [load_model(spark, registry, "at_once", v).version for v in versions] == versions
+
+
+def test_the_recorded_version_is_the_one_that_scored(spark, trained, sample, monkeypatch):
+    run, registry, pickup, dropoff = trained
+    assert publish_model(run.model, run.training_set, registry, "raced") == 1
+
+    def publish_meanwhile(*args):
+        publish_model(run.model, run.training_set, registry, "raced")
+        return score_with(*args)
+
+    monkeypatch.setattr(jobs, "score_with", publish_meanwhile)
+    score_job(sample, None, None, registry, name="raced", pickup_table=pickup, dropoff_table=dropoff,
+              refresh_features=False, run_id="raced")
+    record = {r["key"]: r["value"] for r in read_run_metrics(
+        spark, f"{registry}/run_metrics", "raced").collect()}
+    assert record["scored_model_version"] == "1" and latest_version(spark, registry, "raced") == 2
+
+
+def test_a_new_table_is_written_once(spark, sample, table):
+    names = table(), table()
+    run = feature_job(sample, None, None, explain=False, tables=names)
+    for name, rows in zip(names, (run.pickup, run.dropoff), strict=True):
+        info = feature_table(spark, name)
+        (segment, *_) = read_snapshot(spark, info.root).segments
+        versions = [n for n, _ in children(spark, info.root) if n.startswith("version=")]
+        assert versions == [segment.folder.split("/")[0]]
+        assert rows_of(read_features(spark, name).select(rows.columns)) == rows_of(rows)
+    again = feature_job(sample, "2024-01-05", "2024-01-20", explain=False, tables=names)
+    expected = dropoff_features(sample, start="2024-01-05", end="2024-01-20")
+    assert rows_of(again.dropoff) == rows_of(expected.select(again.dropoff.columns))
+
+
 def test_parameters_are_honoured_or_refused():
     found = tree_settings({"num_leaves": 31, "learning_rate": 0.3, "max_bin": 16, "seed": 7})
     assert found["maxDepth"] == 5 and found["stepSize"] == 0.3
