@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from faretide.llm import code_points
-from faretide.llm.words import bounded
+from faretide.llm.words import bounded, received, shared
 
 #: Entries in each generation of a task's tables, and an entry's most letters, which bound memory.
 MAX_WORDS = 150_000
@@ -285,11 +285,11 @@ def encode_texts(
     ``digests`` gives ``ids_sha256`` and ``decoded_sha256`` in their place.
     """
     texts = bounded(docs).select(docs[id_col], docs[text_col].cast("string").alias("__text"))
-    shared = docs.sparkSession.sparkContext.broadcast(Encoder.from_file(path))
+    sent = shared(docs, Encoder.from_file(path))
     names = ["ids_sha256", "decoded_sha256"] if digests else ["ids", "decoded"]
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value, max_words)
+        encoder = TextEncoder(received(sent), max_words)
         for batch in batches:
             column = batch.column(1)
             for low in range(0, len(column), 500):
@@ -327,10 +327,10 @@ def token_ids(
 ) -> DataFrame:
     """``(id_col, ids)`` of every text, ids as an array of ints; nothing is decoded."""
     texts = bounded(docs).select(docs[id_col], docs[text_col].cast("string").alias("__text"))
-    shared = docs.sparkSession.sparkContext.broadcast(Encoder.from_file(path))
+    sent = shared(docs, Encoder.from_file(path))
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(shared.value, max_words)
+        encoder = TextEncoder(received(sent), max_words)
         for batch in batches:
             column = batch.column(1)
             for low in range(0, len(column), 500):

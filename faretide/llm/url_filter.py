@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from faretide.llm.words import received, shared
+
 #: Rules held by every executor; more should be split by their last host labels and joined.
 MAX_RULES = 1_000_000
 
@@ -120,13 +122,14 @@ def judge_urls(
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are broadcast")
     url = pages[url_col].cast("string")
     parts = pages.select(pages[id_col], url_host(url).alias("host"), url_path(url).alias("path"))
-    trie = pages.sparkSession.sparkContext.broadcast(build_trie(rules))
+    sent = shared(pages, build_trie(rules))
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = received(sent)
         for batch in batches:
             ids, hosts, paths = batch.columns
             found = [
-                find_rule(trie.value, h, p) if h else None
+                find_rule(trie, h, p) if h else None
                 for h, p in zip(hosts.to_pylist(), paths.to_pylist(), strict=True)
             ]
             names = pa.array([r and r.name for r in found], pa.string())

@@ -8,12 +8,14 @@ longer, by its longest text.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 BLOCK = 1 << 19
@@ -107,6 +109,19 @@ def bounded(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def shared(docs: DataFrame, value: object):
+    """A broadcast of ``value`` for :func:`received`, with the code of its classes.
+
+    A plain broadcast names classes by their module, which executors do not have.
+    """
+    return docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(broadcast) -> object:
+    """What :func:`shared` was given, built once by each task that asks."""
+    return pickle.loads(broadcast.value)
+
+
 def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[Block]:
     """The column's texts in blocks; NULL counts as empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
