@@ -175,10 +175,15 @@ class _Table(dict):
 
 
 class TextEncoder:
-    """Encodes and decodes whole texts; one for each task."""
+    """Encodes and decodes whole texts; one for each task.
 
-    def __init__(self, encoder: Encoder, max_words: int = MAX_WORDS):
-        self.max_words = max_words
+    Ids are decimal numbers joined by spaces or, with a ``width``, little-endian numbers of so many
+    bytes one after another, as the tables of words keep them.
+    """
+
+    def __init__(self, encoder: Encoder, max_words: int = MAX_WORDS, width: int | None = None):
+        self.max_words, self.width = max_words, width
+        self.join = b"".join if width else " ".join
         self.encoder = encoder
         self.find = regex.compile(encoder.pattern).findall
         self.find_older = regex.compile(code_points.older(encoder.pattern), regex.V1).findall
@@ -188,7 +193,7 @@ class TextEncoder:
         self.arcs: dict[int, bool] = {}
         self.words = _Table(self._word, max_words)
         self.chunks = _Table(lambda chunk: self._chunk(chunk, self.find), max_words)
-        self.texts = {str(i): text for i, text in encoder.texts.items()}
+        self.texts = {i if width else str(i): text for i, text in encoder.texts.items()}
 
     def _arc(self, last: int, label: int) -> bool:
         found = self.encoder.automaton.allows(self.encoder.automaton.target[last], label)
@@ -197,16 +202,21 @@ class TextEncoder:
         self.arcs[last << 20 | label] = found
         return found
 
-    def _chunk(self, chunk: str, find) -> str:
-        """The ids of a text without white space, joined by spaces."""
-        return " ".join(map(self.words.__getitem__, find(chunk)))
+    def _spelled(self, ids: list[int]) -> str | bytes:
+        if not self.width:
+            return " ".join(map(str, ids))
+        return b"".join([i.to_bytes(self.width, "little") for i in ids])
 
-    def _word(self, word: str) -> str:
-        """A word's ids, joined by spaces."""
+    def _chunk(self, chunk: str, find) -> str | bytes:
+        """The ids of a text without white space."""
+        return self.join(map(self.words.__getitem__, find(chunk)))
+
+    def _word(self, word: str) -> str | bytes:
+        """A word's ids."""
         letters = word
         if not word.isascii() or not word.isprintable():
             letters = "".join(map(self.letters.__getitem__, word.encode()))
-        return " ".join(map(str, self.word(letters)))
+        return self._spelled(self.word(letters))
 
     def word(self, letters: str) -> list[int]:
         """The labels of a word's path, given as letters that stand for bytes."""
@@ -245,13 +255,13 @@ class TextEncoder:
         found = arcs.get(last << 20 | label)
         return self._arc(last, label) if found is None else found
 
-    def encode(self, text: str) -> str:
-        """Decimal ids joined by spaces."""
+    def encode(self, text: str) -> str | bytes:
+        """The text's ids."""
         parts = self.split(text) if "<" in text else (text,)
-        found: list[str] = []
+        found: list[str | bytes] = []
         for k, part in enumerate(parts):
             if k % 2:
-                found.append(str(self.encoder.added[part]))
+                found.append(self._spelled([self.encoder.added[part]]))
                 continue
             later = not part.isascii() and code_points.found_in(part)
             part = code_points.composed(part) if later else unicodedata.normalize("NFC", part)
@@ -265,11 +275,14 @@ class TextEncoder:
             else:
                 ids = map(self.chunks.__getitem__, chunks)
             found.extend(filter(None, ids))
-        return " ".join(found)
+        return self.join(found)
 
-    def decode(self, ids: str) -> str:
+    def decode(self, ids: str | bytes) -> str:
         """The labels of the ids' arcs, joined as the tokenizer joins tokens."""
-        return " ".join(map(self.texts.__getitem__, ids.split(" "))) if ids else ""
+        if not ids:
+            return ""
+        parts = np.frombuffer(ids, f"<u{self.width}").tolist() if self.width else ids.split(" ")
+        return " ".join(map(self.texts.__getitem__, parts))
 
 
 def encode_texts(
@@ -318,30 +331,86 @@ def encode_texts(
     )
 
 
+def _packed(column: pa.Array, encoder: TextEncoder, decoded: list | None = None) -> list[bytes]:
+    found = []
+    for text in column:
+        found.append(encoder.encode(text.as_py() or ""))
+        if decoded is not None:
+            decoded.append(encoder.decode(found[-1]))
+    return found
+
+
+def _id_lists(found: list[bytes], width: int) -> tuple[np.ndarray, pa.Array]:
+    """How many ids each row has, and the ids as lists of ints."""
+    counts = np.array([len(one) // width for one in found], np.int64)
+    ids = np.frombuffer(b"".join(found), f"<u{width}").astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return counts, pa.ListArray.from_arrays(ends, pa.array(ids))
+
+
 def token_ids(
     docs: DataFrame,
     path: str,
     id_col: str = "doc_id",
     text_col: str = "text",
     max_words: int = MAX_WORDS,
+    packed: bool = False,
 ) -> DataFrame:
-    """``(id_col, ids)`` of every text, ids as an array of ints; nothing is decoded."""
+    """``(id_col, ids)`` of every text; nothing is decoded.
+
+    Ids are an array of ints or, ``packed``, little-endian numbers of :func:`id_width` bytes.
+    """
     texts = bounded(docs).select(docs[id_col], docs[text_col].cast("string").alias("__text"))
-    sent = shared(docs, Encoder.from_file(path))
+    encoder = Encoder.from_file(path)
+    width, sent = id_width(encoder), shared(docs, encoder)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = TextEncoder(received(sent), max_words)
+        encoder = TextEncoder(received(sent), max_words, width)
+        for batch in batches:
+            column = batch.column(1)
+            for low in range(0, len(column), 500):
+                found = _packed(column.slice(low, 500), encoder)
+                ids = pa.array(found, pa.binary()) if packed else _id_lists(found, width)[1]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(low, 500), ids], [id_col, "ids"]
+                )
+
+    kind = texts.schema[0].dataType.simpleString()
+    return texts.mapInArrow(encode, f"`{id_col}` {kind}, ids {'binary' if packed else 'array<int>'}")
+
+
+def id_width(encoder: Encoder) -> int:
+    """Bytes that hold any id of a tokenizer, and two numbers above them."""
+    return 2 if max(encoder.texts) < (1 << 16) - 2 else 4
+
+
+def token_lists(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_words: int = MAX_WORDS,
+) -> DataFrame:
+    """``(id_col, n_tokens, ids, decoded_sha256)``, ids as an array of ints."""
+    texts = bounded(docs).select(docs[id_col], docs[text_col].cast("string").alias("__text"))
+    encoder = Encoder.from_file(path)
+    width, sent = id_width(encoder), shared(docs, encoder)
+
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = TextEncoder(received(sent), max_words, width)
         for batch in batches:
             column = batch.column(1)
             for low in range(0, len(column), 500):
-                found = [encoder.encode(text.as_py() or "") for text in column.slice(low, 500)]
-                ends = np.cumsum([0, *(one.count(" ") + bool(one) for one in found)])
-                ids = np.array(" ".join(filter(None, found)).split(), np.int32)
+                decoded: list[str] = []
+                counts, ids = _id_lists(_packed(column.slice(low, 500), encoder, decoded), width)
+                digests = [hashlib.sha256(text.encode()).hexdigest() for text in decoded]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, 500),
-                     pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))],
-                    [id_col, "ids"],
+                    [batch.column(0).slice(low, 500), pa.array(counts), ids,
+                     pa.array(digests, pa.string())],
+                    [id_col, "n_tokens", "ids", "decoded_sha256"],
                 )
 
     kind = texts.schema[0].dataType.simpleString()
-    return texts.mapInArrow(encode, f"`{id_col}` {kind}, ids array<int>")
+    return texts.mapInArrow(
+        encode, f"`{id_col}` {kind}, n_tokens long, ids array<int>, decoded_sha256 string"
+    )

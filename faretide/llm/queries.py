@@ -71,7 +71,7 @@ def op8_quality_rules(spark, folder):
 
 def op9_token_shards(spark, folder):
     # Both passes of the writer must see the same partitions, and texts are encoded once.
-    ids = stage(token_ids(documents(spark, folder), TOKENIZER), "ids")
+    ids = stage(token_ids(documents(spark, folder), TOKENIZER, packed=True), "ids")
     return write_shards(ids, fresh_path(spark, "shards"), ids_col="ids")
 
 

@@ -1,8 +1,8 @@
 """Token ids in training order: fixed-stride binary shards in an order that a key decides.
 
 Token ids of all rows are put end to end, each document closed by ``END``, and cut into sequences
-of a fixed length. Ids come from an array column and are written little-endian in 2 or 4 bytes; or
-a text column gives its UTF-8 bytes as ids of one byte. A stride is ``length * width`` bytes. A Feistel permutation with cycle-walking, keyed by a seed, gives every sequence
+of a fixed length. Ids come from an array column, or packed in a binary one, and are written
+little-endian in 2 or 4 bytes; or a text column gives its UTF-8 bytes as ids of one byte. A stride is ``length * width`` bytes. A Feistel permutation with cycle-walking, keyed by a seed, gives every sequence
 its slot in the order of training: a bijection of ``0 .. n-1`` that is computed, not stored. A
 range of slots is one shard. Slots are sent to their shard's partition, sorted there, and written
 as records of one stride, so the record of slot s is at ``(s - first slot) * stride`` of its shard
@@ -32,6 +32,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faretide.llm.words import bounded, constants, mix
 
@@ -64,6 +65,14 @@ def permuted(numbers: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def qualified(docs: DataFrame, folder: str) -> str:
+    """A folder with its scheme: one without is on the default file system, as Spark takes it."""
+    context = docs.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
+
+
 def _filesystem(uri: str):
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
@@ -75,7 +84,18 @@ def _text_bytes(column: pa.Array, end: int) -> tuple[bytes, np.ndarray]:
     return b"".join([t + close for t in texts]), np.array([len(t) + 1 for t in texts], np.int64)
 
 
+def _packed_bytes(column: pa.Array, end: int, pad: int, width: int) -> tuple[bytes, np.ndarray]:
+    rows, close = [row.as_py() or b"" for row in column], end.to_bytes(width, "little")
+    if any(len(row) % width for row in rows):
+        raise ValueError(f"packed ids are not of {width} bytes")
+    if np.isin(np.frombuffer(b"".join(rows), WIDTHS[width]), (end, pad)).any():
+        raise ValueError(f"token ids are END ({end}) or PAD ({pad})")
+    return b"".join([row + close for row in rows]), np.array([len(r) // width + 1 for r in rows], np.int64)
+
+
 def _id_bytes(column: pa.Array, end: int, pad: int, width: int) -> tuple[bytes, np.ndarray]:
+    if pa.types.is_binary(column.type):
+        return _packed_bytes(column, end, pad, width)
     sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
     flat = column.flatten()
     if flat.null_count:
@@ -191,8 +211,8 @@ def write_shards(
 ) -> DataFrame:
     """``(slot, doc_id, shard, offset)``: where each sequence is written, as shards are written.
 
-    With ``ids_col`` (an array of ints) its ids are written in ``width`` bytes each, else the bytes
-    of ``text_col``. ``length`` is in ids. ``doc_id`` is the document of the sequence's first token.
+    With ``ids_col`` (an array of ints, or ids packed in ``width`` bytes each) its ids are written
+    in ``width`` bytes each, else the bytes of ``text_col``. ``length`` is in ids. ``doc_id`` is the document of the sequence's first token.
     Shards are written into ``folder``, which executors must share, when the result is computed.
     """
     if ids_col is None:
@@ -202,8 +222,12 @@ def write_shards(
     else:
         if width not in (2, 4):
             raise ValueError("ids are written in 2 or 4 bytes")
-        tokens = docs[ids_col].cast("array<long>" if width == 4 else "array<int>")
-        size = F.when(F.col("tokens").isNull(), 0).otherwise(F.size("tokens"))
+        packed = isinstance(docs.schema[ids_col].dataType, T.BinaryType)
+        tokens = docs[ids_col]
+        if not packed:
+            tokens = tokens.cast("array<long>" if width == 4 else "array<int>")
+        size = F.octet_length("tokens") / width if packed else F.size("tokens")
+        size = F.when(F.col("tokens").isNull(), 0).otherwise(size).cast("long")
     top = (1 << 8 * width) - 1
     end, pad = top if end is None else end, top - 1 if pad is None else pad
     if end == pad or not (0 <= end <= top and 0 <= pad <= top):
@@ -222,6 +246,7 @@ def write_shards(
     stride = length * width
     per = max(1, shard_bytes // stride)
     shards = max(1, -(-count // per))
+    folder = qualified(docs, folder)
     files, root = _filesystem(folder)
     files.create_dir(root, recursive=True)
     schema = "shard long, slot long, doc_id long, tokens binary"

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from faretide.llm import code_points, ngram_jaccard, quality_classifier, quality_rules
-from faretide.llm.bpe import Encoder, TextEncoder, encode_texts, token_ids
+from faretide.llm.bpe import Encoder, TextEncoder, encode_texts, token_ids, token_lists
 from faretide.llm.fingerprints import fingerprints
 from faretide.llm.joins import components
 from faretide.llm.language_id import identify
@@ -431,6 +431,35 @@ def test_shards_hold_token_ids(spark, odd, width):
     assert sorted(found) == sorted(want)
 
 
+def test_packed_ids_and_lists_are_the_same_ids(spark, odd):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    docs = stage(docs.union(odd.select("doc_id", "text")))
+    key = lambda r: str(r)
+    want = sorted(
+        ((r["doc_id"], r["n_tokens"], [int(i) for i in r["ids"].split()],
+          hashlib.sha256(r["decoded"].encode()).hexdigest())
+         for r in encode_texts(docs, TOKENIZER).collect()), key=key,
+    )
+    lists = token_lists(docs, TOKENIZER, max_words=500).collect()
+    assert sorted(((r[0], r[1], r[2], r[3]) for r in lists), key=key) == want
+    packed = token_ids(docs, TOKENIZER, packed=True).collect()
+    ids = [(r[0], np.frombuffer(r[1], "<u2").tolist()) for r in packed]
+    assert sorted(ids, key=key) == sorted(((r[0], r[2]) for r in want), key=key)
+    shards = []
+    for part, column in ((token_ids(docs, TOKENIZER, packed=True), "binary"), (token_ids(docs, TOKENIZER), "array")):
+        folder = fresh_path(spark, f"shards-{column}")
+        rows = write_shards(stage(part), folder, length=128, shard_bytes=1 << 14, ids_col="ids").count()
+        shards.append(np.concatenate(list(read_slots(folder, 0, rows, 128, 1 << 14, 2))).tolist())
+    assert shards[0] == shards[1]
+
+
+@pytest.mark.parametrize("bad", [b"\x01", b"\xff\xff", b"\x01\x00\xfe\xff"])
+def test_packed_ids_that_cannot_be_stored_fail(spark, bad):
+    ids = stage(spark.createDataFrame([(1, b"\x05\x00"), (2, bytearray(bad))], "doc_id long, ids binary"))
+    with pytest.raises(Exception, match="ids are"):
+        write_shards(ids, fresh_path(spark, "shards"), ids_col="ids").collect()
+
+
 @pytest.mark.parametrize("bad", [[70_000], [-1], [65_535], [1, None]])
 def test_ids_that_cannot_be_stored_fail(spark, bad):
     ids = stage(spark.createDataFrame([(1, [5]), (2, bad)], "doc_id long, ids array<int>"))
