@@ -7,10 +7,9 @@ as the next one's ``docs``. All but the last return the columns of ``documents``
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from faretide.llm import ngram_jaccard, quality_classifier, quality_rules
-from faretide.llm.bpe import encode_texts
+from faretide.llm.bpe import token_lists
 from faretide.llm.mixing import repeat_taken
 from faretide.llm.queries import TOKENIZER
 from faretide.session import stage
@@ -38,14 +37,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digest of what they decode to."""
-    found = encode_texts(docs, TOKENIZER, max_words=60_000)
-    ids = F.when(F.col("n_tokens") > 0, F.split("ids", " ").cast("array<int>"))
-    return found.select(
-        "doc_id",
-        "n_tokens",
-        F.coalesce(ids, F.array().cast("array<int>")).alias("ids"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return token_lists(docs, TOKENIZER, max_words=60_000)
 
 
 STAGES = [
