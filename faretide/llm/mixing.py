@@ -7,9 +7,13 @@ The words still missing come from documents in the order of exponential keys
 budget's edge gives the words that are missing.
 
 ``u`` is a hash of the id and a seed, so reruns agree and lost tasks come back alike. Keys are cut
-into ``bins`` of about ``BIN_ROWS`` documents: sums of bins are added up in a small table, and only
-the documents of one bin are sorted in one place. A source with any share of all rows is thereby
-spread over its bins. The table of sources is sorted in one task; it is bounded by their number.
+into bins of about ``BIN_ROWS`` documents: sums of bins are added up in a small table, and only
+the documents of one bin are sorted in one place. Bins are of equal width in the key's logarithm.
+Quality only shifts that, so whatever the qualities, no bin has more than a share of ``exp(-1) * ln
+2 / 2 ** bits`` of a source, and ``bits`` follows from the source's size. Rows of one key (NULL ids,
+or an id on many rows) share a bin all the same: a bin that is counted to be larger is cut again by
+its keys, and these by a hash of the row's number. A source or an id with any share of all rows is
+thereby spread. The table of sources is sorted in one task, a source's bins in another.
 
 Defined results: a NULL, empty or white text has size 0 and gives nothing. A NULL source is one
 source of its own, last in order. NULL ids share one key and are taken in order of size. Rows that
@@ -18,7 +22,7 @@ repeat an id are documents of their own. An empty table gives no rows.
 
 from __future__ import annotations
 
-from math import ceil
+from math import ceil, exp, log, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +31,6 @@ from faretide.session import numbered, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 BIN_ROWS = 2000
-MAX_BINS = 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -83,6 +86,32 @@ def source_targets(
     )
 
 
+def binned(rows: DataFrame, most: int, bin_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` with their place ``(bin, cut, sub)`` in the order of keys, and each place's words.
+
+    ``most`` is the largest source's number of rows.
+    """
+    bits = max(0, ceil(log2(max(1.0, most * exp(-1) * log(2) / bin_rows))))
+    placed = rows.withColumn("bin", F.floor(F.log2("key") * F.lit(float(1 << bits))).cast("long"))
+    counted = stage(
+        placed.groupBy("source", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")),
+        "bins",
+    )
+    large = counted.where(F.col("n") > 2 * bin_rows)
+    plain = {"cut": F.lit(0.0), "sub": F.lit(0).cast("long")}
+    if large.isEmpty():
+        return placed.withColumns(plain), counted.withColumns(plain)
+    large = large.select(F.col("source").alias("s"), F.col("bin").alias("b"),
+                         F.ceil(F.col("n") / bin_rows).alias("parts"))
+    found = F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))
+    cut = F.when(F.col("parts").isNotNull(), F.col("key")).otherwise(0.0)
+    sub = F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1)))
+    placed = placed.join(large, found, "left").withColumns({"cut": cut, "sub": sub})
+    placed = placed.drop("s", "b", "parts")
+    sums = placed.groupBy("source", "bin", "cut", "sub").agg(F.sum("size").alias("words"))
+    return placed, sums
+
+
 def mix_sources(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -107,7 +136,7 @@ def mix_sources(
         docs.select(
             docs[id_col].alias("id"),
             docs[source_col].alias("source"),
-            (docs[row_col] if row_col else F.lit(0)).cast("long").alias("row"),
+            (docs[row_col] if row_col else F.monotonically_increasing_id()).cast("long").alias("row"),
             size.alias("size"),
             (quality if quality is not None else F.lit(1.0)).alias("quality"),
             docs[text_col].alias("text") if quality is None else F.lit(None).alias("text"),
@@ -128,22 +157,19 @@ def mix_sources(
     )
     targets = stage(source_targets(sizes, weights, percent, max_epochs), "targets")
     most = targets.agg(F.max("rows")).first()[0] or 0
-    bins = min(MAX_BINS, max(1, ceil(most / BIN_ROWS)))
-    # Ascending in the key, and about even for qualities near 1.
-    placed = rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * bins).cast("int"))
-    sums = placed.groupBy("source", "bin").agg(F.sum("size").alias("words"))
-    earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(
+    placed, sums = binned(rows, most, BIN_ROWS)
+    slot = ["source", "bin", "cut", "sub"]
+    earlier = Window.partitionBy("source").orderBy(*slot[1:]).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    begins = sums.select(
-        "source", "bin", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("begin")
-    )
+    begins = sums.select(*slot, F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("begin"))
     known = begins.join(
         targets.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))
     ).select(
-        F.col("source").alias("s"), F.col("bin").alias("b"), "begin", "source_size", "target"
+        F.col("source").alias("s"), *[F.col(c).alias(f"{c}_") for c in slot[1:]],
+        "begin", "source_size", "target",
     )
-    inside = Window.partitionBy("source", "bin").orderBy("key", "id", "size", "row").rowsBetween(
+    inside = Window.partitionBy(*slot).orderBy("key", "id", "size", "row").rowsBetween(
         Window.unboundedPreceding, -1
     )
     epochs = F.when(
@@ -153,7 +179,8 @@ def mix_sources(
     room = rest - F.col("begin") - F.col("before")
     return (
         placed.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(known, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
+        .join(known, [F.col("source").eqNullSafe(F.col("s")),
+                      *[F.col(c) == F.col(f"{c}_") for c in slot[1:]]])
         .withColumn("epochs", epochs)
         .select(
             F.col("id").alias(id_col), "size", "source_size", "target",
