@@ -4,8 +4,8 @@
 2. Expectation-maximisation finds how often good texts exist and how often each labeller votes
    which way on good and bad ones, from the votes of all documents. Patterns of votes are counted
    in Spark; the driver sees a row a pattern, of which there are ``3 ** labellers`` at most.
-3. Posterior labels of a bounded sample (``sample`` documents, spread by a hash of text) train a
-   logistic regression on hashed features (shapes, last bytes and last letter pairs of words, as
+3. Posterior labels of a bounded sample (at most about ``sample`` different texts, by a hash of the
+   text, each weighed by its copies) train a logistic regression on hashed features (shapes, last bytes and last letter pairs of words, as
    shares of the text's words) and on steps of the text's variety.
 4. The scorer's weights, ``COLUMNS`` numbers, travel with the job and score every whole text.
 
@@ -13,7 +13,7 @@ A text's variety is the lowest share of distinct words in any of its windows: ``
 follow each other, the last window ending with the text, or the whole of a shorter text. So it
 does not sink with a text's length alone.
 
-Nothing is shuffled but pattern counts and the sample's gradient sums.
+Nothing is shuffled but pattern counts, the sample's texts and gradient sums.
 
 Defined results: NULL and empty texts, and texts of white space, abstain everywhere, have no
 features and are kept with the scorer's prior. If the sample holds no two different labels, the
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretide.llm.words import Block, blocks, bounded, constants, mix
+from faretide.session import stage
 
 FEATURES = 512
 #: A text's variety is a feature by how many of these it stays below.
@@ -214,15 +215,27 @@ class Scorer:
         return 1 / (1 + np.exp(-(_features(block) @ self.weights + self.bias)))
 
 
+def sampled(docs: DataFrame, sample: int, text_col: str = "text", rows: int | None = None) -> DataFrame:
+    """``(copies, text)`` of about ``sample`` rows' different texts at most, spread by their hash.
+
+    A text is one row however many copies it has, which it counts for.
+    """
+    share = min(1.0, sample / max(1, docs.count() if rows is None else rows))
+    text = docs[text_col]
+    chosen = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).where(
+        (F.pmod("h", F.lit(1 << 31)) < int(share * (1 << 31))) & F.col("text").isNotNull()
+    )
+    chosen = chosen.groupBy("h").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    return bounded(chosen).select("copies", "text")
+
+
 def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scorer:
     """Estimate labellers over all rows of ``docs`` and fit the scorer on about ``sample``."""
     texts = docs.select(F.xxhash64(docs[text_col]).alias("h"), docs[text_col].alias("text"))
     counts = _patterns(texts, "h").groupBy("votes").count().collect()
     found = {row["votes"]: row["count"] for row in counts}
     posterior, info = fit_labellers(found)
-    share = min(1.0, sample / max(1, sum(found.values())))
-    cut = int(share * (1 << 31))
-    chosen = texts.where((F.pmod("h", F.lit(1 << 31)) < cut) & F.col("text").isNotNull())
+    chosen = sampled(docs, sample, text_col, sum(found.values()))
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signs = np.array(["-", "0", "+"])
@@ -232,33 +245,33 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scor
                 values = _features(block)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column(0).slice(block.first, block.rows),
                         pa.array(label, pa.float64()),
                         pa.ListArray.from_arrays(
                             np.arange(block.rows + 1, dtype=np.int32) * COLUMNS,
                             pa.array(values.ravel()),
                         ),
                     ],
-                    ["good", "values"],
+                    ["copies", "good", "values"],
                 )
 
-    soft = chosen.mapInArrow(rows, "good double, values array<float>").select(
-        array_to_vector("values").alias("features"),
-        F.explode(
-            F.array(
-                F.struct(F.lit(1.0).alias("label"), F.col("good").alias("weight")),
-                F.struct(F.lit(0.0).alias("label"), (1 - F.col("good")).alias("weight")),
-            )
-        ).alias("part"),
+    # Each pass of the fit reads it; a stored copy survives the executors.
+    soft = stage(chosen.mapInArrow(rows, "copies long, good double, values array<float>"), "soft")
+    part = F.explode(
+        F.array(
+            F.struct(F.lit(1.0).alias("label"), F.col("good").alias("share")),
+            F.struct(F.lit(0.0).alias("label"), (1 - F.col("good")).alias("share")),
+        )
+    )
+    soft = soft.select(array_to_vector("values").alias("features"), "copies", part.alias("part"))
+    soft = soft.where("part.share > 1e-6").select(
+        "features", "part.label", (F.col("part.share") * F.col("copies")).alias("weight")
     )
-    soft = soft.select("features", "part.label", "part.weight").where("weight > 1e-6").persist()
-    try:
-        if soft.select("label").distinct().count() < 2:
-            return Scorer(posterior, info, np.zeros(COLUMNS, np.float32), 6.0)
-        model = LogisticRegression(
-            maxIter=30, regParam=1e-4, weightCol="weight", standardization=False
-        ).fit(soft)
-    finally:
-        soft.unpersist()
+    if soft.select("label").distinct().count() < 2:
+        return Scorer(posterior, info, np.zeros(COLUMNS, np.float32), 6.0)
+    model = LogisticRegression(
+        maxIter=30, regParam=1e-4, weightCol="weight", standardization=False
+    ).fit(soft)
     weights = model.coefficients.toArray().astype(np.float32)
     return Scorer(posterior, info, weights, float(model.intercept))
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from faretide.llm import code_points, ngram_jaccard, quality_classifier, quality_rules
+from faretide.llm import code_points, mixing, ngram_jaccard, quality_classifier, quality_rules
 from faretide.llm.bpe import Encoder, TextEncoder, encode_texts, token_ids, token_lists
 from faretide.llm.fingerprints import fingerprints
 from faretide.llm.joins import components
@@ -493,3 +493,64 @@ def test_licenses_are_found_anywhere_and_nowhere_else(spark):
     rows.append((300, "Permission is granted to nobody. All wrongs reserved."))
     found = Counter((r["doc_id"], r["license"]) for r in scan_licenses(make(spark, rows)).collect())
     assert found == want
+
+
+def _skewed(spark, rows):
+    """A third of the rows without an id, a third with one id, and one source with nearly all."""
+    ids = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, 7).otherwise(F.col("id"))
+    return spark.range(rows).select(
+        ids.alias("doc_id"), F.when(F.col("id") % 50 > 0, "a").alias("source"),
+        F.concat(F.lit("w "), F.col("id") % 4, F.lit(" w")).alias("text"),
+        (F.col("id") % 4).alias("q"),
+    )
+
+
+@pytest.mark.parametrize("quality", [1.0, 0.5, 0.1, 20.0])
+def test_no_bin_of_the_mixture_grows_with_its_source(spark, quality):
+    rows = 40_000
+    keys = spark.range(rows).select(
+        F.lit("a").alias("source"), F.col("id").alias("row"), F.lit(1).alias("size"),
+        (-F.ln(mixing.uniform(F.col("id"), "t")) / quality).alias("key"),
+    )
+    placed, sums = mixing.binned(keys, rows, 500)
+    assert sums.agg(F.sum("words")).first()[0] == rows
+    counts = [r["count"] for r in placed.groupBy("bin", "cut", "sub").count().collect()]
+    assert sum(counts) == rows and max(counts) <= 2 * 500
+    order = placed.orderBy("key").select("bin", "cut", "sub").collect()
+    assert order == sorted(order)
+
+
+def test_rows_that_share_a_key_are_spread_and_the_mix_meets_its_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BIN_ROWS", 300)
+    rows = 9_000
+    docs = stage(_skewed(spark, rows))
+    quality = F.when(docs["q"] == 0, 0.1).otherwise(1.0)
+    keys = docs.withColumn("row", F.monotonically_increasing_id()).select(
+        "source", "row", F.lit(1).alias("size"),
+        F.when(F.col("doc_id").isNull(), 0.3).when(F.col("doc_id") == 7, 1.1)
+        .otherwise(-F.ln(mixing.uniform(F.col("doc_id"), "t"))).alias("key"),
+    )
+    placed, sums = mixing.binned(keys, rows, 300)
+    counts = [r["count"] for r in placed.groupBy("source", "bin", "cut", "sub").count().collect()]
+    assert sum(counts) == rows and max(counts) <= 2 * 300
+    assert sums.agg(F.sum("words")).first()[0] == rows
+    mixed = mix_sources(docs, quality=quality)
+    found = mixed.groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    for row in found.collect():
+        assert abs(row["taken"] - row["target"]) <= 1
+    assert mixed.count() == rows and mixed.where("taken > 2 * size or taken < 0").isEmpty()
+
+
+def test_the_classifiers_sample_is_bounded_by_texts(spark):
+    """One text on a third of all rows is one row of the sample, which counts for its copies."""
+    prose = "The committee met on Tuesday and agreed that the plan, as amended, should go ahead. "
+    docs = spark.range(3_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(prose * 6))
+        .otherwise(F.concat(F.lit(prose * 5), F.col("id").cast("string"))).alias("text")
+    )
+    bad = spark.range(1_500).select(F.concat(F.lit("zz " * 60), F.col("id").cast("string")).alias("text"))
+    docs = stage(docs.unionByName(bad))
+    rows = quality_classifier.sampled(docs, 600)
+    assert rows.count() < 800
+    assert rows.agg(F.max("copies")).first()[0] in (1, 1000)
+    assert quality_classifier.classify(docs.withColumn("doc_id", F.lit(1))).count() == 4_500
