@@ -14,9 +14,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from faretide.functions.dimensions import dimension_map, merge_dimensions
 from faretide.functions.times import ceil_minutes, month_id, parse_date, weekend_flag
+from faretide.operators import day_logs
 from faretide.operators import logs as log_queries
 from faretide.operators.lookups import (
     DROPOFF_KEY,
@@ -46,6 +48,7 @@ from faretide.operators.scoring import (
     write_predictions,
 )
 from faretide.operators.store import (
+    bucket_features,
     compact_features,
     create_database,
     create_feature_table,
@@ -56,7 +59,7 @@ from faretide.operators.store import (
 )
 from faretide.operators.windows import dropoff_features, pickup_features
 from faretide.plans.jobs import feature_job, score_job, train_job
-from faretide.schemas import DROPOFF_FEATURES, PICKUP_FEATURES
+from faretide.schemas import DROPOFF_FEATURES, LOGS, PICKUP_FEATURES
 from faretide.session import fresh_path, stage
 from faretide.sources.events import logs_from_events, read_events, trips_from_events
 from faretide.sources.tables import read_logs, read_training_csv, read_trips, stream_trips
@@ -67,7 +70,10 @@ try:
     import corpus_pipeline
     from faretide.llm.queries import ORACLES as LLM_ORACLES
     from faretide.llm.queries import QUERIES as LLM_QUERIES
-except ModuleNotFoundError:
+except ModuleNotFoundError as error:
+    # Only if the text operators are not there; a library that they miss is an error.
+    if error.name not in ("corpus_pipeline", "faretide.llm", "faretide.llm.queries"):
+        raise
     LLM_QUERIES, LLM_ORACLES = {}, {}
 else:
     LLM_QUERIES = {"pipeline": corpus_pipeline.run, **LLM_QUERIES}
@@ -75,6 +81,7 @@ else:
         LLM_ORACLES = {"pipeline": corpus_pipeline.ORACLE_SQL, **LLM_ORACLES}
 
 DATABASE = "faretide_queries"
+LOGS_WITH_PROPS = T.StructType([*LOGS.fields, T.StructField("props", T.VariantType())])
 START, END = "2024-01-05", "2024-01-20"
 FIRST_HALF, SECOND_HALF = ("2024-01-01", "2024-01-16"), ("2024-01-15", "2024-02-01")
 
@@ -323,6 +330,15 @@ def q_training_set(spark, folder):
     return _nullable(_training(spark, folder))
 
 
+def q_bucketed_training_set(spark, folder):
+    """The training set by lookups in bucketed copies, as of tables too large to broadcast."""
+    tables = _stored_pair(spark, folder, START, END)
+    for table in tables:
+        bucket_features(spark, table)
+    rounded = rounded_trips(_trips(spark, folder))
+    return _nullable(training_set(rounded, fare_lookups(*tables), max_broadcast_bytes=0).load_df())
+
+
 def q_training_csv(spark, folder):
     training, path = _training(spark, folder), fresh_path(spark, "csv")
     training.write.option("header", True).csv(path)
@@ -348,6 +364,12 @@ def _rounded_numbers(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
+def _significant(df: DataFrame, *names: str, digits: int = 9) -> DataFrame:
+    """Doubles of any size to so many digits, as text."""
+    text = lambda name: F.format_string(f"%.{digits - 1}e", name)
+    return df.withColumns({name: F.when(F.col(name).isNotNull(), text(name)) for name in names})
+
+
 def q_rides_by_weekend(spark, folder):
     return rides_by_weekend(dropoff_features(_trips(spark, folder)))
 
@@ -362,12 +384,12 @@ def q_null_keys(spark, folder):
 
 def q_describe_pickup(spark, folder):
     described = describe_features(pickup_features(_trips(spark, folder)))
-    return _rounded_numbers(described, "mean", "stddev", "min_value", "max_value", digits=3)
+    return _significant(described, "mean", "stddev", "min_value", "max_value")
 
 
 def q_describe_dropoff(spark, folder):
     described = describe_features(dropoff_features(_trips(spark, folder)))
-    return _rounded_numbers(described, "mean", "stddev", "min_value", "max_value", digits=3)
+    return _significant(described, "mean", "stddev", "min_value", "max_value")
 
 
 def q_boxplot_pickup(spark, folder):
@@ -451,6 +473,40 @@ def q_newest_traces(spark, folder):
     return log_queries.recent_logs(_logs(spark, folder), window=None)
 
 
+def _day_logs(spark, folder):
+    """The log table by day, written in two loads, and its newest time."""
+    path, logs = fresh_path(spark, "day_logs"), _logs(spark, folder)
+    for part in (0, 1):
+        day_logs.write_logs(logs.where(F.col("event_id") % 2 == part), path)
+    return path, logs.agg(F.max("ts")).first()[0]
+
+
+def q_recent_day_logs(spark, folder):
+    path, now = _day_logs(spark, folder)
+    return day_logs.recent_day_logs(spark, path, experiment_id="42", now=now, window="20 days")
+
+
+def q_recent_day_exceptions(spark, folder):
+    path, now = _day_logs(spark, folder)
+    return day_logs.recent_day_logs(spark, path, log_queries.EXCEPTION, now=now, window="3 days")
+
+
+def q_newest_day_logs(spark, folder):
+    path, _ = _day_logs(spark, folder)
+    return day_logs.newest_day_logs(spark, path)
+
+
+def q_variant_dimensions(spark, folder):
+    """Dimensions parsed once, when the log is written."""
+    path, events = fresh_path(spark, "day_logs"), read_events(spark, folder)
+    logs = _logs(spark, folder).join(events.select("event_id", "props"), "event_id")
+    day_logs.write_logs(logs, path, dimensions="props")
+    stored = day_logs.read_day_logs(spark, path, schema=LOGS_WITH_PROPS).select("event_id", "props")
+    return log_queries.extend_dimensions(stored, "props", experiment="k", absent="nothing").drop(
+        "props"
+    )
+
+
 def q_log_dimensions(spark, folder):
     events = read_events(spark, folder)
     return log_queries.extend_dimensions(
@@ -686,10 +742,11 @@ _RANGED = (_TRIPS, _ROUNDED, _pickup("pickup", START, END), _dropoff("dropoff",
 
 
 def _describe(table: str, numbers: list[str]) -> str:
+    text = "format('{{:.8e}}', {}::DOUBLE)".format
     rows = [
         f"""SELECT '{c}' AS column_name, count({c}) AS value_count,
-       round(avg({c}::DOUBLE), 3) AS mean, round(stddev_samp({c}::DOUBLE), 3) AS stddev,
-       round(min({c})::DOUBLE, 3) AS min_value, round(max({c})::DOUBLE, 3) AS max_value,
+       {text(f"avg({c}::DOUBLE)")} AS mean, {text(f"stddev_samp({c}::DOUBLE)")} AS stddev,
+       {text(f"min({c})")} AS min_value, {text(f"max({c})")} AS max_value,
        NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM {table}"""
         for c in numbers
     ]
@@ -863,6 +920,7 @@ SELECT * FROM old WHERE NOT EXISTS
         "pickup_lookup": _with(*_RANGED) + f"SELECT r.*, {_P} FROM rounded r {_PICKUP_JOIN}",
         "dropoff_lookup": _with(*_RANGED) + f"SELECT r.*, {_D} FROM rounded r {_DROPOFF_JOIN}",
         "training_set": _TRAINING,
+        "bucketed_training_set": _TRAINING,
         "training_csv": _TRAINING,
         "exclude_self": _with(
             _TRIPS,
@@ -925,6 +983,14 @@ UNION ALL SELECT 'dropoff_features', count(*), 5 FROM dropoff""",
         "newest_traces": _with(_LOG)
         + """SELECT * FROM log WHERE kind = 'trace'
 ORDER BY ts DESC, event_id DESC LIMIT 1000""",
+        "recent_day_logs": _recent("kind = 'trace' AND experiment_id = '42'", 20),
+        "recent_day_exceptions": _recent("kind = 'exception'", 3),
+        "newest_day_logs": _with(_LOG)
+        + """SELECT * FROM log WHERE kind = 'trace'
+ORDER BY ts DESC, event_id DESC LIMIT 1000""",
+        "variant_dimensions": """SELECT event_id,
+       json_extract_string(props, '$.k') AS experiment,
+       json_extract_string(props, '$.nothing') AS absent FROM events""",
         "log_dimensions": """SELECT event_id,
        json_extract_string(props, '$.k') AS experiment,
        json_extract_string(props, '$.nothing') AS absent FROM events""",

@@ -1,4 +1,7 @@
-"""Access to the dynamic dimensions of log rows: a map or a JSON object."""
+"""Access to the dynamic dimensions of log rows: a map, a JSON text or a variant.
+
+A variant is JSON that was parsed once, when it was stored; text is parsed by every query.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +12,22 @@ from pyspark.sql import types as T
 _MAP = "map<string,string>"
 
 
+def parsed_dimensions(df: DataFrame, name: str) -> Column:
+    """Dimensions as a variant; text that is no JSON gives NULL."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.VariantType):
+        return F.col(name)
+    if isinstance(kind, T.MapType):
+        return F.try_parse_json(F.to_json(F.col(name)))
+    return F.try_parse_json(F.col(name))
+
+
 def dimension(df: DataFrame, name: str, key: str) -> Column:
     """The value of one dimension as a string; NULL when it is absent."""
     if isinstance(df.schema[name].dataType, T.MapType):
         return F.try_element_at(F.col(name), F.lit(key)).cast("string")
+    if isinstance(df.schema[name].dataType, T.VariantType):
+        return F.try_variant_get(F.col(name), f"$['{key}']", "string")
     return F.get_json_object(F.col(name), f"$['{key}']")
 
 
@@ -20,6 +35,8 @@ def dimension_map(df: DataFrame, name: str) -> Column:
     """All dimensions as a map of strings."""
     if isinstance(df.schema[name].dataType, T.MapType):
         return F.col(name).cast(_MAP)
+    if isinstance(df.schema[name].dataType, T.VariantType):
+        return F.try_variant_get(F.col(name), "$", _MAP)
     return F.from_json(F.col(name), _MAP)
 
 

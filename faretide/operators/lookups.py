@@ -11,11 +11,14 @@ from pyspark.sql import types as T
 
 from faretide.functions.times import as_time, epoch_seconds, month_of_epoch, time_literal
 from faretide.operators.rows import Bound, given
-from faretide.operators.store import primary_keys, read_features
+from faretide.operators.store import bucketed_rows, primary_keys, read_features
 
 # Most bytes a feature table may take, as counted rows of known width, to be
-# sent to every executor. Beyond it the join shuffles both sides.
+# sent to every executor. Beyond it the join shuffles both sides, or the trips' side alone if the
+# table has a copy bucketed by its keys.
 MAX_BROADCAST_BYTES = 128 << 20
+# Rows of one key beyond which a bucketed lookup treats the key by itself.
+HOT_ROWS = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -104,6 +107,49 @@ def lookup_features(
     return df.join(right, matches, "left").drop(*dropped)
 
 
+def lookup_bucketed(
+    df: DataFrame,
+    features: DataFrame,
+    lookup_key: Sequence[str],
+    feature_names: Sequence[str],
+    keys: Sequence[str] = ("zip", "ts"),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``lookup_features`` in features that are bucketed by ``keys``, which stay where they are.
+
+    A bucket is one task, which adaptive execution cannot split, so what would make one large is
+    taken out: rows without a key get NULL features and join with nothing, and keys of more than
+    ``hot_rows`` rows, which are ``rows / hot_rows`` at most, are counted first and joined to
+    their features by broadcast.
+    """
+    columns = df.columns
+    keyed = df.dropna(subset=list(lookup_key))
+    types = dict(features.dtypes)
+    missing = [F.lit(None).cast(types[name]).alias(name) for name in feature_names]
+    no_key = F.lit(False)
+    for column in lookup_key:
+        no_key = no_key | F.col(column).isNull()
+    out = df.where(no_key).select(*columns, *missing)
+    hot = keyed.groupBy(*lookup_key).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = hot.where(F.col("_rows") > hot_rows).select(*lookup_key).collect()
+    if hot:
+        spark = df.sparkSession
+        kinds = ", ".join(f"`{k}` {types[k]}" for k in keys)
+        few = F.broadcast(spark.createDataFrame([tuple(r) for r in hot], kinds))
+        matches = [keyed[c] == few[k] for c, k in zip(lookup_key, keys, strict=True)]
+        theirs = features.join(few, list(keys), "left_semi")
+        part = keyed.join(few, matches, "left_semi")
+        part = lookup_features(part, theirs, lookup_key, feature_names, keys, broadcast=True)
+        out = out.unionByName(part.select(*columns, *feature_names))
+        keyed = keyed.join(few, matches, "left_anti")
+    # Spark would shuffle keys of another type, or the features if they were the smaller side.
+    cast = {c: keyed[c].cast(types[k]) for c, k in zip(lookup_key, keys, strict=True)}
+    keyed = keyed.withColumns({f"_look_{i}": c for i, c in enumerate(cast.values())})
+    names = [f"_look_{i}" for i in range(len(cast))]
+    joined = lookup_features(keyed, features, names, feature_names, keys)
+    return out.unionByName(joined.select(*columns, *feature_names))
+
+
 def apply_lookups(
     df: DataFrame,
     lookups: Sequence[FeatureLookup],
@@ -117,13 +163,19 @@ def apply_lookups(
         keys = primary_keys(spark, lookup.table_name)
         needed = features.select(*keys, *lookup.feature_names)
         month = "yyyy_mm" if prune_months and "yyyy_mm" in features.columns else None
+        small = not month and fits_broadcast(needed, max_broadcast_bytes)
+        copy = None if small or month else bucketed_rows(spark, lookup.table_name)
+        if copy is not None:
+            copy = copy.select(*keys, *lookup.feature_names)
+            df = lookup_bucketed(df, copy, lookup.lookup_key, lookup.feature_names, keys)
+            continue
         df = lookup_features(
             df,
             features if month else needed,
             lookup.lookup_key,
             lookup.feature_names,
             keys,
-            broadcast=not month and fits_broadcast(needed, max_broadcast_bytes),
+            broadcast=small,
             month_column=month,
         )
     return df

@@ -552,7 +552,60 @@ def expire_features(spark: SparkSession, table: str, older_than: float = WEEK) -
     Reads that began on an older commit must have ended. Returns how many folders were removed.
     """
     info = feature_table(spark, table)
-    return snapshots.expire(spark, info.root, older_than, ("", "_panes", "_late"))
+    copies = [f"_by_key/{name}" for name, _ in snapshots.children(spark, f"{info.root}/_by_key")]
+    return snapshots.expire(spark, info.root, older_than, ("", "_panes", "_late", *copies))
+
+
+def bucket_features(spark: SparkSession, table: str, buckets: int | None = None) -> int:
+    """Store the rows a second time, bucketed and sorted by key, for lookups that shuffle.
+
+    A lookup in a table too large to broadcast then moves its own rows only. The copy serves until
+    the table changes. ``buckets`` is by default one for each 4 million rows, and at least Spark's
+    number of shuffle partitions, so that joins keep the copy's partitions. Returns their number.
+    """
+    info = feature_table(spark, table)
+    snapshot = snapshots.read_snapshot(spark, info.root)
+    rows = snapshot_rows(spark, info, snapshot)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = sum(s.rows for s in snapshot.of("base", "log"))
+    buckets = buckets or min(max(least, -(-count // 4_000_000)), 100_000)
+    version = snapshots.new_version(snapshot)
+    folder = f"_by_key/buckets={buckets}/{_VERSION}={version}"
+    # A write by buckets goes through the catalog. Bucketing first leaves a file a bucket.
+    name = f"{info.name}_{version.split('-')[1]}"
+    (
+        rows.repartition(buckets, *info.keys)
+        .write.bucketBy(buckets, *info.keys).sortBy(*info.keys)
+        .format(info.provider).option("path", f"{info.root}/{folder}").saveAsTable(_quoted(name))
+    )
+    spark.sql(f"DROP TABLE {_quoted(name)}")
+    copy = Segment("by_key", None, folder, version, count)
+    snapshots.commit(spark, info.root, snapshot, [copy], snapshot.of("by_key"))
+    return buckets
+
+
+def bucketed_rows(spark: SparkSession, table: str) -> DataFrame | None:
+    """The bucketed copy, if there is one of the table's rows as they are now."""
+    info = feature_table(spark, table)
+    latest = snapshots.read_snapshot(spark, info.root)
+    copies = latest.of("by_key")
+    # A copy's number is above those of all rows that it was made from.
+    number = lambda s: int(s.version.split("-")[0])
+    if not copies or any(number(s) >= number(copies[0]) for s in latest.of("base", "log")):
+        return None
+    buckets = copies[0].folder.split("/")[1].split("=")[1]
+    name = f"{info.name}_{snapshots.new_version(latest).split('-')[1]}"
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in info.schema)
+    keys = ", ".join(f"`{key}`" for key in info.keys)
+    spark.sql(
+        f"CREATE TABLE {_quoted(name)} ({ddl}) USING {info.provider} CLUSTERED BY ({keys}) "
+        f"SORTED BY ({keys}) INTO {buckets} BUCKETS "
+        f"LOCATION {_text(f'{info.root}/{copies[0].folder}')}"
+    )
+    rows = spark.table(name)
+    # The name served to tell Spark of the buckets; the files belong to the commit.
+    spark.sql(f"DROP TABLE {_quoted(name)}")
+    return rows
 
 
 def overwrite_features(df: DataFrame, table: str, check_unique: bool = True) -> WriteReport:

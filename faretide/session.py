@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,6 @@ DEFAULTS = {
     ),
 }
 
-_local_folders: dict[str, str] = {}
-
 
 def build_session(app_name: str = "faretide", **conf: str) -> SparkSession:
     """A session with the engine's defaults; ``conf`` (dots as ``__``) wins."""
@@ -32,20 +29,12 @@ def build_session(app_name: str = "faretide", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``.
+    """The cluster's ``spark.checkpoint.dir``; where that is unset, a folder of the warehouse.
 
-    A folder of our own is made only for a local master with the setting
-    unset: on a cluster, executors could not read each other's copy of it.
+    Both are shared by the driver and all executors, which folders for temporary files are not.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="faretide-")
-    return _local_folders[app]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

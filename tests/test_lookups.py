@@ -14,12 +14,22 @@ from faretide.operators.lookups import (
     exclude_self,
     fare_lookups,
     fits_broadcast,
+    lookup_bucketed,
     lookup_features,
     training_set,
 )
 from faretide.operators.rows import rounded_trips
-from faretide.operators.store import create_feature_table
+from faretide.operators.store import (
+    bucket_features,
+    bucketed_rows,
+    compact_features,
+    create_feature_table,
+    merge_features,
+    read_features,
+)
 from faretide.operators.windows import dropoff_features, pickup_features
+from faretide.plans.jobs import feature_job
+from faretide.session import stage
 
 START, END = "2024-01-05", "2024-01-20"
 
@@ -167,3 +177,70 @@ def test_month_pruning_reaches_the_feature_scan(spark, sample, tables):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression(yyyy_mm" in plan
     assert df.count() == rounded.count()
+
+
+def test_bucketed_features_are_not_shuffled(spark, sample, table):
+    names = table(), table()
+    feature_job(sample, None, None, explain=False, tables=names)
+    expected = rows_of(training_set(rounded_trips(sample), fare_lookups(*names)).load_df())
+    for name in names:
+        assert bucketed_rows(spark, name) is None
+        assert bucket_features(spark, name, 16) == 16
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        trips = rounded_trips(sample)
+        trips = trips.unionByName(trips.limit(5).withColumn("pickup_zip", F.lit(None).cast("int")))
+        looked_up = training_set(trips, fare_lookups(*names), max_broadcast_bytes=0).load_df()
+        plan = looked_up._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SelectedBucketsCount: 16 out of 16") >= 2
+        joins = plan.split("SortMergeJoin")[1:] or plan.split("ShuffledHashJoin")[1:]
+        assert joins and "BroadcastHashJoin" not in plan
+        # From each bucketed scan up to its join there is no exchange.
+        lines = plan.split("\n")
+        for at, line in enumerate(lines):
+            if "SelectedBucketsCount" in line:
+                depth = len(line) - len(line.lstrip(" :+-"))
+                above = []
+                for up in reversed(lines[:at]):
+                    deep = len(up) - len(up.lstrip(" :+-"))
+                    if deep < depth:
+                        depth = deep
+                        above.append(up)
+                        if "Join" in up:
+                            break
+                assert "Join" in above[-1] and not any("Exchange" in up for up in above)
+        assert looked_up.count() == sample.count() + 5
+        usual = training_set(rounded_trips(sample), fare_lookups(*names), max_broadcast_bytes=0)
+        assert rows_of(usual.load_df()) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_hot_and_missing_keys_of_a_bucketed_lookup(spark, sample, table):
+    name = table()
+    create_feature_table(pickup_features(sample), name)
+    bucket_features(spark, name, 8)
+    trips = rounded_trips(sample)
+    hot = trips.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    trips = trips.unionByName(hot).unionByName(trips.withColumn("pickup_zip", F.lit(None).cast("int")))
+    trips = stage(trips.withColumn("pickup_zip", F.col("pickup_zip").cast("long")))
+    plain = lookup_features(trips, read_features(spark, name), PICKUP_KEY, PICKUP_NAMES)
+    for hot_rows in (100, 10_000):
+        ours = lookup_bucketed(trips, bucketed_rows(spark, name), PICKUP_KEY, PICKUP_NAMES, hot_rows=hot_rows)
+        assert rows_of(ours.select(plain.columns)) == rows_of(plain)
+
+
+def test_a_bucketed_copy_serves_until_the_table_changes(spark, sample, table):
+    name = table()
+    create_feature_table(pickup_features(sample), name)
+    bucket_features(spark, name, 4)
+    assert bucketed_rows(spark, name).count() == read_features(spark, name).count()
+    merge_features(pickup_features(sample.limit(10)), name, compact=False)
+    assert bucketed_rows(spark, name) is None
+    bucket_features(spark, name, 4)
+    rows = bucketed_rows(spark, name)
+    assert rows_of(rows.select("zip", "ts")) == rows_of(read_features(spark, name).select("zip", "ts"))
+    compact_features(spark, name)
+    assert bucketed_rows(spark, name) is None
+    assert rows.count() == read_features(spark, name).count()

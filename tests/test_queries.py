@@ -9,6 +9,8 @@ from check import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLES = entry.oracle_sql()
+#: Queries that may find nothing in the smallest tables.
+MAY_BE_EMPTY = {"recent_logs_run"}
 
 
 def test_every_oracle_has_a_query():
@@ -28,4 +30,4 @@ def test_query(spark, name):
         return
     expected = connect(FOLDER).sql(ORACLES[name]).df()
     problem = difference(ours, expected)
-    assert problem in ("", "no rows")
+    assert problem == "" or (problem == "no rows" and name in MAY_BE_EMPTY)
