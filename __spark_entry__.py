@@ -32,6 +32,8 @@ from faretide.operators.lookups import (
 )
 from faretide.operators.models import predict, regression_metrics, split_by_hash, train_fare_model
 from faretide.operators.profile import (
+    DROPOFF_PLOT,
+    PICKUP_PLOT,
     boxplot_dropoff,
     boxplot_pickup,
     describe_features,
@@ -54,9 +56,11 @@ from faretide.operators.store import (
     create_feature_table,
     merge_features,
     overwrite_features,
+    put_features,
     read_features,
     write_features,
 )
+from faretide.operators.summaries import refresh_summaries, stored_boxplot, stored_statistics
 from faretide.operators.windows import dropoff_features, pickup_features
 from faretide.plans.jobs import feature_job, score_job, train_job
 from faretide.schemas import DROPOFF_FEATURES, LOGS, PICKUP_FEATURES
@@ -402,6 +406,26 @@ def q_boxplot_dropoff(spark, folder):
     return _rounded_numbers(boxes, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
+def _summarised(spark, folder, plot):
+    """Features of the first half, summarised, then merged with the second and summarised again."""
+    table = _new_table(spark, "summarised")
+    write = pickup_features if plot is PICKUP_PLOT else dropoff_features
+    for start, end in (FIRST_HALF, SECOND_HALF):
+        put_features(write(_trips(spark, folder), start=start, end=end), table)
+        refresh_summaries(spark, table, [plot])
+    return table
+
+
+def q_describe_merged(spark, folder):
+    described = stored_statistics(spark, _summarised(spark, folder, PICKUP_PLOT))
+    return _significant(described, "mean", "stddev", "min_value", "max_value")
+
+
+def q_boxplot_merged(spark, folder):
+    boxes = stored_boxplot(spark, _summarised(spark, folder, DROPOFF_PLOT), DROPOFF_PLOT)
+    return _rounded_numbers(boxes, "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
 # --- logs ------------------------------------------------------------------------------
 
 
@@ -826,6 +850,19 @@ _RANGE_DROPOFF = _with(_TRIPS, _dropoff("dropoff", START, END)) + "SELECT * FROM
 _HASH = "('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 100"
 
 
+def _merged(kind: str, part: Callable[..., str]) -> str:
+    """Features of the second half over those of the first."""
+    return _with(
+        _TRIPS,
+        part("old", *FIRST_HALF),
+        part("new", *SECOND_HALF),
+        """
+merged AS (
+  SELECT * FROM new UNION ALL SELECT * FROM old o WHERE NOT EXISTS
+    (SELECT 1 FROM new n WHERE n.zip = o.zip AND n.ts = o.ts))""",
+    )
+
+
 def _late(kind: str, pane: int, window: int) -> str:
     """Trips by batch, and which of them the stream's watermark leaves on time."""
     at = f"tpep_{kind}_datetime"
@@ -966,6 +1003,14 @@ UNION ALL SELECT 'dropoff_features', count(*), 5 FROM dropoff""",
             "dropoff_is_weekend",
             ["count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"],
         ),
+        "describe_merged": _merged("pickup", _pickup) + _describe("merged", _PICKUP_NUMBERS),
+        "boxplot_merged": _merged("dropoff", _dropoff).rstrip()
+        + ",\n"
+        + _boxplot(
+            "merged",
+            "dropoff_is_weekend",
+            ["count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"],
+        ),
         "read_logs": _with(_LOG) + "SELECT * FROM log",
         "recent_logs": _recent("kind = 'trace' AND experiment_id = '42'", 20),
         "recent_logs_run": _recent("kind = 'trace' AND experiment_id = '42' AND run_id = 3", 20),

@@ -56,13 +56,10 @@ def describe_features(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*measures).alias("columns")).select(F.inline("columns"))
 
 
-def _frequencies(df: DataFrame, group: str, measures: Sequence[str]) -> DataFrame:
-    """How often each value occurs, per measure and group, in value order.
+def value_counts(df: DataFrame, group: str, measures: Sequence[str], *by: str) -> DataFrame:
+    """How often each value occurs, per measure and group (and the columns ``by``).
 
     Measures are numbered from 1, which shuffles less than their names.
-    ``slice`` numbers the range partitions. Sampling for the ranges sees
-    (measure, group, value) rows, so a group with many values is spread over
-    many slices, while a value that occurs often is a single row.
     """
     pairs = F.array(
         *[
@@ -70,16 +67,26 @@ def _frequencies(df: DataFrame, group: str, measures: Sequence[str]) -> DataFram
             for number, name in enumerate(measures, start=1)
         ]
     )
-    counted = (
-        df.select(F.col(group).cast("double").alias("group_value"), F.inline(pairs))
-        .dropna()
-        .groupBy("measure", "group_value", "value")
+    return (
+        df.select(*by, F.col(group).cast("double").alias("group_value"), F.inline(pairs))
+        .dropna(subset=["group_value", "value"])
+        .groupBy(*by, "measure", "group_value", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .repartitionByRange("measure", "group_value", "value")
-        .withColumn("slice", F.spark_partition_id())
+    )
+
+
+def _sliced(counted: DataFrame) -> DataFrame:
+    """Counted values in value order.
+
+    ``slice`` numbers the range partitions. Sampling for the ranges sees
+    (measure, group, value) rows, so a group with many values is spread over
+    many slices, while a value that occurs often is a single row.
+    """
+    sliced = counted.repartitionByRange("measure", "group_value", "value").withColumn(
+        "slice", F.spark_partition_id()
     )
     # Slice numbers must be the same for every later reader.
-    return stage(counted, "frequencies")
+    return stage(sliced, "frequencies")
 
 
 def _quartiles(values: DataFrame, held: DataFrame) -> DataFrame:
@@ -139,8 +146,13 @@ def boxplot_stats(df: DataFrame, group: str, measures: Sequence[str]) -> DataFra
     within 1.5 interquartile ranges of the box; values beyond them are
     counted as outliers. NULLs are left out.
     """
+    return boxplot_of(value_counts(df, group, measures), measures)
+
+
+def boxplot_of(counted: DataFrame, measures: Sequence[str]) -> DataFrame:
+    """:func:`boxplot_stats` of values that are counted already."""
     keys = ["measure", "group_value"]
-    values = _frequencies(df, group, measures)
+    values = _sliced(counted)
     held = values.groupBy(*keys, "slice").agg(F.sum("n").alias("held"))
     # Each slice gets its group's box: joining by slice, no task takes the
     # values of a whole group.
@@ -158,16 +170,24 @@ def boxplot_stats(df: DataFrame, group: str, measures: Sequence[str]) -> DataFra
     return stats.withColumn("measure", F.element_at(names, F.col("measure")))
 
 
+#: Of each box plot the group and the measures: mean fare and trip count against trip count, and
+#: trip count and weekend flag against weekend flag.
+PICKUP_PLOT = (
+    "count_trips_window_1h_pickup_zip",
+    ("mean_fare_window_1h_pickup_zip", "count_trips_window_1h_pickup_zip"),
+)
+DROPOFF_PLOT = (
+    "dropoff_is_weekend",
+    ("count_trips_window_30m_dropoff_zip", "dropoff_is_weekend"),
+)
+
+
 def boxplot_pickup(features: DataFrame) -> DataFrame:
-    """Mean fare and trip count against trip count."""
-    count = "count_trips_window_1h_pickup_zip"
-    return boxplot_stats(features, count, ["mean_fare_window_1h_pickup_zip", count])
+    return boxplot_stats(features, *PICKUP_PLOT)
 
 
 def boxplot_dropoff(features: DataFrame) -> DataFrame:
-    """Trip count and weekend flag against weekend flag."""
-    flag = "dropoff_is_weekend"
-    return boxplot_stats(features, flag, ["count_trips_window_30m_dropoff_zip", flag])
+    return boxplot_stats(features, *DROPOFF_PLOT)
 
 
 def rides_by_weekend(features: DataFrame) -> DataFrame:

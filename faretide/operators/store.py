@@ -553,7 +553,7 @@ def expire_features(spark: SparkSession, table: str, older_than: float = WEEK) -
     """
     info = feature_table(spark, table)
     copies = [f"_by_key/{name}" for name, _ in snapshots.children(spark, f"{info.root}/_by_key")]
-    return snapshots.expire(spark, info.root, older_than, ("", "_panes", "_late", *copies))
+    return snapshots.expire(spark, info.root, older_than, ("", "_panes", "_late", "_summaries", "_values", *copies))
 
 
 def bucket_features(spark: SparkSession, table: str, buckets: int | None = None) -> int:
