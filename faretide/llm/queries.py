@@ -149,6 +149,60 @@ fits AS (
   GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM u LEFT JOIN fits USING (page_id)""",
+    "op8_quality_rules": f"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+g AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS gram,
+         length(array_to_string(w[i:i + k - 1], '')) AS chars
+  FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i
+        FROM d, (VALUES (2), (3), (5), (7), (10)) v(k))),
+c AS (
+  SELECT doc_id, k, gram, count(*) AS n, any_value(chars) AS chars
+  FROM g GROUP BY ALL HAVING count(*) > 1),
+top AS (
+  SELECT doc_id, max(n * chars) FILTER (k = 2) AS top2, max(n * chars) FILTER (k = 3) AS top3
+  FROM c GROUP BY doc_id),
+p AS (
+  SELECT DISTINCT doc_id, k, i + o AS pos
+  FROM g JOIN c USING (doc_id, k, gram), range(10) r(o) WHERE o < k AND k > 2),
+cover AS (
+  SELECT doc_id, count(*) FILTER (k = 3) AS again,
+         sum(length(w[pos])) FILTER (k = 5) AS r5, sum(length(w[pos])) FILTER (k = 7) AS r7,
+         sum(length(w[pos])) FILTER (k = 10) AS r10
+  FROM p JOIN d USING (doc_id) GROUP BY doc_id),
+l AS (
+  SELECT doc_id, line, count(*) AS n,
+         any_value(length(array_to_string(regexp_extract_all(line, '{_WORDS}'), ''))) AS chars
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{_WORDS}') GROUP BY ALL),
+lines AS (
+  SELECT doc_id, sum(n) AS n_lines, sum(n - 1) AS dup, sum((n - 1) * chars) AS dup_chars
+  FROM l GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(again, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(dup_chars, 0)::BIGINT AS dup_chars,
+         greatest(length(array_to_string(w, '')), 1)::DOUBLE AS letters,
+         coalesce(r5, 0)::DOUBLE AS r5, coalesce(r7, 0)::DOUBLE AS r7,
+         coalesce(r10, 0)::DOUBLE AS r10,
+         coalesce(top2, 0)::DOUBLE AS top2, coalesce(top3, 0)::DOUBLE AS top3
+  FROM d LEFT JOIN top USING (doc_id) LEFT JOIN cover USING (doc_id)
+         LEFT JOIN lines USING (doc_id)),
+v AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         r5 / letters > 0.35 OR r7 / letters > 0.30 OR r10 / letters > 0.25
+         OR top2 / letters > 0.30 OR top3 / letters > 0.28 OR dup_chars > 0.40::DOUBLE * letters
+         OR n_dup_lines > 0.40::DOUBLE * greatest(n_lines, 1)
+         OR n_symbols > 0.2::DOUBLE * n_words AS bad FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT bad AS kept, n_lines, dup_chars / letters AS dup_line_chars,
+       least(greatest(top2 / letters, top3 / letters), 1.0::DOUBLE) AS top_gram_chars,
+       greatest(r5 / letters, r7 / letters, r10 / letters) AS repeat_chars,
+       n_symbols / greatest(n_words, 1)::DOUBLE AS symbol_share
+FROM v""",
     "op6_mixing": f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0)::BIGINT AS size,
