@@ -7,17 +7,20 @@ The words still missing come from documents in the order of exponential keys
 budget's edge gives the words that are missing.
 
 ``u`` is a hash of the id and a seed, so reruns agree and lost tasks come back alike. Keys are cut
-into bins of about ``BIN_ROWS`` documents: sums of bins are added up in a small table, and only
+into bins of at most about ``BIN_ROWS`` documents: sums of bins are added up in a small table, and only
 the documents of one bin are sorted in one place. Bins are of equal width in the key's logarithm.
 Quality only shifts that, so whatever the qualities, no bin has more than a share of ``exp(-1) * ln
 2 / 2 ** bits`` of a source, and ``bits`` follows from the source's size. Rows of one key (NULL ids,
 or an id on many rows) share a bin all the same: a bin that is counted to be larger is cut again by
 its keys, and these by a hash of the row's number. A source or an id with any share of all rows is
-thereby spread. The table of sources is sorted in one task, a source's bins in another.
+thereby spread. From ``MOST_BINS`` times ``BIN_ROWS`` rows on bins grow instead of their number, as
+a source's table of bins is sorted in one task; so is the table of sources.
 
 Defined results: a NULL, empty or white text has size 0 and gives nothing. A NULL source is one
-source of its own, last in order. NULL ids share one key and are taken in order of size. Rows that
-repeat an id are documents of their own. An empty table gives no rows.
+source of its own, last in order. NULL ids share one key. Rows that share a key are taken in order
+of id and size, or by chance where there are more than a bin holds. Rows that repeat an id are
+documents of their own. An empty table gives no rows. Very long texts count whole. Other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ from pyspark.sql import functions as F
 from faretide.session import numbered, stage
 
 WORD = r"[^\x20\x09-\x0D]+"
-BIN_ROWS = 2000
+BIN_ROWS = 500
+#: Bins are larger where a source has more rows than these would be of.
+MOST_BINS = 1 << 20
 
 
 def word_count(text: Column) -> Column:
@@ -157,7 +162,7 @@ def mix_sources(
     )
     targets = stage(source_targets(sizes, weights, percent, max_epochs), "targets")
     most = targets.agg(F.max("rows")).first()[0] or 0
-    placed, sums = binned(rows, most, BIN_ROWS)
+    placed, sums = binned(rows, most, max(BIN_ROWS, most // MOST_BINS))
     slot = ["source", "bin", "cut", "sub"]
     earlier = Window.partitionBy("source").orderBy(*slot[1:]).rowsBetween(
         Window.unboundedPreceding, -1
