@@ -8,7 +8,7 @@ largest possible.
 
 Counting sums up n-grams within each task before anything is shuffled, by language and n-gram, so
 a language with any share of the rows is spread over its n-grams. Profiles (languages times
-``size`` numbers, languages checked) travel with the job; prediction shuffles nothing.
+``size`` numbers, languages checked: 48 MB at most) are broadcast; prediction shuffles nothing.
 
 Defined results: a NULL text, or one without a letter, is ``und`` with score 0, as is every text
 when nothing was learned. A NULL id is neither held out nor learned from. Of languages at equal
@@ -31,6 +31,8 @@ SIZE = 300
 MAX_LANGUAGES = 10_000
 #: Characters taken at a time, and different n-grams summed up before they are passed on.
 CHARS, GRAMS = 1 << 19, 1 << 20
+#: Texts times languages whose distances are held at a time.
+CELLS = 1 << 20
 
 
 def _parts(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
@@ -66,12 +68,24 @@ def _letters(run: list[str]):
 
 
 def _counted(run: list[str], groups: np.ndarray | None = None):
-    """N-grams by text (or by its group): group, n-gram's hash, number; in order of n-grams."""
+    """N-grams by text (or by its group): group, n-gram's hash, number; in order of texts.
+
+    An n-gram and its text are packed into 64 bits. A run with so many texts and letters that they
+    do not fit is counted in halves; a single text always fits.
+    """
     symbols, rows, alphabet = _letters(run)
     bits = np.uint64(max(1, int(len(alphabet)).bit_length()))
     first = rows.copy()
     first[:-1][symbols[:-1] == 0] = rows[1:][symbols[:-1] == 0]
-    of = first.astype(np.uint64) if groups is None else groups[first].astype(np.uint64)
+    numbers, of = np.unique(first if groups is None else groups[first], return_inverse=True)
+    if 3 * int(bits) + 2 + (len(numbers) - 1).bit_length() > 64:
+        half = len(run) // 2
+        parts = [
+            _counted(run[low:high], np.arange(low, high) if groups is None else groups[low:high])
+            for low, high in ((0, half), (half, len(run)))
+        ]
+        return tuple(np.concatenate(values) for values in zip(*parts, strict=True))
+    of = of.astype(np.uint64)
     zero = np.uint64(0)
     one, two, three = symbols[:-2], symbols[1:-1], symbols[2:]
     keys = []
@@ -92,7 +106,7 @@ def _counted(run: list[str], groups: np.ndarray | None = None):
     total = ((keys >> (bits * np.uint64(3))) & np.uint64(3)) * factors[3]
     for k in range(3):
         total += points[(keys >> (bits * np.uint64(2 - k))) & mask] * factors[k]
-    return (keys >> (bits * np.uint64(3) + np.uint64(2))).astype(np.int64), mix(total), counts
+    return numbers[(keys >> (bits * np.uint64(3) + np.uint64(2))).astype(np.int64)], mix(total), counts
 
 
 def _ranked(run: list[str], size: int):
@@ -101,12 +115,16 @@ def _ranked(run: list[str], size: int):
     begin = np.searchsorted(rows, np.arange(len(run) + 1))
     inside = np.arange(len(rows)) - begin[rows]
     most = (1 << 24) - 1
-    order = (rows << 48) | ((most - np.minimum(counts, most)) << 24) | inside
-    order.sort()
-    rank = np.arange(len(rows)) - begin[order >> 48]
-    order, rank = order[rank < size], rank[rank < size]
-    rows = order >> 48
-    return rows, grams[begin[rows] + (order & most)], rank
+    if max(counts.max(initial=0), inside.max(initial=0)) <= most:
+        # One sort of packed numbers, which all but texts of gigabytes allow.
+        order = (rows << 48) | ((most - counts) << 24) | inside
+        order.sort()
+        at, of = begin[order >> 48] + (order & most), order >> 48
+    else:
+        at = np.lexsort((inside, -counts, rows))
+        of = rows[at]
+    rank = np.arange(len(rows)) - begin[of]
+    return of[rank < size], grams[at[rank < size]], rank[rank < size]
 
 
 def learn_profiles(
@@ -173,13 +191,36 @@ def predict_languages(
 ) -> DataFrame:
     """``(id_col, lang_pred, score)`` for every row, from its text alone."""
     names = sorted(profiles)
-    grams = np.unique(np.array([g for p in profiles.values() for g in p], np.int64).view(np.uint64))
-    ranks = np.full((len(grams) + 1, len(names)), size, np.int32)
-    for k, name in enumerate(names):
-        known = np.array(profiles[name], np.int64).view(np.uint64)
-        ranks[np.searchsorted(grams, known), k] = np.arange(len(known))
+    known = np.array([g for name in names for g in profiles[name]], np.int64).view(np.uint64)
+    theirs = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(profiles[n])) for n in names)])
+    whose = np.repeat(np.arange(len(names)), [len(profiles[n]) for n in names])
+    order = np.argsort(known, kind="stable")
+    # Each n-gram's languages and ranks stand together: as much as the profiles, whose number is
+    # checked, and not n-grams times languages.
+    sent = docs.sparkSession.sparkContext.broadcast(
+        (known[order], whose[order].astype(np.int32), theirs[order].astype(np.int32))
+    )
     texts = bounded(docs).select(docs[id_col], docs[text_col].alias("__text"))
 
+    def nearest(rows, found, rank, count):
+        """Of each text the language at least distance, and that; texts by part, to bound memory."""
+        known, whose, theirs = sent.value
+        best, least = np.zeros(count, np.int64), np.zeros(count)
+        low, high = np.searchsorted(known, found), np.searchsorted(known, found, "right")
+        step = max(1, CELLS // max(1, len(names)))
+        for begin in range(0, count, step):
+            end = min(begin + step, count)
+            part = slice(*np.searchsorted(rows, (begin, end)))
+            many = high[part] - low[part]
+            at = np.repeat(low[part] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            near = np.maximum(size - np.abs(theirs[at] - np.repeat(rank[part], many)), 0)
+            cell = (np.repeat(rows[part], many) - begin) * len(names) + whose[at]
+            # An n-gram that a language does not rank is ``size`` away.
+            shared = np.bincount(cell, near, (end - begin) * len(names)).reshape(-1, len(names))
+            away = size * np.bincount(rows[part] - begin, minlength=end - begin)[:, None] - shared
+            best[begin:end], least[begin:end] = away.argmin(1), away.min(1)
+        return best, least
+
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = np.array([*names, "und"], object)
         for batch in batches:
@@ -187,15 +228,10 @@ def predict_languages(
                 rows, found, rank = _ranked(run, size)
                 best, score = np.full(len(run), len(names)), np.zeros(len(run))
                 if len(rows) and len(names):
-                    at = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
-                    at[grams[at] != found] = len(grams)
-                    theirs = ranks[at]
-                    away = np.where(theirs < size, np.abs(theirs - rank[:, None]), size)
-                    present, begin = np.unique(rows, return_index=True)
-                    total = np.add.reduceat(away, begin, axis=0)
-                    best[present] = total.argmin(1)
-                    most = size * np.diff(np.append(begin, len(rows)))
-                    score[present] = 1 - total.min(1) / most
+                    near, least = nearest(rows, found, rank, len(run))
+                    most = size * np.bincount(rows, minlength=len(run))
+                    some = most > 0
+                    best[some], score[some] = near[some], 1 - least[some] / most[some]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(run)), pa.array(labels[best], pa.string()),
                      pa.array(score)],
