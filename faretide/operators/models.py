@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer, SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from faretide.operators.rows import hash_percent
-from faretide.session import shared_folder
+from faretide.session import shared_folder, stage
 
 LABEL = "fare_amount"
 #: The defaults of a training job.
@@ -29,6 +29,7 @@ _TREE_PARAMS = {
     "seed": ("seed", int, 123),
 }
 _FEATURES = "model_features"
+_WEIGHT = "model_weight"
 
 
 def split_by_hash(
@@ -50,8 +51,43 @@ def missing_sentinel(df: DataFrame, columns: Sequence[str]) -> float:
     return float(math.floor(df.agg(lowest.alias("lowest")).first()["lowest"]) - 1)
 
 
-def assemble(columns: Sequence[str], missing: float) -> list:
-    """Pipeline stages that turn feature columns into one vector.
+def bin_edges(df: DataFrame, columns: Sequence[str], max_bin: int, missing: float) -> list:
+    """For each column of doubles, where its bins begin and end; at most ``max_bin`` bins.
+
+    A column of no more values has a bin for each, with edges halfway between; another has bins of
+    about as many rows each, and one for ``missing`` alone.
+    """
+    shares = [i / (max_bin - 1) for i in range(1, max_bin - 1)] or [0.5]
+    asked = []
+    for i, name in enumerate(columns):
+        value = F.col(name)
+        asked += [
+            F.percentile_approx(value, shares, 10_000).alias(f"shares_{i}"),
+            F.min(value).alias(f"lowest_{i}"),
+            F.min(F.when(value > missing, value)).alias(f"next_{i}"),
+            F.approx_count_distinct(value).alias(f"values_{i}"),
+        ]
+    found = df.agg(*asked).first()
+    edges = []
+    for i, name in enumerate(columns):
+        inner = {e for e in found[f"shares_{i}"] or () if e > found[f"lowest_{i}"]}
+        if found[f"lowest_{i}"] == missing and found[f"next_{i}"] is not None:
+            inner.add(found[f"next_{i}"])
+        inner = sorted(inner)[: max_bin - 1]
+        # The count is off by some percent: only a column of far more values is not looked at.
+        few = found[f"values_{i}"] <= 2 * max_bin
+        values = sorted(r[0] for r in df.select(name).distinct().take(max_bin + 1)) if few else ()
+        if 0 < len(values) <= max_bin:
+            halves = [(low, low + (high - low) / 2, high) for low, high in zip(values, values[1:])]
+            inner = [half if low < half else high for low, half, high in halves]
+        inner = [e for e in inner if math.isfinite(e)]
+        # One bin for all is not allowed.
+        edges.append([-math.inf, *(inner or [0.0]), math.inf])
+    return edges
+
+
+def assemble(columns: Sequence[str], missing: float) -> tuple[SQLTransformer, list[str]]:
+    """A pipeline stage that makes doubles of feature columns, and the doubles' names.
 
     Spark's trees take no missing values; ``missing`` stands in for NULL.
     """
@@ -60,10 +96,7 @@ def assemble(columns: Sequence[str], missing: float) -> list:
         f"coalesce(cast(`{column}` as double), {missing}D) AS {name}"
         for column, name in zip(columns, filled, strict=True)
     )
-    return [
-        SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"),
-        VectorAssembler(inputCols=filled, outputCol=_FEATURES, handleInvalid="error"),
-    ]
+    return SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__"), filled
 
 
 def tree_settings(params: Mapping[str, object] | None = None) -> dict[str, object]:
@@ -87,6 +120,29 @@ def tree_settings(params: Mapping[str, object] | None = None) -> dict[str, objec
     return settings | {"maxDepth": math.ceil(math.log2(leaves))}
 
 
+def weighed_rows(train: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
+    """One row for all of ``train`` that are alike in ``columns``: their mean label, their weight.
+
+    For squared loss these are all that trees see of such rows: the spread of their labels adds
+    the same to both sides of every split, and the mean of their residuals is the mean's residual.
+    """
+    value = F.col(label).cast("double")
+    return train.groupBy(*columns).agg(
+        F.avg(value).alias(label), F.count(value).cast("double").alias(_WEIGHT)
+    )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, stored as one file for each core.
+
+    A task reads whole row groups, so a training set that came from one large file has few tasks.
+    Boosting matches rows by their place: after a lost executor these must come back in the same
+    order, which files give and a shuffle does not.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return stage(df.repartition(cores), "bins")
+
+
 def train_fare_model(
     train: DataFrame,
     params: Mapping[str, object] | None = None,
@@ -96,8 +152,9 @@ def train_fare_model(
 ) -> PipelineModel:
     """Fit boosted regression trees on all columns but the label.
 
-    ``params`` are those of ``tree_settings``. Rows without a label are left out. Every round scans ``train``
-    several times: pass a stored table, not a long plan.
+    ``params`` are those of ``tree_settings``. Rows without a label are left out. ``train`` is read
+    once and stored; every round then scans stored rows of bin numbers, those of ``weighed_rows``
+    where a leaf may be of one row and every round takes all rows.
     """
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -105,18 +162,32 @@ def train_fare_model(
         context.setCheckpointDir(shared_folder(train.sparkSession))
     settings = tree_settings(params)
     columns = [name for name in train.columns if name != label]
-    train = train.filter(F.col(label).isNotNull())
+    train = stage(train.filter(F.col(label).isNotNull()), "training")
     if missing is None:
         missing = missing_sentinel(train, columns)
+    fill, filled = assemble(columns, missing)
+    rows = fill.transform(train).select(label, *filled)
+    binned = [f"_bin_{i}" for i in range(len(columns))]
+    bins = Bucketizer(
+        inputCols=filled,
+        outputCols=binned,
+        splitsArray=bin_edges(rows, filled, settings["maxBins"], missing),
+    )
+    rows, weights = bins.transform(rows).select(label, *binned), {}
+    if settings["minInstancesPerNode"] == 1 and settings["subsamplingRate"] == 1.0:
+        rows, weights = weighed_rows(rows, binned, label), {"weightCol": _WEIGHT}
+    vector = VectorAssembler(inputCols=binned, outputCol=_FEATURES, handleInvalid="error")
     trees = GBTRegressor(
         featuresCol=_FEATURES,
         labelCol=label,
         predictionCol="prediction",
         maxIter=num_rounds,
         lossType="squared",
+        **weights,
         **settings,
     )
-    return Pipeline(stages=[*assemble(columns, missing), trees]).fit(train)
+    trees = trees.fit(vector.transform(spread(rows)))
+    return PipelineModel([fill, bins, vector, trees])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from faretide.client import FeatureClient
+from faretide.operators import models
 from faretide.operators.lookups import fare_lookups
 from faretide.operators.models import (
     missing_sentinel,
@@ -130,6 +131,48 @@ def test_arguments_set_depth_and_rounds(trained, sample):
     assert small.stages[-1].getMaxDepth() == 3 and small.stages[-1].getNumTrees == 1
 
 
+def test_rounds_scan_few_rows_in_many_tasks(spark, sample, monkeypatch):
+    """From one file with each trip thirty times, boosting takes each kind of row once."""
+    path, taken = fresh_path(spark, "copies"), []
+    copies = sample.select("trip_distance", "pickup_zip", "fare_amount").crossJoin(spark.range(30))
+    copies.drop("id").coalesce(1).write.parquet(path)
+    fit = models.GBTRegressor.fit
+    monkeypatch.setattr(
+        models.GBTRegressor, "fit", lambda self, df: taken.append(df) or fit(self, df)
+    )
+    train_fare_model(spark.read.parquet(path), {"num_leaves": 4}, num_rounds=1)
+    # A batch of its own for each partition that has rows.
+    assert taken[0].select(F.spark_partition_id()).distinct().count() > 2
+    assert taken[0].count() <= sample.count()
+
+
+def test_weighed_rows_give_the_model_of_all_rows(spark, larger, monkeypatch):
+    """In bins alone, and with NULL, each kind of row has the prediction it has unweighed."""
+    rows = rounded_trips(larger).selectExpr(
+        "round(trip_distance) AS distance", "nullif(pickup_zip, 10003) AS zip", "fare_amount"
+    )
+    weighed = train_fare_model(rows, {"num_leaves": 8}, num_rounds=5)
+    monkeypatch.setattr(
+        models, "weighed_rows", lambda df, *_: df.withColumn(models._WEIGHT, F.lit(1.0))
+    )
+    plain = train_fare_model(rows, {"num_leaves": 8}, num_rounds=5)
+    both = predict(plain, predict(weighed, rows).withColumnRenamed("prediction", "ours"))
+    assert both.agg(F.max(F.abs(F.col("prediction") - F.col("ours")))).first()[0] < 1e-6
+    assert both.select("ours").distinct().count() > 8
+
+
+def test_bin_edges(spark):
+    rows = [(float(i % 5), i / 7, -1.0 if i == 3 else float(i), 2.0) for i in range(1000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    a, b, c, d = models.bin_edges(df, df.columns, 8, -1.0)
+    assert a[1:-1] == [0.5, 1.5, 2.5, 3.5]
+    counts = [df.filter((df.b >= low) & (df.b < high)).count() for low, high in zip(b, b[1:])]
+    assert 7 <= len(counts) <= 8 and max(counts) <= 150
+    # The missing value has a bin of its own, however few rows have it.
+    assert len(c) <= 9 and c[1] == 0.0
+    assert len(d) == 3
+
+
 def test_scores(spark, trained, larger):
     run, registry, _, _ = trained
     scored = score_batch(rounded_trips(larger), registry)
