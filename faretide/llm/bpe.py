@@ -35,6 +35,8 @@ from faretide.llm.words import bounded, received, shared
 #: Entries in each generation of a task's tables, and an entry's most letters, which bound memory.
 MAX_WORDS = 150_000
 LONGEST = 48
+#: Letters by which the symbols that may come next are looked up.
+WINDOW = 6
 START = (0, 0)
 FOREVER = 1 << 60
 MASK = 0xFFFFFFFF
@@ -113,7 +115,7 @@ class Encoder:
     symbols: dict[str, int]
     texts: dict[int, str]
     end: str
-    #: the longest symbol that begins with these (at most three) letters
+    #: the longest symbol that begins with these (at most ``WINDOW``) letters
     reach: dict[str, int]
     pattern: str
     added: dict[str, int]
@@ -138,7 +140,7 @@ class Encoder:
         reach: dict[str, int] = {}
         for symbol in symbols:
             letters = symbol.removesuffix(end) if end else symbol
-            for k in (1, 2, 3):
+            for k in range(1, WINDOW + 1):
                 reach[letters[:k]] = max(reach.get(letters[:k], 0), len(letters))
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         pattern = next(
@@ -192,6 +194,9 @@ class TextEncoder:
         self.letters = _byte_letters()
         self.arcs: dict[int, bool] = {}
         self.words = _Table(self._word, max_words)
+        self.steps = _Table(self._step, max_words)
+        spell = (lambda i: i.to_bytes(width, "little")) if width else str
+        self.spelled = {i: spell(i) for i in encoder.texts}
         self.chunks = _Table(lambda chunk: self._chunk(chunk, self.find), max_words)
         self.texts = {i if width else str(i): text for i, text in encoder.texts.items()}
 
@@ -203,9 +208,7 @@ class TextEncoder:
         return found
 
     def _spelled(self, ids: list[int]) -> str | bytes:
-        if not self.width:
-            return " ".join(map(str, ids))
-        return b"".join([i.to_bytes(self.width, "little") for i in ids])
+        return self.join(map(self.spelled.__getitem__, ids))
 
     def _chunk(self, chunk: str, find) -> str | bytes:
         """The ids of a text without white space."""
@@ -218,9 +221,21 @@ class TextEncoder:
             letters = "".join(map(self.letters.__getitem__, word.encode()))
         return self._spelled(self.word(letters))
 
+    def _step(self, window: str) -> int:
+        """The longest symbol that may begin with these letters, and which of their prefixes are symbols.
+
+        Bit n says whether the first n are one; bit 0 is always set. The length is above these bits.
+        """
+        symbols, bits = self.encoder.symbols, 1
+        for n in range(1, len(window) + 1):
+            if window[:n] in symbols:
+                bits |= 1 << n
+        longest = self.encoder.reach.get(window) or max(1, bits.bit_length() - 1)
+        return longest << WINDOW + 1 | bits
+
     def word(self, letters: str) -> list[int]:
         """The labels of a word's path, given as letters that stand for bytes."""
-        get, arcs, reach = self.encoder.symbols.get, self.arcs, self.encoder.reach.get
+        get, arcs, steps = self.encoder.symbols.get, self.arcs, self.steps
         # The last letter carries the word's end: it is one symbol with it.
         size, ended = len(letters), letters + self.encoder.end
         label = get(ended)
@@ -228,33 +243,40 @@ class TextEncoder:
             return [label]
         labels: list[int] = []
         begins: list[int] = []
-        at, last, stop = 0, -1, reach(letters[:3], 2)
+        at, last, step = 0, -1, steps[letters[:WINDOW]]
+        stop = step >> WINDOW + 1
         while True:
             if stop >= size:
                 stop, label = size, get(ended[at:])
             else:
                 label = get(letters[at:stop])
-            if label is not None and (last < 0 or self._follows(arcs, last, label)):
-                labels.append(label)
-                if stop == size:
-                    return labels
-                begins.append(at)
-                at, last = stop, label
-                stop = at + reach(letters[at : at + 3], 2)
-                continue
-            stop -= 1
+            if label is not None:
+                follows = last < 0 or arcs.get(last << 20 | label)
+                if follows is None:
+                    follows = self._arc(last, label)
+                if follows:
+                    labels.append(label)
+                    if stop == size:
+                        return labels
+                    begins.append(at)
+                    at, last = stop, label
+                    step = steps[letters[at : at + WINDOW]]
+                    stop = at + (step >> WINDOW + 1)
+                    continue
+            # The next shorter symbol or, beyond the window, one letter less.
+            n = stop - at
+            stop = stop - 1 if n > WINDOW else at + (step & (1 << n) - 1).bit_length() - 1
             while stop == at:
                 if not labels:
                     raise ValueError(f"no tokens spell {letters!r}")
                 # No arc leads on from here: a shorter token before.
                 labels.pop()
-                stop, at = at - 1, begins.pop()
+                stop, at = at, begins.pop()
+                step = steps[letters[at : at + WINDOW]]
+                n = stop - at
+                stop = stop - 1 if n > WINDOW else at + (step & (1 << n) - 1).bit_length() - 1
                 last = labels[-1] if labels else -1
 
-    def _follows(self, arcs: dict[int, bool], last: int, label: int) -> bool:
-        found = arcs.get(last << 20 | label)
-        return self._arc(last, label) if found is None else found
-
     def encode(self, text: str) -> str | bytes:
         """The text's ids."""
         parts = self.split(text) if "<" in text else (text,)

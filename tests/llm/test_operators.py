@@ -157,6 +157,27 @@ def test_tokens_as_by_the_library(spark):
         assert row["decoded"] == tokenizer.decode(want, skip_special_tokens=False)
 
 
+def test_few_symbols_are_tried_for_a_token():
+    """Words nobody wrote, encoded with some two tries a token; a letter without symbol fails."""
+
+    class Counted(dict):
+        tries = 0
+
+        def get(self, *key):
+            self.tries += 1
+            return super().get(*key)
+
+    encoder = Encoder.from_file(TOKENIZER)
+    encoder.symbols = Counted(encoder.symbols)
+    text, draw = TextEncoder(encoder), random.Random(3)
+    parts = "th in er an on re ed en or ti sh st wh ou ea".split()
+    words = ["".join(draw.choices(parts, k=draw.randint(3, 8))) for _ in range(3000)]
+    tokens = sum(len(text.word(word)) for word in words)
+    assert encoder.symbols.tries < 3.2 * tokens
+    with pytest.raises(ValueError, match="no tokens"):
+        text.word("\u4e00")
+
+
 def test_code_points_as_the_tokenizers_library_reads_them():
     tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(TOKENIZER)
     tokenizer.no_truncation()
