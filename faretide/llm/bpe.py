@@ -26,11 +26,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from faretide.llm import code_points
-from faretide.llm.words import bounded, received, shared
+from faretide.llm.token_paths import Arcs, Trie, paths
+from faretide.llm.words import NOT_SPACE, blocks, bounded, received, shared
 
 #: Entries in each generation of a task's tables, and an entry's most letters, which bound memory.
 MAX_WORDS = 150_000
@@ -41,6 +43,10 @@ START = (0, 0)
 FOREVER = 1 << 60
 MASK = 0xFFFFFFFF
 SPACE, ODD_SPACE = regex.compile(r"\s+"), regex.compile("[\x1c-\x1f]")
+#: White space of more than one byte.
+WIDE_SPACE = regex.compile(r"[^\S\x00-\x7f]")
+#: Bytes of text whose chunks are told apart at a time.
+BLOCK = 1 << 22
 
 
 @dataclass
@@ -119,6 +125,7 @@ class Encoder:
     reach: dict[str, int]
     pattern: str
     added: dict[str, int]
+    trie: Trie
 
     @classmethod
     def from_file(cls, path: str) -> Encoder:
@@ -149,7 +156,15 @@ class Encoder:
             if p["type"] == "Split"
         )
         texts = {i: t for t, i in vocab.items()} | {i: t for t, i in added.items()}
-        return cls(automaton, symbols, texts, end, reach, pattern, added)
+        # Symbols of letters that stand for no byte begin nowhere.
+        byte, tries = {letter: b for b, letter in _byte_letters().items()}, ({}, {})
+        for symbol, label in symbols.items():
+            final = bool(end) and symbol.endswith(end)
+            letters = symbol.removesuffix(end) if final else symbol
+            if letters and all(map(byte.__contains__, letters)):
+                tries[final][bytes(map(byte.__getitem__, letters))] = label
+        trie = Trie.of(tries[0], tries[1] if end else tries[0])
+        return cls(automaton, symbols, texts, end, reach, pattern, added, trie)
 
 
 class _Table(dict):
@@ -175,6 +190,26 @@ class _Table(dict):
         self[key] = value
         return value
 
+    def all(self, keys: list[str], make) -> list:
+        """The entries of different keys; ``make`` gives a list of those that are new."""
+        found = list(map(self.get, keys))
+        older = [n for n, value in enumerate(found) if value is None]
+        if older:
+            asked = [keys[n] for n in older]
+            values = list(map(self.old.get, asked))
+            new = [n for n, value in enumerate(values) if value is None]
+            for n, value in zip(new, make([asked[n] for n in new]) if new else (), strict=True):
+                values[n] = value
+            for n, value in zip(older, values, strict=True):
+                found[n] = value
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            new = zip(asked, values, strict=True)
+            long = max(map(len, asked)) > LONGEST
+            self.update([(k, v) for k, v in new if len(k) <= LONGEST] if long else new)
+        return found
+
 
 class TextEncoder:
     """Encodes and decodes whole texts; one for each task.
@@ -189,10 +224,12 @@ class TextEncoder:
         self.encoder = encoder
         self.find = regex.compile(encoder.pattern).findall
         self.find_older = regex.compile(code_points.older(encoder.pattern), regex.V1).findall
+        self.find_or_break = regex.compile(f"{encoder.pattern}|\n").findall
         parts = sorted(encoder.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, parts)) + ")").split
         self.letters = _byte_letters()
         self.arcs: dict[int, bool] = {}
+        self.arc_table: Arcs | None = None
         self.words = _Table(self._word, max_words)
         self.steps = _Table(self._step, max_words)
         spell = (lambda i: i.to_bytes(width, "little")) if width else str
@@ -277,6 +314,85 @@ class TextEncoder:
                 stop = stop - 1 if n > WINDOW else at + (step & (1 << n) - 1).bit_length() - 1
                 last = labels[-1] if labels else -1
 
+    def _normal(self, part: str, later: bool = False) -> str:
+        part = code_points.composed(part) if later else unicodedata.normalize("NFC", part)
+        # Python alone lowers a sigma by its place in the word.
+        return part.replace("\u03a3", "\u03c3").lower()
+
+    def _some_words(self, words: list[str]) -> list[bytes]:
+        """Each word's ids; ``LONGEST`` bytes and more are left to :meth:`word`."""
+        if self.arc_table is None:
+            self.arc_table = Arcs(self.arcs, self._arc)
+        found: list[bytes] = [b""] * len(words)
+        letters = [word.encode() for word in words]
+        sizes = np.fromiter(map(len, letters), np.int64, len(letters))
+        short = np.flatnonzero(sizes < LONGEST).tolist()
+        data = np.frombuffer(b"".join(map(letters.__getitem__, short)), np.uint8)
+        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes[short])])
+        labels, counts, given_up = paths(self.encoder.trie, self.arc_table, data, offsets)
+        ids = labels.astype(f"<u{self.width}").tobytes()
+        cuts = np.concatenate([[0], np.cumsum(counts) * self.width]).tolist()
+        for n, low, high in zip(short, cuts, cuts[1:]):
+            found[n] = ids[low:high]
+        left = [short[n] for n in np.flatnonzero(given_up).tolist()]
+        for n in left + np.flatnonzero(sizes >= LONGEST).tolist():
+            found[n] = self._word(words[n])
+        return found
+
+    def _some_chunks(self, chunks: list[str]) -> list[bytes]:
+        """The ids of texts without white space, whose words are looked for at once."""
+        found = self.find_or_break("\n".join(chunks))
+        if found.count("\n") != len(chunks) - 1:
+            return [self._chunk(chunk, self.find) for chunk in chunks]
+        different = list(set(found) - {"\n"})
+        ids = dict(zip(different, self.words.all(different, self._some_words), strict=True))
+        ids["\n"] = b""
+        parts = list(map(ids.__getitem__, found))
+        joined = b"".join(parts)
+        # A word has an id at least: only a break between chunks is empty.
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        cuts = [0, *np.cumsum(sizes)[sizes == 0].tolist(), len(joined)]
+        return [joined[low:high] for low, high in zip(cuts, cuts[1:])]
+
+    def encode_all(self, column: pa.Array) -> pa.Array:
+        """The ids of a column's texts, for a ``width``; each chunk is looked up once a block."""
+        texts, alone = [], {}
+        for n, text in enumerate(column):
+            text = text.as_py() or ""
+            plain = text.isascii()
+            if (not plain and code_points.found_in(text)) or (
+                "<" in text and any(map(text.__contains__, self.encoder.added))
+            ):
+                alone[n], text = self.encode(text), ""
+            text = self._normal(text)
+            if not plain and WIDE_SPACE.search(text):
+                text = SPACE.sub(" ", text)
+            texts.append(text)
+        rows = [self._block(block) for block in blocks(pa.array(texts, pa.string()), BLOCK)]
+        rows = pa.concat_arrays(rows) if rows else pa.array([], pa.binary())
+        if alone:
+            rows = pa.array([alone.get(n, r) for n, r in enumerate(rows.to_pylist())], pa.binary())
+        return rows
+
+    def _block(self, block) -> pa.Array:
+        start, end, first = block.spans()
+        if not len(start):
+            return pa.array([b""] * block.rows, pa.binary())
+        offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
+        letters = block.data[NOT_SPACE[block.data]]
+        chunks = pa.StringArray.from_buffers(
+            len(start), pa.py_buffer(offsets), pa.py_buffer(letters)
+        ).dictionary_encode()
+        different = pa.ListArray.from_arrays([0, len(chunks.dictionary)], chunks.dictionary)
+        different = pc.binary_join(different, "\n")[0].as_py().split("\n")
+        ids = self.chunks.all(different, self._some_chunks)
+        ids = pa.array(ids, pa.binary()).take(chunks.indices)
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int32)[: len(ids) + 1][first]
+        return pa.BinaryArray.from_buffers(
+            pa.binary(), block.rows, [None, pa.py_buffer(ends), data]
+        )
+
     def encode(self, text: str) -> str | bytes:
         """The text's ids."""
         parts = self.split(text) if "<" in text else (text,)
@@ -286,10 +402,8 @@ class TextEncoder:
                 found.append(self._spelled([self.encoder.added[part]]))
                 continue
             later = not part.isascii() and code_points.found_in(part)
-            part = code_points.composed(part) if later else unicodedata.normalize("NFC", part)
-            # Python alone lowers a sigma by its place in the word,
-            part = part.replace("\u03a3", "\u03c3").lower()
-            # and alone takes these four for white space.
+            part = self._normal(part, later)
+            # Python alone takes these four for white space.
             chunks = SPACE.split(part) if ODD_SPACE.search(part) else part.split()
             if later:
                 chunks = [c.translate(code_points.LOWERED) for c in chunks]
@@ -389,13 +503,9 @@ def token_ids(
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = TextEncoder(received(sent), max_words, width)
         for batch in batches:
-            column = batch.column(1)
-            for low in range(0, len(column), 500):
-                found = _packed(column.slice(low, 500), encoder)
-                ids = pa.array(found, pa.binary()) if packed else _id_lists(found, width)[1]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, 500), ids], [id_col, "ids"]
-                )
+            found = encoder.encode_all(batch.column(1))
+            ids = found if packed else _id_lists(found.to_pylist(), width)[1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "ids"])
 
     kind = texts.schema[0].dataType.simpleString()
     return texts.mapInArrow(encode, f"`{id_col}` {kind}, ids {'binary' if packed else 'array<int>'}")

@@ -42,14 +42,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/faretide/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, with a writer's options, and read it back.
 
     Several actions can then share one computation, and losing an executor
     costs a re-read of files instead of a recomputation from the raw rows.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
