@@ -43,8 +43,6 @@ START = (0, 0)
 FOREVER = 1 << 60
 MASK = 0xFFFFFFFF
 SPACE, ODD_SPACE = regex.compile(r"\s+"), regex.compile("[\x1c-\x1f]")
-#: White space of more than one byte.
-WIDE_SPACE = regex.compile(r"[^\S\x00-\x7f]")
 #: Bytes of text whose chunks are told apart at a time.
 BLOCK = 1 << 22
 
@@ -193,15 +191,14 @@ class _Table(dict):
     def all(self, keys: list[str], make) -> list:
         """The entries of different keys; ``make`` gives a list of those that are new."""
         found = list(map(self.get, keys))
-        older = [n for n, value in enumerate(found) if value is None]
-        if older:
-            asked = [keys[n] for n in older]
+        asked = [key for key, value in zip(keys, found, strict=True) if value is None]
+        if asked:
             values = list(map(self.old.get, asked))
-            new = [n for n, value in enumerate(values) if value is None]
-            for n, value in zip(new, make([asked[n] for n in new]) if new else (), strict=True):
-                values[n] = value
-            for n, value in zip(older, values, strict=True):
-                found[n] = value
+            new = [key for key, value in zip(asked, values, strict=True) if value is None]
+            made = iter(make(new) if new else ())
+            values = [next(made) if value is None else value for value in values]
+            given = iter(values)
+            found = [next(given) if value is None else value for value in found]
             if len(self) >= self.most:
                 self.old = dict(self)
                 self.clear()
@@ -359,13 +356,13 @@ class TextEncoder:
         texts, alone = [], {}
         for n, text in enumerate(column):
             text = text.as_py() or ""
-            plain = text.isascii()
-            if (not plain and code_points.found_in(text)) or (
+            odd = not text.isascii() and code_points.odd(text)
+            if (odd and code_points.found_in(text)) or (
                 "<" in text and any(map(text.__contains__, self.encoder.added))
             ):
                 alone[n], text = self.encode(text), ""
             text = self._normal(text)
-            if not plain and WIDE_SPACE.search(text):
+            if odd:
                 text = SPACE.sub(" ", text)
             texts.append(text)
         rows = [self._block(block) for block in blocks(pa.array(texts, pa.string()), BLOCK)]

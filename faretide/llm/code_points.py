@@ -33,6 +33,8 @@ CAPITALS = (
     "1C89:1C8A A7CB:0264 A7CC:A7CD A7CE:A7CF A7D2:A7D3 A7D4:A7D5 A7DA:A7DB A7DC:019B "
     "10D50-10D65:10D70 16EA0-16EB8:16EBB"
 )
+#: White space beyond ASCII.
+SPACES = "0085 00A0 1680 2000-200A 2028-2029 202F 205F 3000"
 
 
 def _ends(part: str) -> tuple[int, int]:
@@ -57,7 +59,9 @@ def _lowered() -> dict[int, int]:
 LOWERED = _lowered()
 _all = f"{LETTERS} {NUMBERS} {MARKS} {' '.join(f'{c:X}' for c in LOWERED)}".split()
 # A class within 16 bits is one look a character; one beyond them is a look a range.
-_low = re.compile(f"[{among(' '.join(p for p in _all if _ends(p)[1] < 1 << 16))}]").search
+_lows = among(" ".join(p for p in _all if _ends(p)[1] < 1 << 16))
+_low = re.compile(f"[{_lows}]").search
+_odd = re.compile(f"[{_lows}{among(SPACES)}]").search
 _high = re.compile(f"[{among(' '.join(p for p in _all if _ends(p)[1] >= 1 << 16))}]").search
 _beyond = re.compile("[\U00010000-\U0010ffff]").search
 _apart = re.compile(f"([{among(MARKS)}])").split
@@ -68,6 +72,11 @@ def found_in(text: str) -> bool:
     return bool(_low(text) or (_beyond(text) and _high(text)))
 
 
+def odd(text: str) -> bool:
+    """Whether a text has any of these or white space beyond ASCII."""
+    return bool(_odd(text) or (_beyond(text) and _high(text)))
+
+
 def composed(text: str) -> str:
     """The normal form C of a text that may hold later marks."""
     return "".join(unicodedata.normalize("NFC", part) for part in _apart(text))

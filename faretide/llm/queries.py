@@ -23,7 +23,7 @@ from faretide.session import fresh_path, stage
 #: A tokenizer's file outside the repository; its path is a parameter of the operator.
 TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
 #: How to store what is near the size of the input: ids take a third less than by Spark's default.
-SMALL = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6"}
+SMALL = {"compression": "zstd", "parquet.compression.codec.zstd.level": "5"}
 RULES = [
     Rule("net", "/", "block"),
     Rule("example.net", "/en/", "allow"),

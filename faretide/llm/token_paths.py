@@ -45,7 +45,7 @@ class Trie:
                         marks[0].append(-1)
                         marks[1].append(-1)
                 labels[node] = label
-        size = 1 << (4 * len(arcs) + 4).bit_length()
+        size = 1 << (2 * len(arcs) + 2).bit_length()
         keys, nodes = [0] * size, [0] * size
         places = _places(np.array(list(arcs), np.int64), size).tolist()
         for at, (key, node) in zip(places, arcs.items(), strict=True):
@@ -53,13 +53,13 @@ class Trie:
                 at = (at + 1) % size
             keys[at], nodes[at] = key, node
         return cls(
-            np.array(keys, np.int64), np.array(nodes, np.int32),
+            np.array(keys, np.int32), np.array(nodes, np.int32),
             np.array(marks[0], np.int32), np.array(marks[1], np.int32),
         )
 
     def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """The nodes behind arcs; 0 where there is none."""
-        keys = nodes.astype(np.int64) << 8 | letters
+        keys = nodes << 8 | letters
         at = _places(keys, len(self.keys))
         seen = self.keys[at]
         out = np.where(seen == keys, self.nodes[at], 0)
